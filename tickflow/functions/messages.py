@@ -28,12 +28,13 @@ def decode(df: DataFrame, schema: T.StructType, keep: tuple[str, ...] = ("key",)
     if with_corrupt:
         opts["columnNameOfCorruptRecord"] = CORRUPT_COL
     text = F.col("value").cast("string")
-    out = df.select(*[F.col(k) for k in keep if k in df.columns],
-                    F.from_json(text, sch, opts).alias("_d"))
-    out = out.select(*[c for c in keep if c in df.columns], "_d.*")
+    kept = [k for k in keep if k in df.columns]
+    out = df.select(*kept, F.from_json(text, sch, opts).alias("_d"), text.isNull().alias("_no_value"))
+    out = out.select(*kept, "_d.*", "_no_value")
     if with_corrupt:
         # A NULL value is not caught by the corrupt-record column.
-        out = out.withColumn(CORRUPT_COL, F.when(text.isNull(), F.lit("")).otherwise(F.col(CORRUPT_COL)))
+        out = out.withColumn(CORRUPT_COL, F.when(F.col("_no_value"), F.lit("")).otherwise(F.col(CORRUPT_COL)))
+    out = out.drop("_no_value")
     if time_field:
         out = out.withColumn(time_field, epoch_ms_to_ts(F.col(time_field)))
     return out

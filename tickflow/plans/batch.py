@@ -19,3 +19,114 @@ def price_window_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A1 + P3: sliding 15/5 minute window aggregate per coin over stored prices."""
     w = W.windowed(X.prices(spark, sf_dir))
     return _rounded(w, ["avg_price", "total_volume"])
+
+
+def _event_id_from_key() -> F.Column:
+    return F.col("key").cast("string").cast("long").alias("event_id")
+
+
+def decode_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P1 + P2: decoded price messages that parse (rejects split off)."""
+    from tickflow.functions import messages as M
+    from tickflow.schemas import PRICE_MESSAGE
+    d = M.decode(X.price_messages(spark, sf_dir), PRICE_MESSAGE, with_corrupt=True)
+    ok, _ = M.split_rejects(d)
+    return ok.select(_event_id_from_key(), "coin_id", "price_usd",
+                     round_double(F.col("market_cap")).alias("market_cap"), "volume_24h", "timestamp")
+
+
+def decode_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages that do not decode, with their raw text."""
+    from tickflow.functions import messages as M
+    from tickflow.schemas import CORRUPT_COL, PRICE_MESSAGE
+    d = M.decode(X.price_messages(spark, sf_dir), PRICE_MESSAGE, with_corrupt=True)
+    _, bad = M.split_rejects(d)
+    return bad.select(_event_id_from_key(), F.col(CORRUPT_COL).alias("raw"))
+
+
+def decode_market(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P1 + P2 on market messages."""
+    from tickflow.functions import messages as M
+    from tickflow.schemas import MARKET_MESSAGE
+    d = M.decode(X.market_messages(spark, sf_dir), MARKET_MESSAGE)
+    return d.select(F.col("key").cast("string").alias("message_key"), "coin_id", "price_change_24h",
+                    "market_cap_change_24h", "volume_change_24h", "timestamp")
+
+
+def encode_price_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4 + F8: price rows as JSON messages (key, topic, value text)."""
+    from tickflow.functions import messages as M
+    e = M.encode(X.prices(spark, sf_dir), X.PRICE_FIELDS, key=F.col("event_id"), topic="prices")
+    return e.select(F.col("key").cast("string").cast("long").alias("event_id"), "topic",
+                    F.col("value").cast("string").alias("value"))
+
+
+def market_avg_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3: mean changes per coin over stored market rows."""
+    from tickflow.operators.market import avg_changes
+    a = avg_changes(X.market_rows(spark, sf_dir))
+    return _rounded(a, ["avg_price_change", "avg_market_cap_change", "avg_volume_change"])
+
+
+# The coins the fixture tracks (event types standing in for coin ids).
+FIXTURE_TRACKED = ["click", "purchase", "view"]
+
+
+def tracked_coins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Price rows of tracked coins only (IN filter pushed to the scan)."""
+    from tickflow.operators.market import tracked
+    t = tracked(X.prices(spark, sf_dir), FIXTURE_TRACKED)
+    return t.select("event_id", "coin_id", "price_usd", round_double(F.col("market_cap")).alias("market_cap"),
+                    "volume_24h", "timestamp")
+
+
+TOP_N = 3
+
+
+def top_market_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The TOP_N coins by market cap, descending, ties by coin_id."""
+    from tickflow.operators.market import coin_market_caps, top_by_market_cap
+    t = top_by_market_cap(coin_market_caps(X.prices(spark, sf_dir)), TOP_N)
+    return t.select("coin_id", round_double(F.col("market_cap")).alias("market_cap"))
+
+
+def flatten_simple_price(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P10 + F9: object-keyed payloads to price rows."""
+    from tickflow.functions.messages import flatten_simple_price as flat
+    return flat(X.simple_price_payloads(spark, sf_dir), keep=("event_id",))
+
+
+def flatten_markets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Array payloads to market rows."""
+    from tickflow.functions.messages import flatten_markets as flat
+    return flat(X.markets_payloads(spark, sf_dir), keep=("l_orderkey",))
+
+
+def sink_typed_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K7: price rows in their stored DECIMAL types (shown as double)."""
+    from tickflow.operators.typed_sink import to_sink_types
+    from tickflow.schemas import PRICE_SINK_DECIMALS
+    t = to_sink_types(X.prices(spark, sf_dir), PRICE_SINK_DECIMALS)
+    return t.select("event_id", "coin_id", *[F.col(c).cast("double").alias(c) for c in PRICE_SINK_DECIMALS],
+                    "timestamp", "is_reject")
+
+
+def metrics_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A6 + F7: report per processing mode over the metrics log."""
+    from tickflow.operators.metrics import report
+    r = report(X.metrics_records(spark, sf_dir))
+    return _rounded(r, ["avg_latency", "avg_throughput", "avg_cpu_usage", "avg_memory_usage"])
+
+
+def metrics_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1 + W2: per-mode plot series by record number."""
+    from tickflow.operators.metrics import series
+    s = series(X.metrics_records(spark, sf_dir))
+    return _rounded(s, ["latency", "throughput", "cpu_percent", "memory_percent"])
+
+
+def metrics_nested_import(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested metrics documents to flat records."""
+    from tickflow.operators.metrics import import_nested
+    f = import_nested(X.nested_metrics_documents(spark, sf_dir), keep=("doc_id",))
+    return _rounded(f, ["processing_time", "throughput", "cpu_percent", "memory_percent", "memory_used_gb"])

@@ -6,7 +6,10 @@ from tickflow.plans import batch
 from tickflow.plans import oracle as sql_oracle
 
 QUERIES = {
-    "price_window_agg": batch.price_window_agg,
+    name: getattr(batch, name) for name in (
+        "price_window_agg", "decode_prices", "decode_rejects", "decode_market", "encode_price_messages",
+        "market_avg_changes", "tracked_coins", "top_market_cap", "flatten_simple_price", "flatten_markets",
+        "sink_typed_prices", "metrics_report", "metrics_series", "metrics_nested_import")
 }
 
 

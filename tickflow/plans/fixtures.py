@@ -83,3 +83,75 @@ def replay_chunk_rows(spark: SparkSession, sf_dir: str, table: str = "events", i
     (one scalar aggregate; ids are dense from 0)."""
     top = driver_table(spark, sf_dir, table).agg(F.max(id_col)).first()[0]
     return max(1, -(-(int(top or 0) + 1) // REPLAY_CHUNKS))
+
+
+def metrics_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flat metrics log (schemas.METRICS_RECORD) from lineitem."""
+    li = driver_table(spark, sf_dir, "lineitem")
+    return li.select(
+        F.when(F.col("l_linestatus") == "O", "streaming").otherwise("batch").alias("mode"),
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("long").alias("seq"),
+        F.concat(F.lit("q"), "l_returnflag").alias("query"),
+        F.col("l_orderkey").alias("batch_id"),
+        F.col("l_quantity").alias("rows"),
+        F.when(F.col("l_linenumber") == 1, F.lit(0.0)).otherwise(F.col("l_extendedprice")).alias("processing_time"),
+        F.when(F.col("l_returnflag") == "R", 1).otherwise(0).cast("long").alias("error_count"),
+        (F.col("l_discount") * 100).alias("cpu_percent"),
+        (F.col("l_tax") * 100).alias("memory_percent"),
+        (F.col("l_quantity") / 100).alias("memory_used_gb"),
+    )
+
+
+def simple_price_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One object-keyed price payload per event: usd always, except every
+    11th event; usd_market_cap absent for event_id % 5 = 0, null for % 5 = 1;
+    usd_24h_vol absent for event_id % 3 = 0."""
+    e = driver_table(spark, sf_dir, "events")
+    i = F.col("event_id")
+    entries = F.array_compact(F.array(
+        F.when(i % 11 != 0, F.struct(F.lit("usd").alias("k"), F.col("value").alias("v"))),
+        F.when(i % 5 != 0, F.struct(F.lit("usd_market_cap").alias("k"),
+                                     F.when(i % 5 == 1, F.lit(None).cast("double"))
+                                      .otherwise(F.col("value") * 2).alias("v"))),
+        F.when(i % 3 != 0, F.struct(F.lit("usd_24h_vol").alias("k"),
+                                     F.get_json_object("props", "$.k").cast("double").alias("v"))),
+    ))
+    inner = F.map_from_entries(entries)
+    return e.select("event_id", F.to_json(F.create_map(F.col("event_type"), inner)).alias("payload"))
+
+
+def markets_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Array-of-objects market payloads: pages of at most 4 lines of one order
+    (the API's per_page bound), so no payload grows with the data."""
+    li = driver_table(spark, sf_dir, "lineitem")
+    item = F.struct(
+        F.col("l_linenumber").alias("_n"),
+        F.concat("l_returnflag", "l_linestatus").alias("id"),
+        F.col("l_discount").alias("price_change_percentage_24h"),
+        F.col("l_tax").alias("market_cap_change_percentage_24h"),
+        F.col("l_extendedprice").alias("total_volume"))
+    pages = li.groupBy("l_orderkey", F.floor((F.col("l_linenumber") - 1) / 4).alias("page")) \
+              .agg(F.array_sort(F.collect_list(item)).alias("items"))
+    body = F.transform("items", lambda x: x.dropFields("_n"))
+    return pages.select("l_orderkey", "page", F.to_json(body).alias("payload"))
+
+
+def nested_metrics_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One nested metrics document (mode -> parallel lists) per order."""
+    r = metrics_records(spark, sf_dir).withColumn("_line", F.col("seq") % 8)
+    from tickflow.functions.arith import throughput
+    rec = F.struct(
+        F.col("_line"),
+        F.col("processing_time").alias("latency"),
+        throughput(F.col("rows"), F.col("processing_time")).alias("throughput"),
+        F.col("error_count").alias("errors"),
+        F.struct("cpu_percent", "memory_percent", "memory_used_gb").alias("resource_usage"),
+        F.struct(F.when(F.col("mode") == "streaming", F.col("rows")).alias("batch_size"),
+                 F.when(F.col("mode") == "batch", F.col("rows")).alias("total_records"),
+                 "processing_time", "error_count").alias("data_points"))
+    per_mode = r.groupBy("batch_id", "mode").agg(F.array_sort(F.collect_list(rec)).alias("recs"))
+    def field(name):
+        return F.transform("recs", lambda x: x[name]).alias(name)
+    lists = F.struct(*[field(f) for f in ("latency", "throughput", "errors", "resource_usage", "data_points")])
+    docs = per_mode.groupBy("batch_id").agg(F.map_from_entries(F.collect_list(F.struct("mode", lists))).alias("doc"))
+    return docs.select(F.col("batch_id").alias("doc_id"), F.to_json("doc").alias("document"))

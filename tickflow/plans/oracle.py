@@ -32,7 +32,114 @@ SELECT ws AS window_start, ws + INTERVAL 15 MINUTE AS window_end, coin_id,
 FROM bt"""
 
 
+TRACKED = "('click', 'purchase', 'view')"
+
+METRICS = """m AS (
+  SELECT CASE WHEN l_linestatus = 'O' THEN 'streaming' ELSE 'batch' END AS mode,
+         l_orderkey * 8 + l_linenumber AS seq, l_orderkey, l_linenumber,
+         l_quantity AS rows,
+         CASE WHEN l_linenumber = 1 THEN 0.0 ELSE l_extendedprice END AS processing_time,
+         CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS error_count,
+         l_discount * 100 AS cpu_percent, l_tax * 100 AS memory_percent, l_quantity / 100 AS memory_used_gb
+  FROM lineitem),
+ mt AS (SELECT *, CASE WHEN processing_time > 0 THEN rows / processing_time ELSE 0.0 END AS throughput FROM m)"""
+
+
+def _r(c, alias=None):
+    return f"round({c}, 6) + 0.0 AS {alias or c}"
+
+
+def decode_prices() -> str:
+    return f"""WITH {PRICES}
+SELECT event_id, coin_id, price_usd, {_r('market_cap')}, volume_24h,
+       date_trunc('second', timestamp) AS timestamp
+FROM p"""
+
+
+def decode_rejects() -> str:
+    return "SELECT event_id, 'not json' AS raw FROM events WHERE event_id % 7 = 0"
+
+
+def decode_market() -> str:
+    return """SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS message_key,
+       l_returnflag || l_linestatus AS coin_id, l_discount * 100 AS price_change_24h,
+       l_tax * 100 AS market_cap_change_24h, l_extendedprice AS volume_change_24h,
+       date_trunc('second', l_shipdate) AS timestamp
+FROM lineitem"""
+
+
+def market_avg_changes() -> str:
+    return f"""SELECT l_returnflag || l_linestatus AS coin_id,
+       {_r('avg(l_discount * 100)', 'avg_price_change')},
+       {_r('avg(l_tax * 100)', 'avg_market_cap_change')},
+       {_r('avg(l_extendedprice)', 'avg_volume_change')}
+FROM lineitem GROUP BY 1"""
+
+
+def tracked_coins() -> str:
+    return f"""WITH {PRICES}
+SELECT event_id, coin_id, price_usd, {_r('market_cap')}, volume_24h, timestamp
+FROM p WHERE coin_id IN {TRACKED}"""
+
+
+def top_market_cap() -> str:
+    return f"""WITH {PRICES}
+SELECT coin_id, {_r('max(market_cap)', 'market_cap')} FROM p GROUP BY coin_id
+ORDER BY max(market_cap) DESC, coin_id LIMIT 3"""
+
+
+def flatten_simple_price() -> str:
+    return """SELECT event_id, event_type AS coin_id, value AS price_usd,
+       CASE event_id % 5 WHEN 0 THEN 0.0 WHEN 1 THEN NULL ELSE value * 2 END AS market_cap,
+       CASE WHEN event_id % 3 = 0 THEN 0.0 ELSE CAST(json_extract_string(props, '$.k') AS DOUBLE) END AS volume_24h
+FROM events WHERE event_id % 11 <> 0"""
+
+
+def flatten_markets() -> str:
+    return """SELECT l_orderkey, l_returnflag || l_linestatus AS coin_id, l_discount AS price_change_24h,
+       l_tax AS market_cap_change_24h, l_extendedprice AS volume_change_24h
+FROM lineitem"""
+
+
+def sink_typed_prices() -> str:
+    return f"""WITH {PRICES}
+SELECT event_id, coin_id, CAST(CAST(price_usd AS DECIMAL(30,8)) AS DOUBLE) AS price_usd,
+       CAST(CAST(market_cap AS DECIMAL(30,2)) AS DOUBLE) AS market_cap,
+       CAST(CAST(volume_24h AS DECIMAL(30,2)) AS DOUBLE) AS volume_24h, timestamp, false AS is_reject
+FROM p"""
+
+
+def metrics_report() -> str:
+    return f"""WITH {METRICS}, modes AS (SELECT * FROM (VALUES ('streaming'), ('batch')) v(mode)),
+ a AS (SELECT mode, avg(processing_time) AS lat, avg(throughput) AS thr, sum(error_count) AS err,
+              avg(cpu_percent) AS cpu, avg(memory_percent) AS mem FROM mt GROUP BY mode)
+SELECT modes.mode, {_r('coalesce(lat, 0.0)', 'avg_latency')}, {_r('coalesce(thr, 0.0)', 'avg_throughput')},
+       CAST(coalesce(err, 0) AS BIGINT) AS total_errors,
+       {_r('coalesce(cpu, 0.0)', 'avg_cpu_usage')}, {_r('coalesce(mem, 0.0)', 'avg_memory_usage')}
+FROM modes LEFT JOIN a ON a.mode = modes.mode"""
+
+
+def metrics_series() -> str:
+    return f"""WITH {METRICS}
+SELECT mode, row_number() OVER (PARTITION BY mode
+         ORDER BY seq, processing_time, throughput, cpu_percent, memory_percent) - 1 AS idx,
+       {_r('processing_time', 'latency')}, {_r('throughput')}, {_r('cpu_percent')}, {_r('memory_percent')}
+FROM mt"""
+
+
+def metrics_nested_import() -> str:
+    return f"""WITH {METRICS}
+SELECT l_orderkey AS doc_id, mode,
+       row_number() OVER (PARTITION BY l_orderkey, mode ORDER BY l_linenumber, processing_time, throughput,
+                          error_count, cpu_percent, memory_percent, memory_used_gb) - 1 AS pos,
+       rows, {_r('processing_time')}, {_r('throughput')}, error_count,
+       {_r('cpu_percent')}, {_r('memory_percent')}, {_r('memory_used_gb')}
+FROM mt"""
+
+
 def all_sql() -> dict[str, str]:
-    return {
-        "price_window_agg": price_window_agg(),
-    }
+    names = ["price_window_agg", "decode_prices", "decode_rejects", "decode_market", "market_avg_changes",
+             "tracked_coins", "top_market_cap", "flatten_simple_price", "flatten_markets", "sink_typed_prices",
+             "metrics_report", "metrics_series", "metrics_nested_import"]
+    g = globals()
+    return {n: g[n]() for n in names}
