@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tickflow.plans import batch
+from tickflow.plans import batch, streams
 from tickflow.plans import oracle as sql_oracle
 
 QUERIES = {
@@ -11,6 +11,12 @@ QUERIES = {
         "market_avg_changes", "tracked_coins", "top_market_cap", "flatten_simple_price", "flatten_markets",
         "sink_typed_prices", "metrics_report", "metrics_series", "metrics_nested_import")
 }
+QUERIES.update({
+    name: getattr(streams, name) for name in (
+        "stream_raw_prices", "stream_rejects", "stream_market_metrics", "stream_price_windows_log",
+        "stream_price_windows_latest", "stream_price_windows_watermark", "compare_stream_batch_log",
+        "compare_stream_batch_latest", "consistency_summary", "stream_metrics")
+})
 
 
 def oracle() -> dict[str, str]:

@@ -137,9 +137,107 @@ SELECT l_orderkey AS doc_id, mode,
 FROM mt"""
 
 
+# micro-batch of a replayed event: event_id div a quarter of the ids (rounded up)
+CHUNK = "(SELECT (max(event_id) + 1 + 3) // 4 FROM events)"
+
+
+def _dec(c, p, s, alias):
+    return f"CAST(CAST({c} AS DECIMAL({p},{s})) AS DOUBLE) AS {alias}"
+
+
+STREAM_X = f"""x AS (
+  SELECT p.*, event_id // {CHUNK} AS b,
+         time_bucket(INTERVAL 5 MINUTE, timestamp) - k * INTERVAL 5 MINUTE AS ws
+  FROM p, range(3) r(k) WHERE timestamp IS NOT NULL)"""
+
+# the update log: a window is written in every batch that touches it, with all rows so far
+STREAM_LOG = """g AS (SELECT DISTINCT ws, coin_id, b FROM x),
+ st AS (SELECT g.ws, g.coin_id, g.b, avg(x.price_usd) AS a, min(x.price_usd) AS mi, max(x.price_usd) AS ma,
+               sum(x.volume_24h) AS v
+        FROM g JOIN x ON x.ws = g.ws AND x.coin_id = g.coin_id AND x.b <= g.b
+        GROUP BY g.ws, g.coin_id, g.b)"""
+
+
+def _stored(prefix=""):
+    return ", ".join([_dec(f"{prefix}a", 20, 8, "avg_price"), _dec(f"{prefix}mi", 20, 8, "min_price"),
+                      _dec(f"{prefix}ma", 20, 8, "max_price"), _dec(f"{prefix}v", 20, 2, "total_volume")])
+
+
+def stream_raw_prices() -> str:
+    return f"""WITH {PRICES}
+SELECT event_id, coin_id, {_dec('price_usd', 30, 8, 'price_usd')}, {_dec('market_cap', 30, 2, 'market_cap')},
+       {_dec('volume_24h', 30, 2, 'volume_24h')}, date_trunc('second', timestamp) AS timestamp
+FROM p"""
+
+
+def stream_rejects() -> str:
+    return f"""SELECT event_id, 'not json' AS raw, event_id // {CHUNK} AS batch_id
+FROM events WHERE event_id % 7 = 0"""
+
+
+def stream_market_metrics() -> str:
+    return f"""SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS message_key,
+       l_returnflag || l_linestatus AS coin_id,
+       {_dec('l_discount * 100', 20, 8, 'price_change_24h')}, {_dec('l_tax * 100', 20, 8, 'market_cap_change_24h')},
+       {_dec('l_extendedprice', 20, 8, 'volume_change_24h')}, date_trunc('second', l_shipdate) AS timestamp
+FROM lineitem"""
+
+
+def stream_price_windows_log() -> str:
+    return f"""WITH {PRICES}, {STREAM_X}, {STREAM_LOG}
+SELECT ws AS window_start, ws + INTERVAL 15 MINUTE AS window_end, coin_id, {_stored()}, b AS batch_id
+FROM st"""
+
+
+def stream_price_windows_latest() -> str:
+    return f"""WITH {PRICES}, {WIN}, {BATCH_AGG}
+SELECT ws AS window_start, ws + INTERVAL 15 MINUTE AS window_end, coin_id, {_stored()}
+FROM bt"""
+
+
+def stream_price_windows_watermark() -> str:
+    return f"""WITH {PRICES}, {WIN}, {BATCH_AGG}
+SELECT ws AS window_start, ws + INTERVAL 15 MINUTE AS window_end, coin_id, {_stored()}
+FROM bt
+WHERE ws + INTERVAL 15 MINUTE <= (SELECT date_trunc('second', max(ts)) FROM events) - INTERVAL 30 MINUTE"""
+
+
+def _diffs(s):
+    return f"""round(CAST(CAST({s}.a AS DECIMAL(20,8)) AS DOUBLE) - bt.a, 6) + 0.0 AS avg_price_diff,
+       round(CAST(CAST({s}.mi AS DECIMAL(20,8)) AS DOUBLE) - bt.mi, 6) + 0.0 AS min_price_diff,
+       round(CAST(CAST({s}.ma AS DECIMAL(20,8)) AS DOUBLE) - bt.ma, 6) + 0.0 AS max_price_diff,
+       round(CAST(CAST({s}.v AS DECIMAL(20,2)) AS DOUBLE) - bt.v, 6) + 0.0 AS volume_diff"""
+
+
+def compare_stream_batch_log() -> str:
+    return f"""WITH {PRICES}, {STREAM_X}, {STREAM_LOG}, {BATCH_AGG}
+SELECT st.ws AS window_start, st.ws + INTERVAL 15 MINUTE AS window_end, st.coin_id, {_diffs('st')}
+FROM st JOIN bt ON st.ws = bt.ws AND st.coin_id = bt.coin_id"""
+
+
+def compare_stream_batch_latest() -> str:
+    return f"""WITH {PRICES}, {WIN}, {BATCH_AGG}
+SELECT bt.ws AS window_start, bt.ws + INTERVAL 15 MINUTE AS window_end, bt.coin_id, {_diffs('bt')}
+FROM bt"""
+
+
+def consistency_summary() -> str:
+    return f"""WITH {PRICES}, {STREAM_X}, {STREAM_LOG},
+ s AS (SELECT avg(CAST(CAST(a AS DECIMAL(20,8)) AS DOUBLE)) AS sp,
+              avg(CAST(CAST(v AS DECIMAL(20,2)) AS DOUBLE)) AS sv, count(*) AS n FROM st),
+ b AS (SELECT avg(price_usd) AS bp, avg(volume_24h) AS bv, count(*) AS n FROM p)
+SELECT round(abs((sp - bp) / bp * 100), 6) + 0.0 AS price_difference_percent,
+       round(abs((sv - bv) / bv * 100), 6) + 0.0 AS volume_difference_percent,
+       s.n AS streaming_records, b.n AS batch_records
+FROM s, b"""
+
+
 def all_sql() -> dict[str, str]:
     names = ["price_window_agg", "decode_prices", "decode_rejects", "decode_market", "market_avg_changes",
              "tracked_coins", "top_market_cap", "flatten_simple_price", "flatten_markets", "sink_typed_prices",
-             "metrics_report", "metrics_series", "metrics_nested_import"]
+             "metrics_report", "metrics_series", "metrics_nested_import",
+             "stream_raw_prices", "stream_rejects", "stream_market_metrics", "stream_price_windows_log",
+             "stream_price_windows_latest", "stream_price_windows_watermark", "compare_stream_batch_log",
+             "compare_stream_batch_latest", "consistency_summary"]
     g = globals()
     return {n: g[n]() for n in names}

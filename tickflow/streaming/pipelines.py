@@ -1,0 +1,114 @@
+"""The streaming queries: raw prices (K1), window update log (K2), market
+metrics (K3), each a ``foreachBatch`` query with its own checkpoint."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from tickflow.functions import messages as M
+from tickflow.functions.timecols import as_instant, as_wallclock, ingest_ms
+from tickflow.operators.typed_sink import to_sink_types
+from tickflow.operators.windows import WINDOW_KEYS, WINDOW_VALUES, flatten_window, window_aggregates
+from tickflow.schemas import (CORRUPT_COL, MARKET_MESSAGE, MARKET_SINK_DECIMALS, PRICE_MESSAGE,
+                              PRICE_SINK_DECIMALS, WINDOW_SINK_DECIMALS)
+from tickflow.streaming.sinks import MeteredSink, write_batch_partition
+
+# Trigger intervals of the reference deployment.
+PRICE_TRIGGER = {"processingTime": "90 seconds"}
+MARKET_TRIGGER = {"processingTime": "60 seconds"}
+
+
+def _start(df: DataFrame, sink, checkpoint: str, name: str, trigger: dict, mode: str) -> StreamingQuery:
+    return (df.writeStream.foreachBatch(sink).outputMode(mode)
+              .option("checkpointLocation", checkpoint).queryName(name)
+              .trigger(**trigger).start())
+
+
+def _typed_rows(messages: DataFrame, schema, decimals: dict) -> DataFrame:
+    """Decoded rows with arrival time, sink types and one ``is_reject`` flag
+    (undecodable message or a value that overflows its column)."""
+    d = M.decode(messages, schema, with_corrupt=True).withColumn("ingest_ms", ingest_ms())
+    t = to_sink_types(d, decimals, flag="_overflow")
+    return (t.withColumn("is_reject", F.col(CORRUPT_COL).isNotNull() | F.col("_overflow"))
+             .drop("_overflow"))
+
+
+def start_raw_prices(messages: DataFrame, sink_path: str, checkpoint: str, trigger: dict | None = None,
+                     metrics_path: str | None = None, name: str = "raw_prices") -> StreamingQuery:
+    """K1: every decoded price message, valid and rejected alike, appended per
+    micro-batch in one write; ``is_reject`` separates them."""
+    rows = _typed_rows(messages, PRICE_MESSAGE, PRICE_SINK_DECIMALS)
+    sink = MeteredSink(name, lambda df: df, lambda df, b: write_batch_partition(df, b, sink_path),
+                       metrics_path, reject_col="is_reject")
+    return _start(rows, sink, checkpoint, name, trigger or PRICE_TRIGGER, "append")
+
+
+def start_market_metrics(messages: DataFrame, sink_path: str, checkpoint: str, trigger: dict | None = None,
+                         metrics_path: str | None = None, name: str = "market_metrics") -> StreamingQuery:
+    """K3: decoded market messages appended per micro-batch."""
+    rows = _typed_rows(messages, MARKET_MESSAGE, MARKET_SINK_DECIMALS)
+    sink = MeteredSink(name, lambda df: df, lambda df, b: write_batch_partition(df, b, sink_path),
+                       metrics_path, reject_col="is_reject")
+    return _start(rows, sink, checkpoint, name, trigger or MARKET_TRIGGER, "append")
+
+
+def window_stream(messages: DataFrame, watermark: str | None = None) -> DataFrame:
+    """Valid price rows of a message stream aggregated by sliding window.
+
+    Without ``watermark`` state is never evicted and late rows are always
+    accepted; with it, event time becomes an instant and each window is
+    final once the watermark passes its end."""
+    d = M.decode(messages, PRICE_MESSAGE, with_corrupt=True)
+    rows = d.filter(F.col(CORRUPT_COL).isNull())
+    if watermark:
+        rows = rows.withColumn("timestamp", as_instant("timestamp")).withWatermark("timestamp", watermark)
+    return window_aggregates(rows)
+
+
+def stored_windows(df: DataFrame) -> DataFrame:
+    """Window rows in the stored form: flat, NTZ UTC bounds, sink decimals."""
+    f = flatten_window(df)
+    if dict(f.dtypes)["window_start"] == "timestamp":
+        f = f.withColumns({"window_start": as_wallclock("window_start"), "window_end": as_wallclock("window_end")})
+    return to_sink_types(f, WINDOW_SINK_DECIMALS, flag="is_reject")
+
+
+def start_window_log(messages: DataFrame, sink_path: str, checkpoint: str, trigger: dict | None = None,
+                     metrics_path: str | None = None, watermark: str | None = None,
+                     name: str = "price_windows") -> StreamingQuery:
+    """K2: sliding-window aggregate.  Update mode (default) writes every
+    window a micro-batch touched, with all its rows so far, under that
+    batch's id: an update log.  With ``watermark`` the query runs in append
+    mode and writes each window once, when it closes."""
+    agg = window_stream(messages, watermark)
+    sink = MeteredSink(name, stored_windows, lambda df, b: write_batch_partition(df, b, sink_path),
+                       metrics_path, reject_col="is_reject")
+    return _start(agg, sink, checkpoint, name, trigger or PRICE_TRIGGER, "append" if watermark else "update")
+
+
+def latest_windows(log: DataFrame) -> DataFrame:
+    """Current value of each window from an update log: the row of the
+    highest batch_id per (window_start, window_end, coin_id)."""
+    last = F.max_by(F.struct(*WINDOW_VALUES), F.col("batch_id")).alias("_l")
+    return log.groupBy(*WINDOW_KEYS).agg(last).select(*WINDOW_KEYS, "_l.*")
+
+
+def await_all(spark: SparkSession, queries: list[StreamingQuery], timeout_s: float | None = None) -> None:
+    """Wait until every query ends; the first failure stops the rest and is raised."""
+    pending = list(queries)
+    while pending:
+        if timeout_s:
+            spark.streams.awaitAnyTermination(int(timeout_s))
+        else:
+            spark.streams.awaitAnyTermination()
+        spark.streams.resetTerminated()
+        for q in list(pending):
+            if not q.isActive:
+                pending.remove(q)
+                err = q.exception()
+                if err is not None:
+                    for other in pending:
+                        other.stop()
+                    raise RuntimeError(f"streaming query {q.name} failed: {err}")
