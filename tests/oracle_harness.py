@@ -60,12 +60,19 @@ def compare(spark, con, name, fn, sql, sf_dir, verbose=True):
     if not res["cols_equal"]:
         res["status"] = f"COLS spark={cols} duck={sorted(dcols)}"
         return res
+    stypes = dict(sdf.dtypes)
+    dtypes = dict(zip(dcols, [str(t) for t in rel.types]))
+    tmap = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+            "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN", "timestamp": "TIMESTAMP WITH TIME ZONE"}
+    tdiff = {c: (stypes[c], dtypes[c]) for c in cols if tmap.get(stypes[c], stypes[c]) != dtypes[c]}
+    if tdiff:
+        res["type_diff"] = tdiff
     idx = [dcols.index(c) for c in cols]
     drows = [tuple(_norm(r[i]) for i in idx) for r in rel.fetchall()]
     res["duck_rows"] = len(drows)
     a, b = collections.Counter(srows), collections.Counter(drows)
     if a == b:
-        res["status"] = "MATCH"
+        res["status"] = "MATCH" if not tdiff else "MATCH-TYPES"
     else:
         only_s = list((a - b).elements())[:3]
         only_d = list((b - a).elements())[:3]

@@ -130,3 +130,21 @@ def metrics_nested_import(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tickflow.operators.metrics import import_nested
     f = import_nested(X.nested_metrics_documents(spark, sf_dir), keep=("doc_id",))
     return _rounded(f, ["processing_time", "throughput", "cpu_percent", "memory_percent", "memory_used_gb"])
+
+
+def trending_coins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top 3 coins by mean price change."""
+    from tickflow.operators.extensions import trending
+    return trending(market_avg_changes(spark, sf_dir), 3)
+
+
+def volume_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coins ranked by total volume inside each window."""
+    from tickflow.operators.extensions import volume_rank as vr
+    return vr(W.windowed(X.prices(spark, sf_dir)))
+
+
+def market_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change of each coin's window average from its previous window."""
+    from tickflow.operators.extensions import market_trend as mt
+    return mt(W.windowed(X.prices(spark, sf_dir)))

@@ -9,7 +9,8 @@ QUERIES = {
     name: getattr(batch, name) for name in (
         "price_window_agg", "decode_prices", "decode_rejects", "decode_market", "encode_price_messages",
         "market_avg_changes", "tracked_coins", "top_market_cap", "flatten_simple_price", "flatten_markets",
-        "sink_typed_prices", "metrics_report", "metrics_series", "metrics_nested_import")
+        "sink_typed_prices", "metrics_report", "metrics_series", "metrics_nested_import",
+        "trending_coins", "volume_rank", "market_trend")
 }
 QUERIES.update({
     name: getattr(streams, name) for name in (

@@ -39,7 +39,7 @@ METRICS = """m AS (
          l_orderkey * 8 + l_linenumber AS seq, l_orderkey, l_linenumber,
          l_quantity AS rows,
          CASE WHEN l_linenumber = 1 THEN 0.0 ELSE l_extendedprice END AS processing_time,
-         CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS error_count,
+         CAST(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS BIGINT) AS error_count,
          l_discount * 100 AS cpu_percent, l_tax * 100 AS memory_percent, l_quantity / 100 AS memory_used_gb
   FROM lineitem),
  mt AS (SELECT *, CASE WHEN processing_time > 0 THEN rows / processing_time ELSE 0.0 END AS throughput FROM m)"""
@@ -232,12 +232,43 @@ SELECT round(abs((sp - bp) / bp * 100), 6) + 0.0 AS price_difference_percent,
 FROM s, b"""
 
 
+def trending_coins() -> str:
+    return f"""WITH a AS ({market_avg_changes()})
+SELECT * FROM a ORDER BY avg_price_change DESC, coin_id LIMIT 3"""
+
+
+def volume_rank() -> str:
+    return f"""WITH {PRICES}, {WIN}, {BATCH_AGG}
+SELECT ws AS window_start, ws + INTERVAL 15 MINUTE AS window_end, coin_id, v AS total_volume,
+       CAST(rank() OVER (PARTITION BY ws ORDER BY v DESC) AS INTEGER) AS volume_rank
+FROM bt"""
+
+
+def market_trend() -> str:
+    return f"""WITH {PRICES}, {WIN}, {BATCH_AGG},
+ r AS (SELECT coin_id, ws AS window_start, round(a, 6) + 0.0 AS avg_price FROM bt),
+ l AS (SELECT *, lag(avg_price) OVER (PARTITION BY coin_id ORDER BY window_start) AS prev_avg_price FROM r)
+SELECT coin_id, window_start, avg_price, prev_avg_price,
+       round((avg_price - prev_avg_price) / prev_avg_price * 100, 4) + 0.0 AS pct_change,
+       CASE WHEN prev_avg_price IS NULL THEN 'new' WHEN avg_price > prev_avg_price THEN 'up'
+            WHEN avg_price < prev_avg_price THEN 'down' ELSE 'flat' END AS trend
+FROM l"""
+
+
+def encode_price_messages() -> str:
+    return f"""WITH {PRICES}
+SELECT event_id, 'prices' AS topic,
+       CAST(to_json(struct_pack(coin_id := coin_id, price_usd := price_usd, market_cap := market_cap,
+                           volume_24h := volume_24h, timestamp := epoch_us(timestamp) // 1000)) AS VARCHAR) AS value
+FROM p"""
+
+
 def all_sql() -> dict[str, str]:
-    names = ["price_window_agg", "decode_prices", "decode_rejects", "decode_market", "market_avg_changes",
+    names = ["price_window_agg", "encode_price_messages", "decode_prices", "decode_rejects", "decode_market", "market_avg_changes",
              "tracked_coins", "top_market_cap", "flatten_simple_price", "flatten_markets", "sink_typed_prices",
              "metrics_report", "metrics_series", "metrics_nested_import",
              "stream_raw_prices", "stream_rejects", "stream_market_metrics", "stream_price_windows_log",
              "stream_price_windows_latest", "stream_price_windows_watermark", "compare_stream_batch_log",
-             "compare_stream_batch_latest", "consistency_summary"]
+             "compare_stream_batch_latest", "consistency_summary", "trending_coins", "volume_rank", "market_trend"]
     g = globals()
     return {n: g[n]() for n in names}
