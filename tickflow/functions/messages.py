@@ -97,10 +97,10 @@ MARKETS_PAYLOAD = T.ArrayType(T.StructType([
 
 def flatten_markets(df: DataFrame, payload: str = "payload", keep: tuple[str, ...] = ()) -> DataFrame:
     """Array-of-objects market payload to one market row per element."""
-    return (df.select(*keep, F.inline(F.from_json(F.col(payload), MARKETS_PAYLOAD)))
-              .select(*keep,
-                      F.col("id").alias("coin_id"),
-                      F.col("price_change_percentage_24h").alias("price_change_24h"),
-                      F.col("market_cap_change_percentage_24h").alias("market_cap_change_24h"),
-                      # the publisher puts the absolute 24 h volume here
-                      F.col("total_volume").alias("volume_change_24h")))
+    m = df.select(*keep, F.explode(F.from_json(F.col(payload), MARKETS_PAYLOAD)).alias("_m"))
+    return m.select(*keep,
+                    F.col("_m.id").alias("coin_id"),
+                    F.col("_m.price_change_percentage_24h").alias("price_change_24h"),
+                    F.col("_m.market_cap_change_percentage_24h").alias("market_cap_change_24h"),
+                    # the publisher puts the absolute 24 h volume here
+                    F.col("_m.total_volume").alias("volume_change_24h"))
