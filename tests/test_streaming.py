@@ -81,11 +81,14 @@ def _late_run(spark, root, watermark):
     feed = spark.createDataFrame(rows, "key binary, value binary, topic string, chunk int")
     inbox, out = f"{root}/inbox", f"{root}/out"
 
+    def chunk(k):
+        return feed.filter(F.col("chunk") == k).drop("chunk")
+
     def start():
         src = message_stream(spark, "parquet", inbox)
         return [P.start_window_log(src, out, f"{root}/ck", {"availableNow": True}, watermark=watermark)]
 
-    replay(spark, [(feed, inbox)], 3, start)
+    replay(spark, [(chunk, inbox)], 3, start)
     return spark.read.parquet(out)
 
 

@@ -19,7 +19,7 @@ def load_metrics(spark: SparkSession, path: str | None, fmt: str = "parquet") ->
         except Exception as e:  # only a missing table means "no metrics yet"
             if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
                 raise
-    return spark.createDataFrame([], METRICS_RECORD)
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in METRICS_RECORD.fields])
 
 
 def report(metrics: DataFrame) -> DataFrame:
@@ -33,8 +33,8 @@ def report(metrics: DataFrame) -> DataFrame:
         F.avg("cpu_percent").alias("avg_cpu_usage"),
         F.avg("memory_percent").alias("avg_memory_usage"),
     )
-    # two fixed rows: broadcasting them is bounded by construction
-    modes = F.broadcast(spark.createDataFrame([(m,) for m in MODES], "mode string"))
+    # two fixed rows, built JVM-side; broadcasting them is bounded by construction
+    modes = F.broadcast(spark.range(1).select(F.explode(F.array(*[F.lit(m) for m in MODES])).alias("mode")))
     out = agg.join(modes, "mode", "right")
     return out.select("mode",
                       *[F.coalesce(F.col(c), F.lit(0.0)).alias(c)

@@ -51,31 +51,34 @@ PRICE_FIELDS = ["coin_id", "price_usd", "market_cap", "volume_24h", "timestamp"]
 MARKET_FIELDS = ["coin_id", "price_change_24h", "market_cap_change_24h", "volume_change_24h", "timestamp"]
 
 
-def _chunked(df: DataFrame, id_col: str, chunk_rows: int) -> tuple[DataFrame, tuple[str, ...]]:
-    if chunk_rows <= 0:
-        return df, ()
-    return df.withColumn("chunk", F.floor(F.col(id_col) / F.lit(chunk_rows)).cast("int")), ("chunk",)
+def _id_range(df: DataFrame, id_col: str, chunk: int | None, chunk_rows: int) -> DataFrame:
+    """Rows of micro-batch ``chunk`` (id div chunk_rows = chunk), written as a
+    range on the id so the parquet scan skips the other row groups."""
+    if chunk is None:
+        return df
+    lo = chunk * chunk_rows
+    return df.filter((F.col(id_col) >= lo) & (F.col(id_col) < lo + chunk_rows))
 
 
-def price_messages(spark: SparkSession, sf_dir: str, chunk_rows: int = 0) -> DataFrame:
+def price_messages(spark: SparkSession, sf_dir: str, chunk: int | None = None, chunk_rows: int = 0) -> DataFrame:
     """Encoded price messages keyed by event_id, plus one malformed copy for
-    every ``REJECT_EVERY``-th event.  With ``chunk_rows`` > 0 a ``chunk``
-    column (event_id div chunk_rows) tells which micro-batch a message is in."""
-    p, carry = _chunked(prices(spark, sf_dir), "event_id", chunk_rows)
-    good = M.encode(p, PRICE_FIELDS, key=F.col("event_id"), topic="prices", carry=carry)
+    every ``REJECT_EVERY``-th event.  With ``chunk`` only the messages of that
+    micro-batch (event_id div chunk_rows = chunk)."""
+    p = _id_range(prices(spark, sf_dir), "event_id", chunk, chunk_rows)
+    good = M.encode(p, PRICE_FIELDS, key=F.col("event_id"), topic="prices")
     bad = p.filter(F.col("event_id") % REJECT_EVERY == 0).select(
         F.col("event_id").cast("string").cast("binary").alias("key"),
         F.lit(MALFORMED).cast("binary").alias("value"),
-        F.lit("prices").alias("topic"), *carry)
+        F.lit("prices").alias("topic"))
     return good.unionByName(bad)
 
 
-def market_messages(spark: SparkSession, sf_dir: str, chunk_rows: int = 0) -> DataFrame:
-    """Encoded market messages keyed by 'orderkey-linenumber'."""
-    m = market_rows(spark, sf_dir)
-    m, carry = _chunked(m.withColumn("_seq", F.col("l_orderkey")), "_seq", chunk_rows)
+def market_messages(spark: SparkSession, sf_dir: str, chunk: int | None = None, chunk_rows: int = 0) -> DataFrame:
+    """Encoded market messages keyed by 'orderkey-linenumber'; with ``chunk``
+    only those with l_orderkey div chunk_rows = chunk."""
+    m = _id_range(market_rows(spark, sf_dir), "l_orderkey", chunk, chunk_rows)
     key = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
-    return M.encode(m, MARKET_FIELDS, key=key, topic="market", carry=carry)
+    return M.encode(m, MARKET_FIELDS, key=key, topic="market")
 
 
 def replay_chunk_rows(spark: SparkSession, sf_dir: str, table: str = "events", id_col: str = "event_id") -> int:
@@ -122,18 +125,18 @@ def simple_price_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def markets_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Array-of-objects market payloads: pages of at most 4 lines of one order
-    (the API's per_page bound), so no payload grows with the data."""
+    (the API's per_page bound), so no payload grows with the data.  The line
+    number rides along as ``market_cap_rank``, the field the API orders by."""
     li = driver_table(spark, sf_dir, "lineitem")
     item = F.struct(
-        F.col("l_linenumber").alias("_n"),
+        F.col("l_linenumber").alias("market_cap_rank"),
         F.concat("l_returnflag", "l_linestatus").alias("id"),
         F.col("l_discount").alias("price_change_percentage_24h"),
         F.col("l_tax").alias("market_cap_change_percentage_24h"),
         F.col("l_extendedprice").alias("total_volume"))
     pages = li.groupBy("l_orderkey", F.floor((F.col("l_linenumber") - 1) / 4).alias("page")) \
-              .agg(F.array_sort(F.collect_list(item)).alias("items"))
-    body = F.transform("items", lambda x: x.dropFields("_n"))
-    return pages.select("l_orderkey", "page", F.to_json(body).alias("payload"))
+              .agg(F.sort_array(F.collect_list(item)).alias("items"))
+    return pages.select("l_orderkey", "page", F.to_json("items").alias("payload"))
 
 
 def nested_metrics_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,9 +152,9 @@ def nested_metrics_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.when(F.col("mode") == "streaming", F.col("rows")).alias("batch_size"),
                  F.when(F.col("mode") == "batch", F.col("rows")).alias("total_records"),
                  "processing_time", "error_count").alias("data_points"))
-    per_mode = r.groupBy("batch_id", "mode").agg(F.array_sort(F.collect_list(rec)).alias("recs"))
-    def field(name):
-        return F.transform("recs", lambda x: x[name]).alias(name)
-    lists = F.struct(*[field(f) for f in ("latency", "throughput", "errors", "resource_usage", "data_points")])
+    per_mode = r.groupBy("batch_id", "mode").agg(F.sort_array(F.collect_list(rec)).alias("recs"))
+    # field of an array of structs = the array of that field (codegen'd, no lambda)
+    lists = F.struct(*[F.col("recs")[f].alias(f)
+                       for f in ("latency", "throughput", "errors", "resource_usage", "data_points")])
     docs = per_mode.groupBy("batch_id").agg(F.map_from_entries(F.collect_list(F.struct("mode", lists))).alias("doc"))
     return docs.select(F.col("batch_id").alias("doc_id"), F.to_json("doc").alias("document"))

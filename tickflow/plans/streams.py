@@ -41,8 +41,8 @@ def run_pipeline(spark: SparkSession, sf_dir: str) -> dict[str, str]:
                                             "inbox_prices", "inbox_market", "ckpt")}
         price_rows = X.replay_chunk_rows(spark, sf_dir, "events", "event_id")
         market_rows = X.replay_chunk_rows(spark, sf_dir, "lineitem", "l_orderkey")
-        feeds = [(X.price_messages(spark, sf_dir, chunk_rows=price_rows), paths["inbox_prices"]),
-                 (X.market_messages(spark, sf_dir, chunk_rows=market_rows), paths["inbox_market"])]
+        feeds = [(lambda k: X.price_messages(spark, sf_dir, k, price_rows), paths["inbox_prices"]),
+                 (lambda k: X.market_messages(spark, sf_dir, k, market_rows), paths["inbox_market"])]
         once = {"availableNow": True}
         ck = paths["ckpt"]
 

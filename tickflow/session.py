@@ -26,6 +26,7 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8,
         .config("spark.driver.memory", "8g")
         .config("spark.sql.streaming.stateStore.providerClass",
                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+        .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     )
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)

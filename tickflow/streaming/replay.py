@@ -12,25 +12,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tickflow.streaming.pipelines import await_all
 
 
-def append_chunk(df: DataFrame, k: int, inbox: str, chunk_col: str = "chunk") -> None:
-    """Append chunk ``k`` of ``df`` to ``inbox`` (one distributed write)."""
-    df.filter(F.col(chunk_col) == k).drop(chunk_col).write.mode("append").parquet(inbox)
-
-
-def replay(spark: SparkSession, feeds: list[tuple[DataFrame, str]], n_chunks: int,
-           start: Callable[[], list[StreamingQuery]], chunk_col: str = "chunk",
+def replay(spark: SparkSession, feeds: list[tuple[Callable[[int], DataFrame], str]], n_chunks: int,
+           start: Callable[[], list[StreamingQuery]],
            on_batch: Callable[[list[StreamingQuery]], None] | None = None) -> None:
-    """For k in 0..n_chunks-1: append chunk k of every feed, then run ``start()``'s
-    queries (built with ``trigger(availableNow=True)``) to completion."""
+    """For k in 0..n_chunks-1: append ``chunk(k)`` of every feed to its inbox
+    (one distributed write each), then run ``start()``'s queries (built with
+    ``trigger(availableNow=True)``) to completion."""
     for k in range(n_chunks):
-        for df, inbox in feeds:
-            append_chunk(df, k, inbox, chunk_col)
+        for chunk, inbox in feeds:
+            chunk(k).write.mode("append").parquet(inbox)
         qs = start()
         await_all(spark, qs)
         if on_batch:

@@ -64,6 +64,8 @@ class MeteredSink:
             spark = batch_df.sparkSession
             row = ("streaming", int(batch_id), self.query, int(batch_id), float(m["rows"]), seconds,
                    int(m["rejects"]), None, None, None)
-            rec = spark.createDataFrame([row], METRICS_RECORD)
+            # one literal row built JVM-side (no Python worker per batch)
+            rec = spark.range(1).select(*[F.lit(v).cast(f.dataType).alias(f.name)
+                                          for v, f in zip(row, METRICS_RECORD.fields)])
             (rec.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                 .partitionBy("query", "batch_id").parquet(self.metrics_path))
