@@ -90,7 +90,8 @@ def main(argv):
     names = argv[2:]
     import __spark_entry__ as E
     from tickflow.session import local_session
-    spark = local_session()
+    tz = os.environ.get("ORACLE_TZ")
+    spark = local_session(extra={"spark.sql.session.timeZone": tz} if tz else None)
     qs, sqls = E.queries(), E.oracle_sql()
     con = duck(sf_dir)
     bad = 0

@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickflow.session import shared_root
+
 # Offsets tables up to this many rows are broadcast; beyond it Spark shuffles.
 OFFSETS_BROADCAST_MAX = 200_000
 
@@ -27,6 +29,7 @@ def ordinal(df: DataFrame, group_cols: list[str], order_cols: list[str], name: s
     renumber them.
     """
     spark = df.sparkSession
+    shared_root(spark)  # checkpoint() writes under spark.checkpoint.dir
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [*group_cols, *order_cols]
     ranged = (df.repartitionByRange(n, *keys)
