@@ -97,3 +97,11 @@ def test_compare_and_consistency(spark):
     p = spark.createDataFrame([(2.0, 4.0), (2.0, 6.0)], "price_usd double, volume_24h double")
     c = consistency(b, p).first()
     assert c.price_difference_percent == 25.0 and c.streaming_records == 1 and c.batch_records == 2
+
+
+def test_read_table_and_jdbc_options(spark):
+    from tickflow.sources.tables import jdbc_options, read_table
+    df = read_table(spark, "parquet", "/root/testdata/sf0.001/events.parquet")
+    assert df.count() == 1000
+    o = jdbc_options("jdbc:x", "crypto_prices", "id", 0, 100, 8, fetchsize=1000)
+    assert o["partitionColumn"] == "id" and o["numPartitions"] == 8 and o["dbtable"] == "crypto_prices"

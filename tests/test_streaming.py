@@ -109,3 +109,34 @@ def test_kafka_options():
     o = kafka_options("broker:9092", "prices", max_offsets_per_trigger=1000)
     assert o["subscribe"] == "prices" and o["startingOffsets"] == "earliest"
     assert o["failOnDataLoss"] == "false" and o["maxOffsetsPerTrigger"] == "1000"
+
+
+def test_batch_metrics_one_record_per_analysis(spark, pipeline):
+    m = S.batch_metrics(spark, SF).collect()
+    by = {r.query: r for r in m}
+    assert set(by) == {"price_analysis", "market_analysis", "comparison"}
+    n_events = spark.read.parquet(f"{SF}/events.parquet").count()
+    assert by["price_analysis"].rows == n_events and all(r.mode == "batch" for r in m)
+
+
+def test_run_all_fails_fast(spark, tmp_root):
+    from tickflow.streaming.app import start_all
+    from tickflow.streaming.progress import progress_records
+    inbox = f"{tmp_root}/inbox"
+    X.price_messages(spark, SF, 0, 250).write.parquet(inbox)
+    src = message_stream(spark, "parquet", inbox)
+    once = {"availableNow": True}
+    qs = start_all(src, src, f"{tmp_root}/out", f"{tmp_root}/ck", once, once)
+    P.await_all(spark, qs)
+    prog = progress_records(spark, qs)
+    assert prog.count() >= 3 and prog.filter("rows > 0").count() >= 3
+
+    def boom(df, batch_id):
+        raise ValueError("sink down")
+    bad = src.writeStream.foreachBatch(boom).option("checkpointLocation", f"{tmp_root}/ck_bad") \
+             .trigger(availableNow=True).start()
+    slow = src.writeStream.format("noop").option("checkpointLocation", f"{tmp_root}/ck_slow") \
+              .trigger(processingTime="1 hour").start()
+    with pytest.raises(RuntimeError):
+        P.await_all(spark, [bad, slow])
+    assert not slow.isActive

@@ -20,6 +20,7 @@ from tickflow.plans import fixtures as X
 from tickflow.schemas import METRICS_RECORD
 from tickflow.session import scratch_path
 from tickflow.streaming import pipelines as P
+from tickflow.streaming.app import start_all
 from tickflow.streaming.replay import replay
 from tickflow.streaming.sources import message_stream
 
@@ -49,13 +50,8 @@ def run_pipeline(spark: SparkSession, sf_dir: str) -> dict[str, str]:
         def start():
             prices = message_stream(spark, "parquet", paths["inbox_prices"])
             market = message_stream(spark, "parquet", paths["inbox_market"])
-            return [
-                P.start_raw_prices(prices, paths["raw"], f"{ck}/raw", once, paths["metrics"]),
-                P.start_window_log(prices, paths["windows"], f"{ck}/windows", once, paths["metrics"]),
-                P.start_window_log(prices, paths["windows_wm"], f"{ck}/windows_wm", once, paths["metrics"],
-                                   watermark=WATERMARK, name="price_windows_watermark"),
-                P.start_market_metrics(market, paths["market"], f"{ck}/market", once, paths["metrics"]),
-            ]
+            return start_all(prices, market, root, ck, once, once, paths["metrics"],
+                             watermark_log=WATERMARK)
 
         replay(spark, feeds, X.REPLAY_CHUNKS, start)
         _RUNS[key] = paths
@@ -139,3 +135,14 @@ def stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = run_pipeline(spark, sf_dir)["metrics"]
     m = spark.read.parquet(path)
     return m.select(*[F.col(f.name).cast(f.dataType) for f in METRICS_RECORD.fields])
+
+
+def batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5 (batch mode): the three batch analyses run and timed once each over
+    the stored tables; one metrics record per analysis (rows = input rows)."""
+    from tickflow.plans.batch_run import run_batch
+    paths = run_pipeline(spark, sf_dir)
+    m = run_batch(spark, X.prices(spark, sf_dir), X.market_rows(spark, sf_dir), _windows_log(spark, sf_dir))
+    path = f"{paths['metrics']}_batch"
+    m.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

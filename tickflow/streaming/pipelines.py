@@ -97,12 +97,16 @@ def latest_windows(log: DataFrame) -> DataFrame:
 
 def await_all(spark: SparkSession, queries: list[StreamingQuery], timeout_s: float | None = None) -> None:
     """Wait until every query ends; the first failure stops the rest and is raised."""
+    from pyspark.errors import StreamingQueryException
     pending = list(queries)
     while pending:
-        if timeout_s:
-            spark.streams.awaitAnyTermination(int(timeout_s))
-        else:
-            spark.streams.awaitAnyTermination()
+        try:
+            if timeout_s:
+                spark.streams.awaitAnyTermination(int(timeout_s))
+            else:
+                spark.streams.awaitAnyTermination()
+        except StreamingQueryException:
+            pass  # the failed query is found and reported below
         spark.streams.resetTerminated()
         for q in list(pending):
             if not q.isActive:
