@@ -29,8 +29,11 @@ def decode(df: DataFrame, schema: T.StructType, keep: tuple[str, ...] = ("key",)
         opts["columnNameOfCorruptRecord"] = CORRUPT_COL
     text = F.col("value").cast("string")
     kept = [k for k in keep if k in df.columns]
-    out = df.select(*kept, F.from_json(text, sch, opts).alias("_d"), text.isNull().alias("_no_value"))
-    out = out.select(*kept, "_d.*", "_no_value")
+    # The parsed struct is expanded by a one-element generator: a later filter
+    # on a decoded field (rejects, window's non-NULL time) cannot be pushed
+    # below a generator's output, so each message is parsed exactly once
+    # instead of once in the pushed-down filter and again in the projection.
+    out = df.select(*kept, text.isNull().alias("_no_value"), F.inline(F.array(F.from_json(text, sch, opts))))
     if with_corrupt:
         # A NULL value is not caught by the corrupt-record column.
         out = out.withColumn(CORRUPT_COL, F.when(F.col("_no_value"), F.lit("")).otherwise(F.col(CORRUPT_COL)))
