@@ -20,7 +20,7 @@ HEADLINE = [
     "price_window_agg", "decode_prices", "market_avg_changes", "flatten_markets", "sink_typed_prices",
     "metrics_report", "metrics_series", "metrics_nested_import", "market_trend", "volume_rank",
     "stream_pipeline", "stream_price_windows_latest", "compare_stream_batch_log",
-    "compare_stream_batch_latest", "consistency_summary",
+    "compare_stream_batch_latest", "consistency_summary", "batch_metrics",
 ]
 
 
@@ -41,10 +41,16 @@ def main() -> None:
         else:
             qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t0, 3)
+    # the reference's own report (mean latency and throughput per processing
+    # mode) over the metrics records this run wrote: 2 rows reach the driver
+    from tickflow.operators.metrics import report
+    recs = qs["stream_metrics"](spark, sf_dir).unionByName(qs["batch_metrics"](spark, sf_dir))
+    rep = {r["mode"]: {k: round(float(r[k]), 3) for k in ("avg_latency", "avg_throughput")}
+           for r in report(recs).collect()}
     sf = os.path.basename(sf_dir).replace("sf", "")
     print(json.dumps({"metric": "total_query_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
-                      "cpus": cpus}))
+                      "cpus": cpus, "report": rep}))
     spark.stop()
 
 

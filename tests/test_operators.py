@@ -105,3 +105,24 @@ def test_read_table_and_jdbc_options(spark):
     assert df.count() == 1000
     o = jdbc_options("jdbc:x", "crypto_prices", "id", 0, 100, 8, fetchsize=1000)
     assert o["partitionColumn"] == "id" and o["numPartitions"] == 8 and o["dbtable"] == "crypto_prices"
+
+
+def test_two_places(spark):
+    from tickflow.functions.display import formatted
+    r = formatted(spark.createDataFrame([(1.005, 2.0)], "a double, b double"), ["a", "b"]).first()
+    assert r.b == "2.00" and r.a in ("1.00", "1.01")
+
+
+def test_previous_value_matches_lag_across_buckets(spark):
+    import datetime as dt
+    from tickflow.operators.extensions import previous_value
+    base = dt.datetime(2024, 1, 1)
+    rows = [("hot" if i % 4 else "cold", base + dt.timedelta(minutes=5 * (i * 37 % 2000)), float(i))
+            for i in range(3000)]
+    df = spark.createDataFrame(rows, "coin_id string, window_start timestamp_ntz, avg_price double") \
+              .dropDuplicates(["coin_id", "window_start"])
+    got = previous_value(df, "coin_id", "window_start", "avg_price", "prev")
+    ref = df.withColumn("ref", F.lag("avg_price").over(Window.partitionBy("coin_id").orderBy("window_start")))
+    j = got.join(ref, ["coin_id", "window_start"])
+    assert j.count() == df.count()
+    assert j.filter(~F.col("prev").eqNullSafe(F.col("ref"))).count() == 0

@@ -140,3 +140,14 @@ def test_run_all_fails_fast(spark, tmp_root):
     with pytest.raises(RuntimeError):
         P.await_all(spark, [bad, slow])
     assert not slow.isActive
+
+
+def test_rate_cap_one_file_per_batch(spark, tmp_root):
+    inbox = f"{tmp_root}/inbox"
+    for k in range(3):
+        X.price_messages(spark, SF, k, 250).coalesce(1).write.mode("append").parquet(inbox)
+    src = message_stream(spark, "parquet", inbox, max_files_per_trigger=1)
+    q = P.start_raw_prices(src, f"{tmp_root}/raw", f"{tmp_root}/ck", {"availableNow": True})
+    q.awaitTermination()
+    raw = spark.read.parquet(f"{tmp_root}/raw")
+    assert raw.select("batch_id").distinct().count() == 3

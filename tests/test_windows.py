@@ -54,3 +54,27 @@ def test_window_plan_is_partial_then_final(spark):
         F.col("value").alias("volume_24h"), F.col("ts").alias("timestamp"))
     plan = windowed(df)._jdf.queryExecution().executedPlan().toString()
     assert "Expand" in plan and plan.count("HashAggregate") >= 2
+
+
+from hypothesis import given, settings, strategies as st
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.integers(min_value=0, max_value=3 * 24 * 3600), min_size=1, max_size=40))
+def test_each_row_in_three_windows_containing_it(spark, seconds):
+    base = dt.datetime(2024, 1, 1)
+    rows = [("a", 1.0, 1.0, base + dt.timedelta(seconds=s)) for s in seconds]
+    df = _prices(spark, rows).withColumn("rid", F.monotonically_increasing_id())
+    win = df.select("rid", "timestamp", F.window("timestamp", "15 minutes", "5 minutes").alias("w"))
+    got = win.groupBy("rid").agg(F.count("*").alias("n"),
+                                 F.min(F.col("w.start") <= F.col("timestamp")).alias("start_ok"),
+                                 F.min(F.col("timestamp") < F.col("w.end")).alias("end_ok")).collect()
+    assert len(got) == len(rows) and all(r.n == 3 and r.start_ok and r.end_ok for r in got)
+    # the aggregate equals a brute-force count per window start
+    expect = {}
+    for s in seconds:
+        b = s - s % 300
+        for k in range(3):
+            expect[base + dt.timedelta(seconds=b - 300 * k)] = expect.get(base + dt.timedelta(seconds=b - 300 * k), 0) + 1
+    agg = windowed(_prices(spark, rows), extra=[F.count("*").alias("n")]).collect()
+    assert {r.window_start: r.n for r in agg} == expect
