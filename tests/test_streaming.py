@@ -151,3 +151,12 @@ def test_rate_cap_one_file_per_batch(spark, tmp_root):
     q.awaitTermination()
     raw = spark.read.parquet(f"{tmp_root}/raw")
     assert raw.select("batch_id").distinct().count() == 3
+
+
+def test_raw_sink_prunes_by_date(spark, pipeline):
+    import datetime as dt
+    raw = spark.read.parquet(pipeline["raw"])
+    day = raw.filter(F.col("event_date") == dt.date(2024, 1, 1))
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan
+    assert day.count() == raw.filter(F.to_date("timestamp") == dt.date(2024, 1, 1)).count() > 0

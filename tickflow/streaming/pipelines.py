@@ -30,6 +30,7 @@ def _typed_rows(messages: DataFrame, schema, decimals: dict) -> DataFrame:
     """Decoded rows with arrival time, sink types and one ``is_reject`` flag
     (undecodable message or a value that overflows its column)."""
     d = M.decode(messages, schema, with_corrupt=True).withColumn("ingest_ms", ingest_ms())
+    d = d.withColumn("event_date", F.to_date("timestamp"))
     t = to_sink_types(d, decimals, flag="_overflow")
     return (t.withColumn("is_reject", F.col(CORRUPT_COL).isNotNull() | F.col("_overflow"))
              .drop("_overflow"))
@@ -38,9 +39,11 @@ def _typed_rows(messages: DataFrame, schema, decimals: dict) -> DataFrame:
 def start_raw_prices(messages: DataFrame, sink_path: str, checkpoint: str, trigger: dict | None = None,
                      metrics_path: str | None = None, name: str = "raw_prices") -> StreamingQuery:
     """K1: every decoded price message, valid and rejected alike, appended per
-    micro-batch in one write; ``is_reject`` separates them."""
+    micro-batch in one write; ``is_reject`` separates them.  Stored under
+    batch_id=/event_date= so a time-range read prunes by date."""
     rows = _typed_rows(messages, PRICE_MESSAGE, PRICE_SINK_DECIMALS)
-    sink = MeteredSink(name, lambda df: df, lambda df, b: write_batch_partition(df, b, sink_path),
+    sink = MeteredSink(name, lambda df: df,
+                       lambda df, b: write_batch_partition(df, b, sink_path, partition_by=("event_date",)),
                        metrics_path, reject_col="is_reject")
     return _start(rows, sink, checkpoint, name, trigger or PRICE_TRIGGER, "append")
 
@@ -49,7 +52,8 @@ def start_market_metrics(messages: DataFrame, sink_path: str, checkpoint: str, t
                          metrics_path: str | None = None, name: str = "market_metrics") -> StreamingQuery:
     """K3: decoded market messages appended per micro-batch."""
     rows = _typed_rows(messages, MARKET_MESSAGE, MARKET_SINK_DECIMALS)
-    sink = MeteredSink(name, lambda df: df, lambda df, b: write_batch_partition(df, b, sink_path),
+    sink = MeteredSink(name, lambda df: df,
+                       lambda df, b: write_batch_partition(df, b, sink_path, partition_by=("event_date",)),
                        metrics_path, reject_col="is_reject")
     return _start(rows, sink, checkpoint, name, trigger or MARKET_TRIGGER, "append")
 
