@@ -1,9 +1,10 @@
 """Queries over the streaming pipeline.
 
-One replay per session and table folder runs the four streaming queries
-(raw prices, window update log, watermarked windows, market metrics) over
-the price and market messages derived from ``events`` and ``lineitem``; the
-registered queries read what those queries wrote.
+Two independent replays per session and table folder: the price replay
+runs raw prices, the window update log and the watermarked window log over
+the price messages derived from ``events``; the market replay runs the
+market stream over messages derived from ``lineitem``.  The registered
+queries read what those queries wrote.
 """
 
 from __future__ import annotations
@@ -20,7 +21,6 @@ from tickflow.plans import fixtures as X
 from tickflow.schemas import METRICS_RECORD
 from tickflow.session import scratch_path
 from tickflow.streaming import pipelines as P
-from tickflow.streaming.app import start_all
 from tickflow.streaming.replay import replay
 from tickflow.streaming.sources import message_stream
 
@@ -31,29 +31,46 @@ _RUNS: dict = {}
 _LOCK = threading.Lock()
 
 
-def run_pipeline(spark: SparkSession, sf_dir: str) -> dict[str, str]:
-    """Replays the tables once per (application, sf_dir); returns sink paths."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+def run_pipeline(spark: SparkSession, sf_dir: str, part: str = "prices") -> dict[str, str]:
+    """Replays one feed once per (application, sf_dir, part); returns sink paths.
+
+    ``prices`` runs raw prices, the window update log and the watermarked
+    window log over the price messages; ``market`` runs the market stream.
+    The two replays are independent, so a query waits only for its own feed.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, part)
     with _LOCK:
         if key in _RUNS:
             return _RUNS[key]
-        root = scratch_path(spark, "pipeline")
-        paths = {n: f"{root}/{n}" for n in ("raw", "windows", "windows_wm", "market", "metrics",
-                                            "inbox_prices", "inbox_market", "ckpt")}
-        price_rows = X.replay_chunk_rows(spark, sf_dir, "events", "event_id")
-        market_rows = X.replay_chunk_rows(spark, sf_dir, "lineitem", "l_orderkey")
-        feeds = [(lambda k: X.price_messages(spark, sf_dir, k, price_rows), paths["inbox_prices"]),
-                 (lambda k: X.market_messages(spark, sf_dir, k, market_rows), paths["inbox_market"])]
+        root = scratch_path(spark, f"pipeline-{part}")
+        names = ("raw", "windows", "windows_wm") if part == "prices" else ("market",)
+        paths = {n: f"{root}/{n}" for n in (*names, "metrics", "inbox", "ckpt")}
         once = {"availableNow": True}
-        ck = paths["ckpt"]
-
-        def start():
-            prices = message_stream(spark, "parquet", paths["inbox_prices"])
-            market = message_stream(spark, "parquet", paths["inbox_market"])
-            return start_all(prices, market, root, ck, once, once, paths["metrics"],
-                             watermark_log=WATERMARK)
-
-        replay(spark, feeds, X.REPLAY_CHUNKS, start)
+        ck, metrics = paths["ckpt"], paths["metrics"]
+        if part == "prices":
+            rows = X.replay_chunk_rows(spark, sf_dir, "events", "event_id")
+
+            def feed(k):
+                return X.price_messages(spark, sf_dir, k, rows)
+
+            def start():
+                src = message_stream(spark, "parquet", paths["inbox"])
+                return [P.start_raw_prices(src, paths["raw"], f"{ck}/raw", once, metrics),
+                        P.start_window_log(src, paths["windows"], f"{ck}/windows", once, metrics),
+                        P.start_window_log(src, paths["windows_wm"], f"{ck}/windows_wm", once, metrics,
+                                           watermark=WATERMARK, name="price_windows_watermark")]
+        elif part == "market":
+            rows = X.replay_chunk_rows(spark, sf_dir, "lineitem", "l_orderkey")
+
+            def feed(k):
+                return X.market_messages(spark, sf_dir, k, rows)
+
+            def start():
+                src = message_stream(spark, "parquet", paths["inbox"])
+                return [P.start_market_metrics(src, paths["market"], f"{ck}/market", once, metrics)]
+        else:
+            raise ValueError(f"unknown part {part!r}")
+        replay(spark, [(feed, paths["inbox"])], X.REPLAY_CHUNKS, start)
         _RUNS[key] = paths
         return paths
 
@@ -83,7 +100,7 @@ def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_market_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Market rows the market stream stored."""
-    m = _log(spark, run_pipeline(spark, sf_dir)["market"]).filter(~F.col("is_reject"))
+    m = _log(spark, run_pipeline(spark, sf_dir, "market")["market"]).filter(~F.col("is_reject"))
     cols = ["price_change_24h", "market_cap_change_24h", "volume_change_24h"]
     return _doubles(m.select(F.col("key").cast("string").alias("message_key"), "coin_id", *cols, "timestamp"), cols)
 
@@ -132,9 +149,10 @@ def consistency_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One metrics record per micro-batch of every streaming query."""
-    path = run_pipeline(spark, sf_dir)["metrics"]
-    m = spark.read.parquet(path)
-    return m.select(*[F.col(f.name).cast(f.dataType) for f in METRICS_RECORD.fields])
+    cols = [F.col(f.name).cast(f.dataType) for f in METRICS_RECORD.fields]
+    prices, market = (spark.read.parquet(run_pipeline(spark, sf_dir, part)["metrics"]).select(*cols)
+                      for part in ("prices", "market"))
+    return prices.unionByName(market)
 
 
 def batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:

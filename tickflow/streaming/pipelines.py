@@ -37,23 +37,32 @@ def _typed_rows(messages: DataFrame, schema, decimals: dict) -> DataFrame:
 
 
 def start_raw_prices(messages: DataFrame, sink_path: str, checkpoint: str, trigger: dict | None = None,
-                     metrics_path: str | None = None, name: str = "raw_prices") -> StreamingQuery:
+                     metrics_path: str | None = None, name: str = "raw_prices",
+                     date_partitions: bool = True) -> StreamingQuery:
     """K1: every decoded price message, valid and rejected alike, appended per
-    micro-batch in one write; ``is_reject`` separates them.  Stored under
-    batch_id=/event_date= so a time-range read prunes by date."""
+    micro-batch in one write; ``is_reject`` separates them.
+
+    With ``date_partitions`` rows are stored under batch_id=/event_date= so a
+    time-range read prunes by date.  That suits a live feed, where a
+    micro-batch spans a day or two; a batch spanning years of event dates
+    would write one small file per date per task, so turn it off there."""
     rows = _typed_rows(messages, PRICE_MESSAGE, PRICE_SINK_DECIMALS)
+    parts = ("event_date",) if date_partitions else ()
     sink = MeteredSink(name, lambda df: df,
-                       lambda df, b: write_batch_partition(df, b, sink_path, partition_by=("event_date",)),
+                       lambda df, b: write_batch_partition(df, b, sink_path, partition_by=parts),
                        metrics_path, reject_col="is_reject")
     return _start(rows, sink, checkpoint, name, trigger or PRICE_TRIGGER, "append")
 
 
 def start_market_metrics(messages: DataFrame, sink_path: str, checkpoint: str, trigger: dict | None = None,
-                         metrics_path: str | None = None, name: str = "market_metrics") -> StreamingQuery:
-    """K3: decoded market messages appended per micro-batch."""
+                         metrics_path: str | None = None, name: str = "market_metrics",
+                         date_partitions: bool = False) -> StreamingQuery:
+    """K3: decoded market messages appended per micro-batch (``date_partitions``
+    as for :func:`start_raw_prices`)."""
     rows = _typed_rows(messages, MARKET_MESSAGE, MARKET_SINK_DECIMALS)
+    parts = ("event_date",) if date_partitions else ()
     sink = MeteredSink(name, lambda df: df,
-                       lambda df, b: write_batch_partition(df, b, sink_path, partition_by=("event_date",)),
+                       lambda df, b: write_batch_partition(df, b, sink_path, partition_by=parts),
                        metrics_path, reject_col="is_reject")
     return _start(rows, sink, checkpoint, name, trigger or MARKET_TRIGGER, "append")
 
