@@ -37,8 +37,7 @@ def main() -> None:
     for name in HEADLINE:
         t0 = time.perf_counter()
         if name == "stream_pipeline":
-            streams.run_pipeline(spark, sf_dir, "prices")
-            streams.run_pipeline(spark, sf_dir, "market")
+            streams.run_pipelines(spark, sf_dir)
         else:
             qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t0, 3)

@@ -28,7 +28,8 @@ from tickflow.streaming.sources import message_stream
 WATERMARK = "30 minutes"
 
 _RUNS: dict = {}
-_LOCK = threading.Lock()
+_LOCKS: dict = {}
+_GUARD = threading.Lock()
 
 
 def run_pipeline(spark: SparkSession, sf_dir: str, part: str = "prices") -> dict[str, str]:
@@ -39,7 +40,9 @@ def run_pipeline(spark: SparkSession, sf_dir: str, part: str = "prices") -> dict
     The two replays are independent, so a query waits only for its own feed.
     """
     key = (spark.sparkContext.applicationId, sf_dir, part)
-    with _LOCK:
+    with _GUARD:
+        lock = _LOCKS.setdefault(key, threading.Lock())
+    with lock:
         if key in _RUNS:
             return _RUNS[key]
         root = scratch_path(spark, f"pipeline-{part}")
@@ -75,6 +78,26 @@ def run_pipeline(spark: SparkSession, sf_dir: str, part: str = "prices") -> dict
         return paths
 
 
+def run_pipelines(spark: SparkSession, sf_dir: str, parts=("prices", "market")) -> dict[str, dict[str, str]]:
+    """Runs several replays at once (one driver thread each; Spark schedules
+    their jobs side by side) and returns their paths by part."""
+    out, errors = {}, []
+
+    def one(part):
+        try:
+            out[part] = run_pipeline(spark, sf_dir, part)
+        except Exception as e:  # re-raised below, in the caller's thread
+            errors.append(e)
+    threads = [threading.Thread(target=one, args=(p,)) for p in parts]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    if errors:
+        raise errors[0]
+    return out
+
+
 def _doubles(df: DataFrame, cols) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("double") for c in cols})
 
@@ -150,8 +173,8 @@ def consistency_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One metrics record per micro-batch of every streaming query."""
     cols = [F.col(f.name).cast(f.dataType) for f in METRICS_RECORD.fields]
-    prices, market = (spark.read.parquet(run_pipeline(spark, sf_dir, part)["metrics"]).select(*cols)
-                      for part in ("prices", "market"))
+    paths = run_pipelines(spark, sf_dir)
+    prices, market = (spark.read.parquet(paths[part]["metrics"]).select(*cols) for part in ("prices", "market"))
     return prices.unionByName(market)
 
 
