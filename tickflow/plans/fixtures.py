@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickflow.functions import messages as M
+from tickflow.schemas import MODES
 from tickflow.sources.tables import driver_table
 
 # Fixed values of the mapping.
@@ -152,9 +153,15 @@ def nested_metrics_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.when(F.col("mode") == "streaming", F.col("rows")).alias("batch_size"),
                  F.when(F.col("mode") == "batch", F.col("rows")).alias("total_records"),
                  "processing_time", "error_count").alias("data_points"))
-    per_mode = r.groupBy("batch_id", "mode").agg(F.sort_array(F.collect_list(rec)).alias("recs"))
-    # field of an array of structs = the array of that field (codegen'd, no lambda)
-    lists = F.struct(*[F.col("recs")[f].alias(f)
-                       for f in ("latency", "throughput", "errors", "resource_usage", "data_points")])
-    docs = per_mode.groupBy("batch_id").agg(F.map_from_entries(F.collect_list(F.struct("mode", lists))).alias("doc"))
-    return docs.select(F.col("batch_id").alias("doc_id"), F.to_json("doc").alias("document"))
+    # one aggregation per order: collect_list skips NULLs, so each mode's list
+    # collects only its own records; both modes are always present, as in the
+    # log's default structure (empty lists for a mode without records)
+    per_mode = {m: F.sort_array(F.collect_list(F.when(F.col("mode") == m, rec))).alias(m) for m in MODES}
+    docs = r.groupBy("batch_id").agg(*per_mode.values())
+
+    def lists(m):
+        # field of an array of structs = the array of that field (codegen'd, no lambda)
+        return F.struct(*[F.col(m)[f].alias(f)
+                          for f in ("latency", "throughput", "errors", "resource_usage", "data_points")])
+    doc = F.create_map(*[x for m in MODES for x in (F.lit(m), lists(m))])
+    return docs.select(F.col("batch_id").alias("doc_id"), F.to_json(doc).alias("document"))
