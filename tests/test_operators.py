@@ -126,3 +126,11 @@ def test_previous_value_matches_lag_across_buckets(spark):
     j = got.join(ref, ["coin_id", "window_start"])
     assert j.count() == df.count()
     assert j.filter(~F.col("prev").eqNullSafe(F.col("ref"))).count() == 0
+
+
+def test_shared_root_reads_session_setting(spark):
+    from tickflow.session import scratch_path, shared_root
+    root = shared_root(spark)
+    assert root == spark.sparkContext.getCheckpointDir().rstrip("/")
+    a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert a != b and a.startswith(root + "/tickflow/x-")
