@@ -160,3 +160,17 @@ def test_raw_sink_prunes_by_date(spark, pipeline):
     plan = day._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(event_date" in plan
     assert day.count() == raw.filter(F.to_date("timestamp") == dt.date(2024, 1, 1)).count() > 0
+
+
+def test_metered_sink_retry_of_a_batch_changes_nothing(spark, tmp_root):
+    from tickflow.streaming.sinks import MeteredSink
+    out, met = f"{tmp_root}/out", f"{tmp_root}/metrics"
+    sink = MeteredSink("q", lambda df: df.withColumn("is_reject", F.col("id") % 3 == 0),
+                       lambda df, b: write_batch_partition(df, b, out), met, reject_col="is_reject")
+    batch = spark.range(9)
+    sink(batch, 0)
+    sink(batch, 1)
+    sink(batch, 1)          # the retry of batch 1 after a failure
+    assert spark.read.parquet(out).count() == 18
+    m = spark.read.parquet(met).collect()
+    assert len(m) == 2 and all(r.rows == 9.0 and r.error_count == 3 for r in m)
