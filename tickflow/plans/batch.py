@@ -128,7 +128,7 @@ def metrics_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 def metrics_nested_import(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested metrics documents to flat records."""
     from tickflow.operators.metrics import import_nested
-    f = import_nested(X.nested_metrics_documents(spark, sf_dir), keep=("doc_id",))
+    f = import_nested(X.nested_metrics_documents(spark, sf_dir), keep=("doc_id", "page"))
     return _rounded(f, ["processing_time", "throughput", "cpu_percent", "memory_percent", "memory_used_gb"])
 
 

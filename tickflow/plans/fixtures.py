@@ -126,9 +126,11 @@ def simple_price_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def markets_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Array-of-objects market payloads: pages of at most 4 lines of one order
-    (the API's per_page bound), so no payload grows with the data.  The line
-    number rides along as ``market_cap_rank``, the field the API orders by."""
+    """Array-of-objects market payloads of at most 4 objects (the API's
+    per_page bound): lines of one order that sit in the same block of 4
+    adjacent rows of an input split.  The block bounds every group, even an
+    order holding a large share of the table.  The line number rides along as
+    ``market_cap_rank``, the field the API orders by."""
     li = driver_table(spark, sf_dir, "lineitem")
     item = F.struct(
         F.col("l_linenumber").alias("market_cap_rank"),
@@ -136,32 +138,46 @@ def markets_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_discount").alias("price_change_percentage_24h"),
         F.col("l_tax").alias("market_cap_change_percentage_24h"),
         F.col("l_extendedprice").alias("total_volume"))
-    pages = li.groupBy("l_orderkey", F.floor((F.col("l_linenumber") - 1) / 4).alias("page")) \
+    block = F.floor(F.monotonically_increasing_id() / PAGE_SIZE)
+    pages = li.groupBy("l_orderkey", block.alias("page")) \
               .agg(F.sort_array(F.collect_list(item)).alias("items"))
     return pages.select("l_orderkey", "page", F.to_json("items").alias("payload"))
 
 
+# Objects per market payload, records per nested metrics document.
+PAGE_SIZE = 4
+DOC_SIZE = 8
+DOC_ORDER = ["l_linenumber", "processing_time", "throughput", "error_count", "cpu_percent",
+             "memory_percent", "memory_used_gb", "mode"]
+
+
 def nested_metrics_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One nested metrics document (mode -> parallel lists) per order."""
-    r = metrics_records(spark, sf_dir).withColumn("_line", F.col("seq") % 8)
+    """Nested metrics documents (mode -> parallel lists) of at most DOC_SIZE
+    records: the records of one order, numbered by ``ordinal`` (so a huge
+    order is numbered without one task holding it) and cut into pages."""
+    from tickflow.operators.ordinal import ordinal
+    r = (metrics_records(spark, sf_dir)
+         .withColumn("l_linenumber", F.col("seq") % 8)
+         .withColumn("throughput", throughput(F.col("rows"), F.col("processing_time"))))
+    r = ordinal(r, ["batch_id"], DOC_ORDER, name="_idx").withColumn("page", F.floor(F.col("_idx") / DOC_SIZE))
     rec = F.struct(
-        F.col("_line"),
+        F.col("_idx"),
         F.col("processing_time").alias("latency"),
-        throughput(F.col("rows"), F.col("processing_time")).alias("throughput"),
+        F.col("throughput"),
         F.col("error_count").alias("errors"),
         F.struct("cpu_percent", "memory_percent", "memory_used_gb").alias("resource_usage"),
         F.struct(F.when(F.col("mode") == "streaming", F.col("rows")).alias("batch_size"),
                  F.when(F.col("mode") == "batch", F.col("rows")).alias("total_records"),
                  "processing_time", "error_count").alias("data_points"))
-    # one aggregation per order: collect_list skips NULLs, so each mode's list
+    # one aggregation per page: collect_list skips NULLs, so each mode's list
     # collects only its own records; both modes are always present, as in the
     # log's default structure (empty lists for a mode without records)
     per_mode = {m: F.sort_array(F.collect_list(F.when(F.col("mode") == m, rec))).alias(m) for m in MODES}
-    docs = r.groupBy("batch_id").agg(*per_mode.values())
+    docs = r.groupBy("batch_id", "page").agg(*per_mode.values())
 
     def lists(m):
         # field of an array of structs = the array of that field (codegen'd, no lambda)
         return F.struct(*[F.col(m)[f].alias(f)
                           for f in ("latency", "throughput", "errors", "resource_usage", "data_points")])
     doc = F.create_map(*[x for m in MODES for x in (F.lit(m), lists(m))])
-    return docs.select(F.col("batch_id").alias("doc_id"), F.to_json(doc).alias("document"))
+    return docs.select(F.col("batch_id").alias("doc_id"), "page", F.to_json(doc).alias("document"))

@@ -128,13 +128,14 @@ FROM mt"""
 
 
 def metrics_nested_import() -> str:
-    return f"""WITH {METRICS}
-SELECT l_orderkey AS doc_id, mode,
-       row_number() OVER (PARTITION BY l_orderkey, mode ORDER BY l_linenumber, processing_time, throughput,
-                          error_count, cpu_percent, memory_percent, memory_used_gb) - 1 AS pos,
+    return f"""WITH {METRICS},
+ n AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, processing_time, throughput,
+                                    error_count, cpu_percent, memory_percent, memory_used_gb, mode) - 1 AS idx FROM mt)
+SELECT l_orderkey AS doc_id, idx // 8 AS page, mode,
+       row_number() OVER (PARTITION BY l_orderkey, idx // 8, mode ORDER BY idx) - 1 AS pos,
        rows, {_r('processing_time')}, {_r('throughput')}, error_count,
        {_r('cpu_percent')}, {_r('memory_percent')}, {_r('memory_used_gb')}
-FROM mt"""
+FROM n"""
 
 
 # micro-batch of a replayed event: event_id div a quarter of the ids (rounded up)
