@@ -26,3 +26,12 @@ def test_entry_runs(spark):
     assert df.count() > 0
     assert df.columns == ["window_start", "window_end", "coin_id", "avg_price", "min_price", "max_price",
                           "total_volume"]
+
+
+PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_plan_stays_in_the_jvm(spark, name):
+    plan = E.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert not any(n in plan for n in PYTHON_NODES), plan

@@ -33,8 +33,9 @@ def tracked(df: DataFrame, coins=None, key: str = "coin_id") -> DataFrame:
     coins = TRACKED_COINS if coins is None else coins
     if not hasattr(coins, "columns"):
         return df.filter(F.col(key).isin(list(coins)))
+    # the table's row count bounds its distinct ids: checked without a shuffle
+    small = coins.limit(BROADCAST_MAX_ROWS + 1).count() <= BROADCAST_MAX_ROWS
     ids = coins.select(F.col("coin_id").alias("_tracked")).distinct()
-    small = ids.limit(BROADCAST_MAX_ROWS + 1).count() <= BROADCAST_MAX_ROWS
     side = F.broadcast(ids) if small else ids
     return df.join(side, F.col(key) == F.col("_tracked"), "left_semi")
 
