@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickflow.functions.arith import round_double
+from tickflow.session import shared_root
 
 # Largest per-(key, bucket) table that is broadcast back; beyond it, a shuffle join.
 BUCKET_TABLE_BROADCAST_MAX = 200_000
@@ -39,6 +40,10 @@ def previous_value(df: DataFrame, key: str, order_col: str, value_col: str, prev
     inner = Window.partitionBy(key, "_b").orderBy(order_col)
     d = d.withColumn("_prev", F.lag(value_col).over(inner)) \
          .withColumn("_first", F.lag(order_col).over(inner).isNull())
+    # both branches below read ``d``; materialise it once in the shared
+    # checkpoint folder, or each branch would rescan and re-aggregate the input
+    shared_root(d.sparkSession)
+    d = d.checkpoint(eager=True)
     last = d.groupBy(key, "_b").agg(F.max_by(value_col, order_col).alias("_last"))
     across = Window.partitionBy(key).orderBy("_b")
     last = last.select(key, "_b", F.lag("_last").over(across).alias("_carry"))

@@ -67,12 +67,13 @@ def price_messages(spark: SparkSession, sf_dir: str, chunk: int | None = None, c
     every ``REJECT_EVERY``-th event.  With ``chunk`` only the messages of that
     micro-batch (event_id div chunk_rows = chunk)."""
     p = _id_range(prices(spark, sf_dir), "event_id", chunk, chunk_rows)
-    good = M.encode(p, PRICE_FIELDS, key=F.col("event_id"), topic="prices")
-    bad = p.filter(F.col("event_id") % REJECT_EVERY == 0).select(
-        F.col("event_id").cast("string").cast("binary").alias("key"),
-        F.lit(MALFORMED).cast("binary").alias("value"),
-        F.lit("prices").alias("topic"))
-    return good.unionByName(bad)
+    good = M.encode(p, PRICE_FIELDS, key=F.col("event_id"), topic="prices", carry=("event_id",))
+    # one scan: each event yields its message and, for every REJECT_EVERY-th
+    # event, a malformed copy (array_compact drops the NULL second entry)
+    msg = F.struct("key", "value", "topic")
+    bad = F.struct(F.col("key"), F.lit(MALFORMED).cast("binary").alias("value"), F.col("topic"))
+    both = F.array_compact(F.array(msg, F.when(F.col("event_id") % REJECT_EVERY == 0, bad)))
+    return good.select(F.inline(both))
 
 
 def market_messages(spark: SparkSession, sf_dir: str, chunk: int | None = None, chunk_rows: int = 0) -> DataFrame:
