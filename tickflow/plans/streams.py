@@ -39,6 +39,7 @@ def run_pipeline(spark: SparkSession, sf_dir: str, part: str = "prices") -> dict
     window log over the price messages; ``market`` runs the market stream.
     The two replays are independent, so a query waits only for its own feed.
     """
+    sf_dir = sf_dir.rstrip("/")
     key = (spark.sparkContext.applicationId, sf_dir, part)
     with _GUARD:
         lock = _LOCKS.setdefault(key, threading.Lock())
