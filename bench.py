@@ -2,7 +2,7 @@
 and prints ONE JSON line with per-query seconds.
 
 Each query is executed in full with a ``noop`` write (every row computed,
-nothing collected to the driver).  ``stream_pipeline`` is the replay of the
+nothing collected to the driver).  ``stream_replay`` is the replay of the
 price and market tables through the four streaming queries (4 micro-batches
 each); the stream_* / compare_* queries then read what it stored.
 """
@@ -19,7 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 HEADLINE = [
     "price_window_agg", "decode_prices", "market_avg_changes", "flatten_markets", "sink_typed_prices",
     "metrics_report", "metrics_series", "metrics_nested_import", "market_trend", "volume_rank",
-    "stream_pipeline", "stream_price_windows_latest", "compare_stream_batch_log",
+    "stream_replay", "stream_price_windows_latest", "compare_stream_batch_log",
     "compare_stream_batch_latest", "consistency_summary", "batch_metrics",
 ]
 
@@ -36,8 +36,8 @@ def main() -> None:
     times = {}
     for name in HEADLINE:
         t0 = time.perf_counter()
-        if name == "stream_pipeline":
-            streams.run_pipelines(spark, sf_dir)
+        if name == "stream_replay":
+            streams.run_replays(spark, sf_dir)
         else:
             qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t0, 3)

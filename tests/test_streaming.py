@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tickflow.operators import windows as W
 from tickflow.plans import fixtures as X
 from tickflow.plans import streams as S
-from tickflow.streaming import pipelines as P
+from tickflow.streaming import queries as P
 from tickflow.streaming.replay import replay
 from tickflow.streaming.sinks import write_batch_partition
 from tickflow.streaming.sources import kafka_options, message_stream
@@ -16,11 +16,11 @@ SF = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="module")
-def pipeline(spark):
-    return S.run_pipeline(spark, SF)
+def replayed(spark):
+    return S.run_replay(spark, SF)
 
 
-def test_latest_equals_batch(spark, pipeline):
+def test_latest_equals_batch(spark, replayed):
     latest = S.stream_price_windows_latest(spark, SF)
     batch = W.windowed(X.prices(spark, SF)).select(
         *W.WINDOW_KEYS, *[F.col(c).cast("decimal(20,8)").cast("double").alias(c) for c in
@@ -30,29 +30,29 @@ def test_latest_equals_batch(spark, pipeline):
     assert latest.exceptAll(batch).count() == 0 and batch.exceptAll(latest).count() == 0
 
 
-def test_replay_batches_and_no_duplicates(spark, pipeline):
-    raw = spark.read.parquet(pipeline["raw"])
+def test_replay_batches_and_no_duplicates(spark, replayed):
+    raw = spark.read.parquet(replayed["raw"])
     assert sorted(r.batch_id for r in raw.select("batch_id").distinct().collect()) == [0, 1, 2, 3]
     n_events = spark.read.parquet(f"{SF}/events.parquet").count()
     assert raw.filter(~F.col("is_reject")).count() == n_events
     assert raw.select("key", "is_reject").distinct().count() == raw.count()
 
 
-def test_log_has_batch_ids_and_latest_collapses(spark, pipeline):
+def test_log_has_batch_ids_and_latest_collapses(spark, replayed):
     log = S.stream_price_windows_log(spark, SF)
     latest = S.stream_price_windows_latest(spark, SF)
     assert log.count() >= latest.count()
     assert log.select(*W.WINDOW_KEYS).distinct().count() == latest.count()
 
 
-def test_latest_compare_is_all_zero(spark, pipeline):
+def test_latest_compare_is_all_zero(spark, replayed):
     c = S.compare_stream_batch_latest(spark, SF)
     nz = c.filter((F.col("avg_price_diff") != 0) | (F.col("min_price_diff") != 0) |
                   (F.col("max_price_diff") != 0) | (F.col("volume_diff") != 0))
     assert c.count() > 0 and nz.count() == 0
 
 
-def test_metrics_one_row_per_batch(spark, pipeline):
+def test_metrics_one_row_per_batch(spark, replayed):
     m = S.stream_metrics(spark, SF)
     per_query = {r.query: r.n for r in m.groupBy("query").agg(F.count("*").alias("n")).collect()}
     assert per_query["raw_prices"] == 4 and per_query["price_windows"] == 4 and per_query["market_metrics"] == 4
@@ -111,7 +111,7 @@ def test_kafka_options():
     assert o["failOnDataLoss"] == "false" and o["maxOffsetsPerTrigger"] == "1000"
 
 
-def test_batch_metrics_one_record_per_analysis(spark, pipeline):
+def test_batch_metrics_one_record_per_analysis(spark, replayed):
     m = S.batch_metrics(spark, SF).collect()
     by = {r.query: r for r in m}
     assert set(by) == {"price_analysis", "market_analysis", "comparison"}
@@ -153,9 +153,9 @@ def test_rate_cap_one_file_per_batch(spark, tmp_root):
     assert raw.select("batch_id").distinct().count() == 3
 
 
-def test_raw_sink_prunes_by_date(spark, pipeline):
+def test_raw_sink_prunes_by_date(spark, replayed):
     import datetime as dt
-    raw = spark.read.parquet(pipeline["raw"])
+    raw = spark.read.parquet(replayed["raw"])
     day = raw.filter(F.col("event_date") == dt.date(2024, 1, 1))
     plan = day._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(event_date" in plan

@@ -1,4 +1,4 @@
-"""Queries over the streaming pipeline.
+"""Queries over the streaming replay.
 
 Two independent replays per session and table folder: the price replay
 runs raw prices, the window update log and the watermarked window log over
@@ -20,7 +20,7 @@ from tickflow.operators import windows as W
 from tickflow.plans import fixtures as X
 from tickflow.schemas import METRICS_RECORD
 from tickflow.session import scratch_path
-from tickflow.streaming import pipelines as P
+from tickflow.streaming import queries as P
 from tickflow.streaming.replay import replay
 from tickflow.streaming.sources import message_stream
 
@@ -32,7 +32,7 @@ _LOCKS: dict = {}
 _GUARD = threading.Lock()
 
 
-def run_pipeline(spark: SparkSession, sf_dir: str, part: str = "prices") -> dict[str, str]:
+def run_replay(spark: SparkSession, sf_dir: str, part: str = "prices") -> dict[str, str]:
     """Replays one feed once per (application, sf_dir, part); returns sink paths.
 
     ``prices`` runs raw prices, the window update log and the watermarked
@@ -46,7 +46,7 @@ def run_pipeline(spark: SparkSession, sf_dir: str, part: str = "prices") -> dict
     with lock:
         if key in _RUNS:
             return _RUNS[key]
-        root = scratch_path(spark, f"pipeline-{part}")
+        root = scratch_path(spark, f"replay-{part}")
         names = ("raw", "windows", "windows_wm") if part == "prices" else ("market",)
         paths = {n: f"{root}/{n}" for n in (*names, "metrics", "inbox", "ckpt")}
         once = {"availableNow": True}
@@ -79,14 +79,14 @@ def run_pipeline(spark: SparkSession, sf_dir: str, part: str = "prices") -> dict
         return paths
 
 
-def run_pipelines(spark: SparkSession, sf_dir: str, parts=("prices", "market")) -> dict[str, dict[str, str]]:
+def run_replays(spark: SparkSession, sf_dir: str, parts=("prices", "market")) -> dict[str, dict[str, str]]:
     """Runs several replays at once (one driver thread each; Spark schedules
     their jobs side by side) and returns their paths by part."""
     out, errors = {}, []
 
     def one(part):
         try:
-            out[part] = run_pipeline(spark, sf_dir, part)
+            out[part] = run_replay(spark, sf_dir, part)
         except Exception as e:  # re-raised below, in the caller's thread
             errors.append(e)
     threads = [threading.Thread(target=one, args=(p,)) for p in parts]
@@ -109,7 +109,7 @@ def _log(spark: SparkSession, path: str) -> DataFrame:
 
 def stream_raw_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Valid price rows the raw stream stored."""
-    raw = _log(spark, run_pipeline(spark, sf_dir)["raw"]).filter(~F.col("is_reject"))
+    raw = _log(spark, run_replay(spark, sf_dir)["raw"]).filter(~F.col("is_reject"))
     return _doubles(raw.select(F.col("key").cast("string").cast("long").alias("event_id"), "coin_id",
                                "price_usd", "market_cap", "volume_24h", "timestamp"),
                     ["price_usd", "market_cap", "volume_24h"])
@@ -117,20 +117,20 @@ def stream_raw_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P8 in the stream: messages the raw stream stored as rejects."""
-    raw = _log(spark, run_pipeline(spark, sf_dir)["raw"]).filter(F.col("is_reject"))
+    raw = _log(spark, run_replay(spark, sf_dir)["raw"]).filter(F.col("is_reject"))
     return raw.select(F.col("key").cast("string").cast("long").alias("event_id"),
                       F.col("_corrupt_record").alias("raw"), "batch_id")
 
 
 def stream_market_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Market rows the market stream stored."""
-    m = _log(spark, run_pipeline(spark, sf_dir, "market")["market"]).filter(~F.col("is_reject"))
+    m = _log(spark, run_replay(spark, sf_dir, "market")["market"]).filter(~F.col("is_reject"))
     cols = ["price_change_24h", "market_cap_change_24h", "volume_change_24h"]
     return _doubles(m.select(F.col("key").cast("string").alias("message_key"), "coin_id", *cols, "timestamp"), cols)
 
 
 def _windows_log(spark: SparkSession, sf_dir: str, which: str = "windows") -> DataFrame:
-    return _log(spark, run_pipeline(spark, sf_dir)[which]).drop("is_reject")
+    return _log(spark, run_replay(spark, sf_dir)[which]).drop("is_reject")
 
 
 def stream_price_windows_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -174,7 +174,7 @@ def consistency_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One metrics record per micro-batch of every streaming query."""
     cols = [F.col(f.name).cast(f.dataType) for f in METRICS_RECORD.fields]
-    paths = run_pipelines(spark, sf_dir)
+    paths = run_replays(spark, sf_dir)
     prices, market = (spark.read.parquet(paths[part]["metrics"]).select(*cols) for part in ("prices", "market"))
     return prices.unionByName(market)
 
@@ -183,7 +183,7 @@ def batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K5 (batch mode): the three batch analyses run and timed once each over
     the stored tables; one metrics record per analysis (rows = input rows)."""
     from tickflow.plans.batch_run import run_batch
-    paths = run_pipeline(spark, sf_dir)
+    paths = run_replay(spark, sf_dir)
     m = run_batch(spark, X.prices(spark, sf_dir), X.market_rows(spark, sf_dir), _windows_log(spark, sf_dir))
     path = f"{paths['metrics']}_batch"
     m.write.mode("overwrite").parquet(path)

@@ -24,7 +24,7 @@ MARKET_MESSAGE = T.StructType([
 ])
 
 # Message envelope as a broker delivers it (the columns of the Kafka source
-# that the pipeline uses).  File stand-ins of the broker use the same columns.
+# that the streaming queries use).  File stand-ins of the broker use the same columns.
 ENVELOPE = T.StructType([
     T.StructField("key", T.BinaryType()),
     T.StructField("value", T.BinaryType()),

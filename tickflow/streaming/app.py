@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tickflow.streaming import pipelines as P
+from tickflow.streaming import queries as P
 
 
 def start_all(prices: DataFrame, market: DataFrame, out_root: str, checkpoint_root: str,

@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tickflow.streaming.pipelines import await_all
+from tickflow.streaming.queries import await_all
 
 
 def replay(spark: SparkSession, feeds: list[tuple[Callable[[int], DataFrame], str]], n_chunks: int,
