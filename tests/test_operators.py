@@ -103,8 +103,8 @@ def test_read_table_and_jdbc_options(spark):
     from tickflow.sources.tables import jdbc_options, read_table
     df = read_table(spark, "parquet", "/root/testdata/sf0.001/events.parquet")
     assert df.count() == 1000
-    o = jdbc_options("jdbc:x", "crypto_prices", "id", 0, 100, 8, fetchsize=1000)
-    assert o["partitionColumn"] == "id" and o["numPartitions"] == 8 and o["dbtable"] == "crypto_prices"
+    o = jdbc_options("jdbc:x", "price_rows", "id", 0, 100, 8, fetchsize=1000)
+    assert o["partitionColumn"] == "id" and o["numPartitions"] == 8 and o["dbtable"] == "price_rows"
 
 
 def test_two_places(spark):
