@@ -134,3 +134,10 @@ def test_shared_root_reads_session_setting(spark):
     assert root == spark.sparkContext.getCheckpointDir().rstrip("/")
     a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert a != b and a.startswith(root + "/tickflow/x-")
+
+
+def test_show_results_prints_bounded_rows(spark, capsys):
+    from tickflow.functions.display import show_results
+    show_results(spark.range(100), n=3)
+    out = capsys.readouterr().out
+    assert "only showing top 3 rows" in out

@@ -174,3 +174,14 @@ def test_metered_sink_retry_of_a_batch_changes_nothing(spark, tmp_root):
     assert spark.read.parquet(out).count() == 18
     m = spark.read.parquet(met).collect()
     assert len(m) == 2 and all(r.rows == 9.0 and r.error_count == 3 for r in m)
+
+
+def test_run_all_completes_with_available_now(spark, tmp_root):
+    from tickflow.streaming.app import run_all
+    inbox = f"{tmp_root}/inbox"
+    X.price_messages(spark, SF, 1, 250).write.parquet(inbox)
+    src = message_stream(spark, "parquet", inbox)
+    once = {"availableNow": True}
+    qs = run_all(spark, src, src, f"{tmp_root}/out", f"{tmp_root}/ck", once, once)
+    assert len(qs) == 3 and not any(q.isActive for q in qs)
+    assert spark.read.parquet(f"{tmp_root}/out/windows").count() > 0

@@ -29,11 +29,10 @@ def _start(df: DataFrame, sink, checkpoint: str, name: str, trigger: dict, mode:
 def _typed_rows(messages: DataFrame, schema, decimals: dict) -> DataFrame:
     """Decoded rows with arrival time, sink types and one ``is_reject`` flag
     (undecodable message or a value that overflows its column)."""
-    d = M.decode(messages, schema, with_corrupt=True).withColumn("ingest_ms", ingest_ms())
-    d = d.withColumn("event_date", F.to_date("timestamp"))
+    d = M.flag_rejects(M.decode(messages, schema, with_corrupt=True))
+    d = d.withColumns({"ingest_ms": ingest_ms(), "event_date": F.to_date("timestamp")})
     t = to_sink_types(d, decimals, flag="_overflow")
-    return (t.withColumn("is_reject", F.col(CORRUPT_COL).isNotNull() | F.col("_overflow"))
-             .drop("_overflow"))
+    return t.withColumn("is_reject", F.col("is_reject") | F.col("_overflow")).drop("_overflow")
 
 
 def start_raw_prices(messages: DataFrame, sink_path: str, checkpoint: str, trigger: dict | None = None,
