@@ -185,3 +185,18 @@ def test_run_all_completes_with_available_now(spark, tmp_root):
     qs = run_all(spark, src, src, f"{tmp_root}/out", f"{tmp_root}/ck", once, once)
     assert len(qs) == 3 and not any(q.isActive for q in qs)
     assert spark.read.parquet(f"{tmp_root}/out/windows").count() > 0
+
+
+def test_compacted_latest_equals_full_latest(spark, replayed, tmp_root):
+    log = spark.read.parquet(replayed["windows"]).drop("is_reject")
+    early = log.filter(F.col("batch_id") <= 1)
+    P.compact_latest(early, f"{tmp_root}/c1")
+    compacted = spark.read.parquet(f"{tmp_root}/c1")
+    assert compacted.agg(F.max("batch_id")).first()[0] == 1
+    full = P.latest_windows(log)
+    incr = P.latest_windows(log, compacted)
+    assert incr.count() == full.count()
+    assert incr.exceptAll(full).count() == 0 and full.exceptAll(incr).count() == 0
+    # the later batches are read with a partition filter on batch_id
+    plan = log.filter(F.col("batch_id") > F.lit(1))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(batch_id" in plan

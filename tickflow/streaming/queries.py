@@ -100,13 +100,37 @@ def start_window_log(messages: DataFrame, sink_path: str, checkpoint: str, trigg
     return _start(agg, sink, checkpoint, name, trigger or PRICE_TRIGGER, "append" if watermark else "update")
 
 
-def latest_windows(log: DataFrame) -> DataFrame:
-    """Current value of each window from an update log: the row of the
-    highest batch_id per (window_start, window_end, coin_id)."""
-    last = F.max_by(F.struct(*WINDOW_VALUES), F.col("batch_id")).alias("_l")
+def _since(log: DataFrame, compacted: DataFrame | None) -> DataFrame:
+    """The compacted table plus the log batches written after it (the
+    batch_id filter prunes the log's partitions)."""
+    if compacted is None:
+        return log
+    upto = compacted.agg(F.max("batch_id")).first()[0]
+    newer = log.filter(F.col("batch_id") > F.lit(upto)) if upto is not None else log
+    return compacted.unionByName(newer, allowMissingColumns=True)
+
+
+def _latest_rows(log: DataFrame) -> DataFrame:
+    last = F.max_by(F.struct(*WINDOW_VALUES, "batch_id"), F.col("batch_id")).alias("_l")
     return log.groupBy(*WINDOW_KEYS).agg(last).select(*WINDOW_KEYS, "_l.*")
 
 
+def latest_windows(log: DataFrame, compacted: DataFrame | None = None) -> DataFrame:
+    """Current value of each window from an update log: the row of the
+    highest batch_id per (window_start, window_end, coin_id).
+
+    With ``compacted`` (a table written by :func:`compact_latest`) only the
+    log batches after it are read, so the cost follows the new batches, not
+    the whole log."""
+    return _latest_rows(_since(log, compacted)).drop("batch_id")
+
+
+def compact_latest(log: DataFrame, out_path: str, compacted: DataFrame | None = None) -> None:
+    """Write the latest row of every window, with the batch_id it came from,
+    to ``out_path`` (a new location; read it back as ``compacted``)."""
+    _latest_rows(_since(log, compacted)).write.mode("overwrite").parquet(out_path)
+
+
 def await_all(spark: SparkSession, queries: list[StreamingQuery], timeout_s: float | None = None) -> None:
     """Wait until every query ends; the first failure stops the rest and is raised."""
     from pyspark.errors import StreamingQueryException
