@@ -16,7 +16,8 @@ QUERIES.update({
     name: getattr(streams, name) for name in (
         "stream_raw_prices", "stream_rejects", "stream_market_metrics", "stream_price_windows_log",
         "stream_price_windows_latest", "stream_price_windows_watermark", "compare_stream_batch_log",
-        "compare_stream_batch_latest", "consistency_summary", "stream_metrics", "batch_metrics")
+        "compare_stream_batch_latest", "consistency_summary", "stream_metrics", "batch_metrics",
+        "stream_batch_counts")
 })
 
 

@@ -264,12 +264,29 @@ SELECT event_id, 'prices' AS topic,
 FROM p"""
 
 
+def stream_batch_counts() -> str:
+    return f"""WITH {PRICES}, {STREAM_X},
+ raw AS (SELECT 'raw_prices' AS query, event_id // {CHUNK} AS batch_id,
+                count(*) + count(*) FILTER (WHERE event_id % 7 = 0) AS rows,
+                count(*) FILTER (WHERE event_id % 7 = 0) AS error_count
+         FROM events GROUP BY 2),
+ win AS (SELECT 'price_windows' AS query, b AS batch_id, count(DISTINCT (ws, coin_id)) AS rows, 0 AS error_count
+         FROM x GROUP BY b),
+ mkt AS (SELECT 'market_metrics' AS query, l_orderkey // (SELECT (max(l_orderkey) + 1 + 3) // 4 FROM lineitem) AS batch_id,
+                count(*) AS rows, 0 AS error_count
+         FROM lineitem GROUP BY 2)
+SELECT query, batch_id, rows, CAST(error_count AS BIGINT) AS error_count FROM raw
+UNION ALL SELECT query, batch_id, rows, CAST(error_count AS BIGINT) FROM win
+UNION ALL SELECT query, batch_id, rows, CAST(error_count AS BIGINT) FROM mkt"""
+
+
 def all_sql() -> dict[str, str]:
     names = ["price_window_agg", "encode_price_messages", "decode_prices", "decode_rejects", "decode_market", "market_avg_changes",
              "tracked_coins", "top_market_cap", "flatten_simple_price", "flatten_markets", "sink_typed_prices",
              "metrics_report", "metrics_series", "metrics_nested_import",
              "stream_raw_prices", "stream_rejects", "stream_market_metrics", "stream_price_windows_log",
              "stream_price_windows_latest", "stream_price_windows_watermark", "compare_stream_batch_log",
-             "compare_stream_batch_latest", "consistency_summary", "trending_coins", "volume_rank", "market_trend"]
+             "compare_stream_batch_latest", "consistency_summary", "trending_coins", "volume_rank", "market_trend",
+             "stream_batch_counts"]
     g = globals()
     return {n: g[n]() for n in names}

@@ -188,3 +188,10 @@ def batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{paths['metrics']}_batch"
     m.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def stream_batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5 + K5, the counts only: rows and rejected rows that each micro-batch of
+    the raw, window and market queries wrote, as observed during its write."""
+    m = stream_metrics(spark, sf_dir).filter(F.col("query") != "price_windows_watermark")
+    return m.select("query", "batch_id", F.col("rows").cast("long").alias("rows"), "error_count")
