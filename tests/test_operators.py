@@ -65,7 +65,7 @@ def test_ordinal_matches_row_number_on_skewed_groups(spark):
     # one group holds most rows
     df = spark.range(0, 5000).select(F.when(F.col("id") % 10 == 0, "b").otherwise("a").alias("g"),
                                      (F.col("id") * 7 % 5003).alias("o"))
-    got = ordinal(df, ["g"], ["o"], partitions=7)
+    got = ordinal(df, ["g"], ["o"], partitions=7, max_group_rows=100)   # force the range path
     ref = df.withColumn("ref", F.row_number().over(Window.partitionBy("g").orderBy("o")) - 1)
     j = got.join(ref, ["g", "o"])
     assert j.count() == 5000 and j.filter("idx <> ref").count() == 0
@@ -141,3 +141,11 @@ def test_show_results_prints_bounded_rows(spark, capsys):
     show_results(spark.range(100), n=3)
     out = capsys.readouterr().out
     assert "only showing top 3 rows" in out
+
+
+def test_ordinal_small_groups_take_the_window_path(spark):
+    df = spark.range(0, 300).select((F.col("id") % 3).alias("g"), F.col("id").alias("o"))
+    got = ordinal(df, ["g"], ["o"])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in plan and "RangePartitioning" not in plan and "rangepartitioning" not in plan
+    assert got.filter("idx = o div 3").count() == 300

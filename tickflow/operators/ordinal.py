@@ -5,7 +5,8 @@ to one task; with a handful of groups (two processing modes, five coins) a
 single task would hold a third or a half of the data.  Here the rows are
 range-partitioned on (g, o), so a large group is spread over many
 partitions; each partition numbers its rows locally and a small table of
-per-(partition, group) counts gives every slice its offset.
+per-(partition, group) counts gives every slice its offset.  A size check
+comes first: when every group is proven small, the plain window is used.
 """
 
 from __future__ import annotations
@@ -17,20 +18,33 @@ from tickflow.session import shared_root
 
 # Offsets tables up to this many rows are broadcast; beyond it Spark shuffles.
 OFFSETS_BROADCAST_MAX = 200_000
+# Groups proven to hold at most this many rows are numbered by a plain window
+# (one task per group is then bounded); larger groups take the range path.
+GROUP_ROWS_MAX = 1_000_000
 
 
 def ordinal(df: DataFrame, group_cols: list[str], order_cols: list[str], name: str = "idx",
-            partitions: int | None = None) -> DataFrame:
+            partitions: int | None = None, max_group_rows: int = GROUP_ROWS_MAX) -> DataFrame:
     """Adds ``name``: 0-based position of the row within its group by ``order_cols``.
 
-    ``order_cols`` must order rows uniquely inside a group.  The numbered,
+    ``order_cols`` must order rows uniquely inside a group.  When no group
+    holds more than ``max_group_rows`` rows nor more than a task's fair share
+    (all rows / partitions), a plain ``row_number`` window is used.  Otherwise the numbered,
     range-partitioned rows are checkpointed to the shared checkpoint folder,
     so both uses below read the same positions and a lost executor does not
     renumber them.
     """
     spark = df.sparkSession
-    shared_root(spark)  # checkpoint() writes under spark.checkpoint.dir
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # size check first (one partially aggregated job): the window path is
+    # taken only when the largest group is under the cap AND within one
+    # task's fair share of the rows, so no task becomes the straggler
+    sizes = df.groupBy(*group_cols).count().agg(F.max("count").alias("big"), F.sum("count").alias("all")).first()
+    biggest, total = sizes["big"] or 0, sizes["all"] or 0
+    if biggest <= min(max_group_rows, max(1, total // n)):
+        w = Window.partitionBy(*group_cols).orderBy(*order_cols)
+        return df.withColumn(name, (F.row_number().over(w) - 1).cast("long"))
+    shared_root(spark)  # checkpoint() writes under spark.checkpoint.dir
     keys = [*group_cols, *order_cols]
     ranged = (df.repartitionByRange(n, *keys)
                 .sortWithinPartitions(*keys)
