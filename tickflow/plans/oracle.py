@@ -280,6 +280,13 @@ UNION ALL SELECT query, batch_id, rows, CAST(error_count AS BIGINT) FROM win
 UNION ALL SELECT query, batch_id, rows, CAST(error_count AS BIGINT) FROM mkt"""
 
 
+def batch_metric_counts() -> str:
+    return """SELECT 'price_analysis' AS query, CAST(0 AS BIGINT) AS seq, count(*) AS rows, CAST(0 AS BIGINT) AS error_count
+FROM events
+UNION ALL SELECT 'market_analysis', 1, count(*), 0 FROM lineitem
+UNION ALL SELECT 'comparison', 2, count(*), 0 FROM events"""
+
+
 def all_sql() -> dict[str, str]:
     names = ["price_window_agg", "encode_price_messages", "decode_prices", "decode_rejects", "decode_market", "market_avg_changes",
              "tracked_coins", "top_market_cap", "flatten_simple_price", "flatten_markets", "sink_typed_prices",
@@ -287,6 +294,6 @@ def all_sql() -> dict[str, str]:
              "stream_raw_prices", "stream_rejects", "stream_market_metrics", "stream_price_windows_log",
              "stream_price_windows_latest", "stream_price_windows_watermark", "compare_stream_batch_log",
              "compare_stream_batch_latest", "consistency_summary", "trending_coins", "volume_rank", "market_trend",
-             "stream_batch_counts"]
+             "stream_batch_counts", "batch_metric_counts"]
     g = globals()
     return {n: g[n]() for n in names}
