@@ -35,3 +35,18 @@ PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "
 def test_plan_stays_in_the_jvm(spark, name):
     plan = E.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert not any(n in plan for n in PYTHON_NODES), plan
+
+
+TZ_QUERIES = ["price_window_agg", "decode_prices", "decode_market", "encode_price_messages", "market_trend",
+              "stream_raw_prices", "stream_price_windows_latest", "stream_price_windows_watermark"]
+
+
+@pytest.mark.parametrize("name", TZ_QUERIES)
+def test_results_do_not_depend_on_session_time_zone(spark, con, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        r = compare(spark, con, name, E.queries()[name], SQL[name], SF)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert r["status"] == "MATCH", r
