@@ -149,3 +149,19 @@ def test_ordinal_small_groups_take_the_window_path(spark):
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "Window" in plan and "RangePartitioning" not in plan and "rangepartitioning" not in plan
     assert got.filter("idx = o div 3").count() == 300
+
+
+def test_market_trend_labels(spark):
+    import datetime as dt
+    from tickflow.operators.extensions import market_trend
+    t = dt.datetime(2024, 1, 1)
+    m = dt.timedelta(minutes=5)
+    rows = [(t, "a", 10.0), (t + m, "a", 12.5), (t + 2 * m, "a", 12.5), (t + 3 * m, "a", 10.0),
+            (t + dt.timedelta(days=2), "a", 11.0), (t, "b", 1.0)]
+    df = spark.createDataFrame(rows, "window_start timestamp_ntz, coin_id string, avg_price double")
+    got = {(r.coin_id, r.window_start): r for r in market_trend(df).collect()}
+    assert [got[("a", t + k * m)].trend for k in range(4)] == ["new", "up", "flat", "down"]
+    assert got[("a", t + m)].pct_change == 25.0 and got[("a", t + 3 * m)].pct_change == -20.0
+    later = got[("a", t + dt.timedelta(days=2))]       # previous window is two days back, in another bucket
+    assert later.prev_avg_price == 10.0 and later.trend == "up"
+    assert got[("b", t)].trend == "new" and got[("b", t)].prev_avg_price is None
