@@ -200,3 +200,8 @@ def test_compacted_latest_equals_full_latest(spark, replayed, tmp_root):
     # the later batches are read with a partition filter on batch_id
     plan = log.filter(F.col("batch_id") > F.lit(1))._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(batch_id" in plan
+
+
+def test_kafka_without_connector_says_what_is_missing(spark):
+    with pytest.raises(RuntimeError, match="spark-sql-kafka"):
+        message_stream(spark, "kafka", **kafka_options("localhost:1", "prices"))

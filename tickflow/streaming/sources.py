@@ -31,5 +31,12 @@ def message_stream(spark: SparkSession, fmt: str = "parquet", path: str | None =
         if max_files_per_trigger:
             r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     r = r.options(**{k: str(v) for k, v in options.items()})
-    df = r.load(path) if path is not None else r.load()
+    try:
+        df = r.load(path) if path is not None else r.load()
+    except Exception as e:
+        if fmt == "kafka" and "kafka" in str(e).lower() and "find" in str(e).lower():
+            raise RuntimeError("the Kafka source needs the spark-sql-kafka connector on the classpath "
+                               "(spark.jars.packages); any file format with key/value/topic columns "
+                               "can stand in for it") from e
+        raise
     return df.select("key", "value", "topic") if fmt == "kafka" else df
