@@ -17,7 +17,7 @@ QUERIES.update({
         "stream_raw_prices", "stream_rejects", "stream_market_metrics", "stream_price_windows_log",
         "stream_price_windows_latest", "stream_price_windows_watermark", "compare_stream_batch_log",
         "compare_stream_batch_latest", "consistency_summary", "stream_metrics", "batch_metrics",
-        "stream_batch_counts", "batch_metric_counts")
+        "stream_batch_counts", "batch_metric_counts", "stream_price_windows_latest_compacted")
 })
 
 

@@ -296,4 +296,7 @@ def all_sql() -> dict[str, str]:
              "compare_stream_batch_latest", "consistency_summary", "trending_coins", "volume_rank", "market_trend",
              "stream_batch_counts", "batch_metric_counts"]
     g = globals()
-    return {n: g[n]() for n in names}
+    out = {n: g[n]() for n in names}
+    # the compacted latest view must equal the full one
+    out["stream_price_windows_latest_compacted"] = out["stream_price_windows_latest"]
+    return out

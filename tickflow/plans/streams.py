@@ -202,3 +202,13 @@ def batch_metric_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     observed during its single write."""
     m = batch_metrics(spark, sf_dir)
     return m.select("query", "seq", F.col("rows").cast("long").alias("rows"), "error_count")
+
+
+def stream_price_windows_latest_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D4 with compaction: the log compacted through batch 1, then the latest
+    view from the compacted table plus the later batches only."""
+    log = _windows_log(spark, sf_dir)
+    path = scratch_path(spark, "latest-compacted")
+    P.compact_latest(log.filter(F.col("batch_id") <= 1), path)
+    latest = P.latest_windows(log, spark.read.parquet(path))
+    return _doubles(latest, W.WINDOW_VALUES)
