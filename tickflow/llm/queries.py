@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickflow.llm import pieces, token_counts
+from tickflow.llm import jaccard_join, pieces, pii, quality_rules, token_counts, toxicity
 from tickflow.llm.common import table
 
 
@@ -15,16 +15,37 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Category probabilities of every document, and whether it is rejected."""
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op2_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its personal numbers, dates and addresses permuted."""
+    return pii.pseudonymise(table(spark, sf_dir, "documents"))
+
+
+def op6_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document."""
+    return quality_rules.line_first(table(spark, sf_dir, "documents")).drop("clean_text")
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every whole text under byte_bpe_50k.json."""
     return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components under 85 percent similarity of 4-word shingles."""
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"), n=4, percent=85)
+
+
 def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SentencePiece ids and decoded text of every whole text, as digests."""
     return pieces.piece_round_trip(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
-QUERIES = {f.__name__: f for f in (op8_token_counts, op10_pieces)}
+QUERIES = {f.__name__: f for f in (
+    op1_toxicity, op2_pseudonyms, op6_line_rules, op8_token_counts, op9_jaccard, op10_pieces)}
 
 ORACLE: dict[str, str] = {}
