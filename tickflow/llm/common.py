@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+
+import tickflow
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +18,19 @@ WORD_SPACE = " \t\n\x0b\x0c\r"
 BROADCAST_IDS_MAX = 4_000_000
 
 
+def package_on_workers(spark: SparkSession) -> None:
+    """Adds this package's folder to the Python path of the workers, for
+    sessions whose workers do not start in it.  On a cluster where the package
+    is installed or shipped with ``--py-files`` this changes nothing."""
+    here = os.path.dirname(os.path.dirname(os.path.abspath(tickflow.__file__)))
+    env = spark.sparkContext.environment
+    path = env.get("PYTHONPATH", "")
+    if here not in path.split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(p for p in (path, here) if p)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    package_on_workers(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

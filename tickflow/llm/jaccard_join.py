@@ -319,3 +319,16 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80,
     return (rows.join(named, "rep", "left")
             .select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"),
                     F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
+
+
+def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id",
+                text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose id is the smallest
+    of a component.  An id with several texts stays if one of them is; rows
+    with a null id stay."""
+    found = jaccard_components(docs, n, percent, id_col, text_col)
+    gone = stored(found.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("gone_id"))
+                  .agg(F.max((F.col("component_id") == F.col(id_col)).cast("int")).alias("stays"))
+                  .where("stays = 0").select("gone_id"), "near-copies")
+    side = small_side(gone, gone.count())
+    return docs.join(side, docs[id_col] == side["gone_id"], "left_anti")

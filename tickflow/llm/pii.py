@@ -51,7 +51,7 @@ PATTERNS = {
     "ssn": r"(?<![\p{L}\p{N}_\-])[1-8]\d\d-\d\d-\d{4}(?![\p{L}\p{N}_\-])",
     "phone": r"(?:(?<![\p{L}\p{N}_\-])\+?1[ .\-]?)?(?:\([2-9]\d\d\) ?|(?<![\p{L}\p{N}_])[2-9]\d\d[ .\-])"
              r"[2-9]\d\d[ .\-]\d{4}(?!\d)",
-    "card": r"(?<![\p{L}\p{N}_\-])\d(?:[ \-]?\d){12,18}+(?![\p{L}\p{N}_\-])",
+    "card": r"(?<![\p{L}\p{N}_\-])\d(?:[ \-]?\d){12,18}(?![\p{L}\p{N}_\-])",
 }
 PATTERN = "|".join(PATTERNS.values())
 KINDS = tuple(PATTERNS)
@@ -239,6 +239,18 @@ def pseudonymise(docs: DataFrame, key: str = DEFAULT_KEY, id_col: str = "doc_id"
         F.col("id").alias(id_col), "n_found", "n_replaced", "kinds", F.col("masked").alias("text"))
 
 
+def masked_documents(docs: DataFrame, key: str = DEFAULT_KEY, text_col: str = "text",
+                     chars_col: str | None = "n_chars") -> DataFrame:
+    """All rows of ``docs`` with their columns; the text has its values
+    replaced, and ``chars_col``, where there is one, follows its length."""
+    df = masked(docs.select(F.struct("*").alias("row"), docs[text_col].cast("string").alias("text")), "text", key)
+    row = F.col("row").withField(f"`{text_col}`", F.col("masked"))
+    if chars_col in docs.columns:
+        length = F.when(F.col("n_replaced") > 0, F.length("masked")).otherwise(F.col(f"row.`{chars_col}`"))
+        row = row.withField(f"`{chars_col}`", length.cast(docs.schema[chars_col].dataType))
+    return df.select(row.alias("row")).select("row.*")
+
+
 def masked(df: DataFrame, text_col: str, key: str = DEFAULT_KEY) -> DataFrame:
     """``df`` with ``masked``, ``n_found``, ``n_replaced`` and ``kinds``."""
     text = F.col(text_col)

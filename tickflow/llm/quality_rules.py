@@ -113,6 +113,18 @@ def line_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "base_failed", "kept", "n_lines", "n_failed_lines", "kept_chars", "clean_text")
 
 
+def clean_documents(docs: DataFrame, text_col: str = "text", chars_col: str | None = "n_chars",
+                    max_loss_percent: int = MAX_LOSS_PERCENT) -> DataFrame:
+    """The rows of ``docs`` that are kept, with their columns; the text is the
+    clean text, and ``chars_col``, where there is one, its length."""
+    df = _judge(docs.select(F.struct("*").alias("row"),
+                            F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text")), max_loss_percent)
+    row = F.col("row").withField(f"`{text_col}`", F.col("clean_text"))
+    if chars_col in docs.columns:
+        row = row.withField(f"`{chars_col}`", F.length("clean_text").cast(docs.schema[chars_col].dataType))
+    return df.where("kept").select(row.alias("row")).select("row.*")
+
+
 def _judge(df: DataFrame, max_loss_percent: int) -> DataFrame:
     df = df.withColumn("__words", words(F.col("text")))
     df = repeat_words(df, "__words", "n_repeat_words")

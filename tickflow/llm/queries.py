@@ -5,7 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickflow.llm import jaccard_join, pieces, pii, quality_rules, token_counts, toxicity
+from tickflow.llm import (forest_search, jaccard_join, packing, pieces, pii, quality_rules, quotations, sharding,
+                          token_counts, toxicity)
 from tickflow.llm.common import table
 
 
@@ -25,11 +26,31 @@ def op2_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(table(spark, sf_dir, "documents"))
 
 
+def op3_quotations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message without quotations, linked and in reply order."""
+    return quotations.link_quotations(table(spark, sf_dir, "conversations"))
+
+
+def op4_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document packed into sequences of 512 to 4096 words."""
+    return packing.best_fit(table(spark, sf_dir, "documents"))
+
+
+def op5_forest_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """20 nearest of every vector whose id is divisible by 20."""
+    return forest_search.forest_search(table(spark, sf_dir, "embeddings"))
+
+
 def op6_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document."""
     return quality_rules.line_first(table(spark, sf_dir, "documents")).drop("clean_text")
 
 
+def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in one of 24 shards of equal row counts."""
+    return sharding.balanced_shards(table(spark, sf_dir, "documents"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every whole text under byte_bpe_50k.json."""
     return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
@@ -46,6 +67,7 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_toxicity, op2_pseudonyms, op6_line_rules, op8_token_counts, op9_jaccard, op10_pieces)}
+    op1_toxicity, op2_pseudonyms, op3_quotations, op4_best_fit, op5_forest_search, op6_line_rules, op7_shards,
+    op8_token_counts, op9_jaccard, op10_pieces)}
 
 ORACLE: dict[str, str] = {}

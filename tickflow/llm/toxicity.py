@@ -243,3 +243,19 @@ def toxicity(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, thr
              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fits the chain on the labelled documents and scores every document."""
     return score_chain(docs, fit_chain(docs, labels, per_class, id_col, text_col), threshold, id_col, text_col)
+
+
+def without_toxic(docs: DataFrame, model: list[tuple[int, str, int, float]], threshold: float = THRESHOLD,
+                  text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns as they are, that the chain does not
+    reject.  Null and empty texts stay."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded: categories * MAX_FEATURES
+    place = docs.columns.index(text_col)
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        chain = Chain(shared.value)
+        for b in batches:
+            bad = [bool(t) and max(chain.score(t)[:2]) >= threshold for t in b.iloc[:, place].fillna("")]
+            yield b[~np.array(bad, dtype=bool)]
+
+    return docs.mapInPandas(rows, docs.schema)
