@@ -5,8 +5,8 @@ to one task; with a handful of groups (two processing modes, five coins) a
 single task would hold a third or a half of the data.  Here the rows are
 range-partitioned on (g, o), so a large group is spread over many
 partitions; each partition numbers its rows locally and a small table of
-per-(partition, group) counts gives every slice its offset.  A size check
-comes first: when every group is proven small, the plain window is used.
+per-(partition, group) counts gives every slice its offset.  The same path
+is taken at every size, and NULL is a group like any other, as in a window.
 """
 
 from __future__ import annotations
@@ -14,49 +14,42 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickflow.session import shared_root
+from tickflow.session import scratch_path
 
-# Offsets tables up to this many rows are broadcast; beyond it Spark shuffles.
-OFFSETS_BROADCAST_MAX = 200_000
-# Groups proven to hold at most this many rows are numbered by a plain window
-# (one task per group is then bounded); larger groups take the range path.
-GROUP_ROWS_MAX = 1_000_000
+# A range partition holds about this many rows at most.
+ROWS_PER_PARTITION = 2_000_000
 
 
 def ordinal(df: DataFrame, group_cols: list[str], order_cols: list[str], name: str = "idx",
-            partitions: int | None = None, max_group_rows: int = GROUP_ROWS_MAX) -> DataFrame:
-    """Adds ``name``: 0-based position of the row within its group by ``order_cols``.
-
-    ``order_cols`` must order rows uniquely inside a group.  When no group
-    holds more than ``max_group_rows`` rows nor more than a task's fair share
-    (all rows / partitions), a plain ``row_number`` window is used.  Otherwise the numbered,
-    range-partitioned rows are checkpointed to the shared checkpoint folder,
-    so both uses below read the same positions and a lost executor does not
-    renumber them.
+            partitions: int | None = None) -> DataFrame:
+    """Adds ``name``: 0-based position of the row within its group by ``order_cols``
+    (NULLs first, as in ascending order).
+
+    ``order_cols`` should order rows uniquely inside a group; rows that tie are
+    numbered in any order.  Without ``group_cols`` the whole table is one group.
+    The number of partitions follows from the counted rows.  The numbered rows
+    are written once to the shared scratch folder (``session.drop_scratch``
+    removes it), so a lost executor does not renumber them.
     """
     spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # size check first (one partially aggregated job): the window path is
-    # taken only when the largest group is under the cap AND within one
-    # task's fair share of the rows, so no task becomes the straggler
-    sizes = df.groupBy(*group_cols).count().agg(F.max("count").alias("big"), F.sum("count").alias("all")).first()
-    biggest, total = sizes["big"] or 0, sizes["all"] or 0
-    if biggest <= min(max_group_rows, max(1, total // n)):
-        w = Window.partitionBy(*group_cols).orderBy(*order_cols)
-        return df.withColumn(name, (F.row_number().over(w) - 1).cast("long"))
-    shared_root(spark)  # checkpoint() writes under spark.checkpoint.dir
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or max(least, -(-df.count() // ROWS_PER_PARTITION))
     keys = [*group_cols, *order_cols]
+    pid, pos, at, first, rows = (f"__{name}_{c}" for c in ("pid", "pos", "at", "first", "rows"))
     ranged = (df.repartitionByRange(n, *keys)
                 .sortWithinPartitions(*keys)
-                .withColumn("_pid", F.spark_partition_id())
-                .withColumn("_pos", F.monotonically_increasing_id()))
-    ranged = ranged.checkpoint(eager=True)
-    slices = ranged.groupBy("_pid", *group_cols).agg(F.min("_pos").alias("_first"),
-                                                     F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    slices = slices.withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    small = slices.limit(OFFSETS_BROADCAST_MAX + 1).count() <= OFFSETS_BROADCAST_MAX
-    side = F.broadcast(slices) if small else slices
-    out = ranged.join(side, ["_pid", *group_cols], "inner")
-    return out.withColumn(name, F.col("_offset") + F.col("_pos") - F.col("_first")) \
-              .drop("_pid", "_pos", "_first", "_offset")
+                .withColumn(pid, F.spark_partition_id())
+                .withColumn(pos, F.monotonically_increasing_id()))
+    path = scratch_path(spark, "ordinal")
+    ranged.write.parquet(path)
+    ranged = spark.read.schema(ranged.schema).parquet(path)
+    slices = ranged.groupBy(pid, *group_cols).agg(F.min(pos).alias(first), F.count(F.lit(1)).alias(rows))
+    before = Window.partitionBy(*group_cols).orderBy(pid).rowsBetween(Window.unboundedPreceding, -1)
+    slices = slices.withColumn(at, F.coalesce(F.sum(rows).over(before), F.lit(0))).drop(rows)
+    renamed = slices.select(*[F.col(c).alias(f"__s_{c}") for c in (pid, *group_cols)], first, at)
+    same = F.lit(True)
+    for c in (pid, *group_cols):
+        same = same & F.col(c).eqNullSafe(F.col(f"__s_{c}"))
+    return (ranged.join(renamed, same)
+            .withColumn(name, F.col(at) + F.col(pos) - F.col(first))
+            .drop(pid, pos, at, first, *[f"__s_{c}" for c in (pid, *group_cols)]))
