@@ -29,7 +29,7 @@ PER_CLASS = 3_000
 MAX_FEATURES = 4_096
 MIN_DOCS = 3
 # Features whose document counts depart from chance by so many standard deviations are used.
-MIN_STRENGTH = 5
+MIN_STRENGTH = 3.5
 BUCKETS = 1 << 22
 STEPS = 120
 L2 = 0.02
