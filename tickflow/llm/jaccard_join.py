@@ -18,13 +18,13 @@ which some choice is empty meets every similar set on a choice that is not
 empty.  The few other sets (mostly tiny) also carry the shingles of their
 prefix, by hash order: two of them that are similar share one of those.
 
-Sets that share a signature are candidates.  They are first compared with one
-leader of their signatures; classes already joined are not compared again; all
-pairs left between different components are then compared, so no link that
-matters to a component is lost, and copies or dense groups do not multiply
-into all their pairs.  A parity sketch of each set bounds the difference from
-below and turns most false candidates away; the rest are compared exactly on
-the texts' shingles.
+Sets that share a signature are candidates.  In a few star rounds each set is
+compared with leaders of its signatures, and what is joined is not compared
+again; all pairs left between different components are then compared, so no
+link that matters to a component is lost, and copies or dense groups do not
+multiply into all their pairs.  A parity sketch of each set bounds the
+difference from below and turns most false candidates away, those of the last
+step inside its join; the rest are compared exactly on the texts' shingles.
 """
 
 from __future__ import annotations
@@ -48,6 +48,11 @@ from tickflow.llm.components import components
 SEEN_DIGESTS = 100_000
 # Rows handed back at a time by the shingling tasks.
 PORTION = 500
+# Star rounds, and the leaders a set is compared with in each.
+STAR_ROUNDS, LEADERS = 2, 3
+# Places of the short sketch that travels with the signatures of the last step.
+SHORT_BITS = 512
+SHORT = [f"k{i}" for i in range(SHORT_BITS // 64)]
 # Largest difference for which three cells a group are used (two beyond it).
 FINE_UP_TO = 40
 
@@ -142,7 +147,10 @@ def signatures(s: np.ndarray, bands: Bands) -> np.ndarray:
 def parity_sketch(s: np.ndarray) -> np.ndarray:
     """Parity of the elements in each of 64 * 2^i places, about two a shingle.
     Two sketches differ in no more places than their sets in elements."""
-    bits = 64 << max(0, math.ceil(math.log2(max(1, len(s)) / 32)))
+    return parities(s, 64 << max(0, math.ceil(math.log2(max(1, len(s)) / 32))))
+
+
+def parities(s: np.ndarray, bits: int) -> np.ndarray:
     odd = (np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)
     return np.packbits(odd, bitorder="little").view(np.int64)
 
@@ -153,8 +161,8 @@ def digest(s: np.ndarray) -> tuple[int, int]:
 
 
 def signed_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """(doc_id, n, d1, d2, sigs, sketch) per row; ``sigs`` and ``sketch`` are
-    null for a set this task has already given."""
+    """(doc_id, n, d1, d2, sigs, sketch, short) per row; ``sigs`` and the
+    sketches are null for a set this task has already given."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -167,18 +175,18 @@ def signed_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
                     s = shingle_set(text, n)
                     d = digest(s)
                     if not len(s) or d in seen:
-                        out.append((len(s), *d, None, None))
+                        out.append((len(s), *d, None, None, None))
                         continue
                     if len(seen) >= SEEN_DIGESTS:
                         seen.clear()
                     seen.add(d)
-                    out.append((len(s), *d, signatures(s, bands), parity_sketch(s)))
-                frame = pd.DataFrame(out, columns=["n", "d1", "d2", "sigs", "sketch"])
+                    out.append((len(s), *d, signatures(s, bands), parity_sketch(s), parities(s, SHORT_BITS)))
+                frame = pd.DataFrame(out, columns=["n", "d1", "d2", "sigs", "sketch", "short"])
                 frame.insert(0, "doc_id", part["doc_id"].reset_index(drop=True))
                 yield frame
 
     return docs.mapInPandas(
-        rows, f"doc_id {kind}, n long, d1 long, d2 long, sigs array<long>, sketch array<long>")
+        rows, f"doc_id {kind}, n long, d1 long, d2 long, sigs array<long>, sketch array<long>, short array<long>")
 
 
 def apart(x, y):
@@ -264,8 +272,8 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80,
     first = signed_sets(docs, n, percent).withColumn("rid", F.monotonically_increasing_id())
     first = stored(first, "signed")  # fixes rid, and keeps the signatures from being made twice
 
-    classes = (first.where("n > 0").groupBy("d1", "d2")
-               .agg(F.min("rid").alias("rep"), F.min("doc_id").alias("class_id")))
+    classes = stored(first.where("n > 0").groupBy("d1", "d2")
+                     .agg(F.min("rid").alias("rep"), F.min("doc_id").alias("class_id")), "classes")
     rows = stored(first.select("rid", "doc_id", "n", "d1", "d2").join(classes, ["d1", "d2"], "left"), "rows")
     member = rows.where("n > 0").select("rid", "rep")
 
@@ -275,41 +283,51 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80,
               .withColumn("lo", F.min("rid").over(of_sig)).withColumn("hi", F.max("rid").over(of_sig))
               .where("lo <> hi").select("sig", "rid"))
     held = stored(shared.join(member, "rid").select("sig", "rep").distinct(), "held")
-
-    # each class against the leader it shares most signatures with
-    led = (held.withColumn("leader", F.min("rep").over(of_sig)).where("leader <> rep")
-           .groupBy("leader", "rep").agg(F.count(F.lit(1)).alias("times")))
-    star = (led.groupBy(F.col("rep").alias("b"))
-            .agg(F.max_by("leader", F.struct(F.col("times"), -F.col("leader"))).alias("a")).select("a", "b"))
-    sets = (first.where("sketch is not null").select(F.col("rid").alias("rep"), "n", "sketch")
+    sets = (first.where("sketch is not null").select(F.col("rid").alias("rep"), "n", "sketch", "short")
             .join(held.select("rep").distinct(), "rep", "left_semi"))
     sets = stored(sets, "sketches")
-    star = stored(star, "star")
-    star_near = stored(sketched(star, sets, percent), "star-near")
     involved = rows.where("rid = rep").select("rep", "doc_id", "d1", "d2")
 
-    def texts_for(pairs: DataFrame) -> DataFrame:
-        nodes = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
-        return stored(texts_of(docs, involved.join(nodes, "rep"), n), "texts")
-
-    links = stored(confirmed(star_near, texts_for(star_near), n, percent), "star-links")
-    joined = components(links)
+    def checked(pairs: DataFrame) -> DataFrame:
+        """The pairs that are similar, from candidate pairs (a, b)."""
+        near = stored(sketched(pairs, sets, percent), "near")
+        nodes = near.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+        texts = stored(texts_of(docs, involved.join(nodes, "rep"), n), "texts")
+        return stored(confirmed(near, texts, n, percent), "similar")
+
+    def still_apart(joined: DataFrame | None) -> DataFrame:
+        """(sig, rep, comp) of the signatures that hold several components."""
+        if joined is None:
+            return held.withColumn("comp", F.col("rep"))
+        return (held.join(joined, F.col("rep") == F.col("node"), "left")
+                .select("sig", "rep", F.coalesce("component", "rep").alias("comp"))
+                .withColumn("lo", F.min("comp").over(of_sig)).withColumn("hi", F.max("comp").over(of_sig))
+                .where("lo <> hi").select("sig", "rep", "comp"))
+
+    links, joined = None, None
+    for turn in range(STAR_ROUNDS):
+        # each class against the leaders it shares most signatures with, other leaders every round
+        lead = F.min(F.struct(F.xxhash64("rep", F.lit(turn)), "rep", "comp")).over(of_sig)
+        led = (still_apart(joined).withColumn("lead", lead).where("lead.comp <> comp")
+               .groupBy("rep", F.col("lead.rep").alias("leader")).agg(F.count(F.lit(1)).alias("times")))
+        best = Window.partitionBy("rep").orderBy(F.desc("times"), "leader")
+        star = (led.withColumn("place", F.row_number().over(best)).where(F.col("place") <= LEADERS)
+                .select(F.least("leader", "rep").alias("a"), F.greatest("leader", "rep").alias("b")).distinct())
+        found = checked(star)
+        links = found if links is None else stored(links.unionByName(found), "links-so-far")
+        joined = components(links)
 
     # classes of one signature that are still apart: every pair across components
-    tagged = (held.join(joined, F.col("rep") == F.col("node"), "left")
-              .select("sig", "rep", F.coalesce("component", "rep").alias("comp"))
-              .withColumn("lo", F.min("comp").over(of_sig)).withColumn("hi", F.max("comp").over(of_sig))
-              .where("lo <> hi").join(sets.select("rep", "n"), "rep").select("sig", "rep", "comp", "n"))
-    tagged = stored(tagged, "apart")
+    brief = sets.select("rep", "n", *[F.col("short")[i].alias(c) for i, c in enumerate(SHORT)])
+    tagged = stored(still_apart(joined).join(brief, "rep"), "apart")
     x, y = tagged.alias("x"), tagged.alias("y")
+    differ = sum((F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in SHORT), F.lit(0))
     cross = x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.rep") < F.col("y.rep"))
                    & (F.col("x.comp") != F.col("y.comp"))
-                   & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent))
-    cross = (cross.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
-             .join(star, ["a", "b"], "left_anti"))
-    cross = stored(sketched(cross, sets, percent), "cross")
-    more = confirmed(cross, texts_for(cross), n, percent)
-    final = components(stored(links.unionByName(more), "all-links"))
+                   & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent)
+                   & (differ * (100 + percent) <= (F.col("x.n") + F.col("y.n")) * (100 - percent)))
+    more = checked(cross.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct())
+    final = components(links.unionByName(more))
 
     ids = (rows.where("n > 0").groupBy("rep").agg(F.min("class_id").alias("class_id"))
            .join(final, F.col("rep") == F.col("node"), "left")
