@@ -90,3 +90,34 @@ def test_markets_payload(spark):
     rows = {r.coin_id: r for r in M.flatten_markets(p, keep=("id",)).collect()}
     assert rows["x"].price_change_24h == 1.5 and rows["x"].volume_change_24h == 9.0
     assert rows["y"].market_cap_change_24h is None
+
+
+def test_payload_rejects_are_returned(spark):
+    from tickflow.functions.messages import markets_rejects, simple_price_rejects
+    from tickflow.operators.metrics import nested_rejects
+    p = spark.createDataFrame([(1, '{"a":{"usd":1.0},"b":{"eur":2.0}}'), (2, "oops"), (3, None), (4, "{}")],
+                              "id int, payload string")
+    got = {(r.id, r.coin_id, r.raw) for r in simple_price_rejects(p, keep=("id",)).collect()}
+    assert got == {(1, "b", None), (2, None, "oops"), (3, None, None)}
+    m = spark.createDataFrame([(1, '[{"id":"x"}]'), (2, "oops"), (3, None)], "id int, payload string")
+    assert {r.id for r in markets_rejects(m, keep=("id",)).collect()} == {2, 3}
+    d = spark.createDataFrame([(1, '{"batch":{"latency":[]}}'), (2, "oops")], "id int, document string")
+    assert {r.id for r in nested_rejects(d, keep=("id",)).collect()} == {2}
+
+
+def test_epoch_division_is_exact_beyond_doubles(spark):
+    from tickflow.functions.timecols import epoch_ms_to_ts, ts_to_epoch_ms
+    ms = [9_223_372_036_854_000, -1, -1001, 0, 253402300799999]
+    df = spark.createDataFrame([(x,) for x in ms], "ms long").where("ms < 300000000000000")
+    got = {r.ms: r.back for r in df.select("ms", ts_to_epoch_ms(epoch_ms_to_ts("ms")).alias("back")).collect()}
+    assert got == {x: x // 1000 * 1000 for x in ms if x < 300_000_000_000_000}
+
+
+def test_publish_writes_envelopes(spark, tmp_root):
+    from tickflow.schemas import ENVELOPE
+    from tickflow.streaming.sinks import publish, read_sink
+    m = spark.createDataFrame([(b"k", b"v", "t")], ENVELOPE)
+    publish(m, "parquet", path=tmp_root)
+    publish(m, "parquet", path=tmp_root)
+    assert read_sink(spark, tmp_root, ENVELOPE).count() == 2
+    assert read_sink(spark, tmp_root + "-none", ENVELOPE).count() == 0

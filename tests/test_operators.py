@@ -65,7 +65,7 @@ def test_ordinal_matches_row_number_on_skewed_groups(spark):
     # one group holds most rows
     df = spark.range(0, 5000).select(F.when(F.col("id") % 10 == 0, "b").otherwise("a").alias("g"),
                                      (F.col("id") * 7 % 5003).alias("o"))
-    got = ordinal(df, ["g"], ["o"], partitions=7, max_group_rows=100)   # force the range path
+    got = ordinal(df, ["g"], ["o"], partitions=7)
     ref = df.withColumn("ref", F.row_number().over(Window.partitionBy("g").orderBy("o")) - 1)
     j = got.join(ref, ["g", "o"])
     assert j.count() == 5000 and j.filter("idx <> ref").count() == 0
@@ -143,12 +143,84 @@ def test_show_results_prints_bounded_rows(spark, capsys):
     assert "only showing top 3 rows" in out
 
 
-def test_ordinal_small_groups_take_the_window_path(spark):
-    df = spark.range(0, 300).select((F.col("id") % 3).alias("g"), F.col("id").alias("o"))
-    got = ordinal(df, ["g"], ["o"])
-    plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "Window" in plan and "RangePartitioning" not in plan and "rangepartitioning" not in plan
-    assert got.filter("idx = o div 3").count() == 300
+def test_ordinal_keeps_null_groups_at_any_partition_count(spark):
+    df = spark.range(0, 1000).select(F.when(F.col("id") % 2 == 0, F.col("id") % 3).alias("g"), F.col("id").alias("o"))
+    ref = df.withColumn("ref", F.row_number().over(Window.partitionBy("g").orderBy("o")) - 1)
+    for n in (1, 4, 64):
+        got = ordinal(df, ["g"], ["o"], partitions=n)
+        j = got.join(ref.select("o", "ref"), "o")
+        assert j.count() == 1000 and j.filter("idx <> ref").count() == 0
+
+
+def test_ordinal_without_groups_and_empty(spark):
+    got = ordinal(spark.range(100).select((F.lit(99) - F.col("id")).alias("o")), [], ["o"], partitions=3)
+    assert got.count() == 100 and got.filter("idx <> o").count() == 0
+    assert ordinal(spark.range(0).withColumn("g", F.lit(1)), ["g"], ["id"]).count() == 0
+
+
+def test_previous_value_with_null_keys_is_lag(spark):
+    import datetime as dt
+    from tickflow.operators.extensions import previous_value
+    t = dt.datetime(2024, 1, 1)
+    rows = [(None, t, 1.0), (None, t + dt.timedelta(days=1), 2.0), ("a", t, 3.0), (None, None, 4.0)]
+    df = spark.createDataFrame(rows, "coin_id string, window_start timestamp_ntz, v double")
+    ref = df.withColumn("ref", F.lag("v").over(Window.partitionBy("coin_id").orderBy("window_start")))
+    got = previous_value(df, "coin_id", "window_start", "v", "prev").join(ref.select("v", "ref"), "v")
+    assert got.count() == 4 and got.filter(~F.col("prev").eqNullSafe(F.col("ref"))).count() == 0
+
+
+def test_shared_root_needs_a_shared_folder_off_local():
+    from types import SimpleNamespace
+    import pytest
+    from tickflow.session import shared_root
+    conf = SimpleNamespace(get=lambda *a: None)
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: conf, master="yarn")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_root(SimpleNamespace(sparkContext=sc, conf=conf))
+
+
+def test_drop_scratch_removes_only_own_locations(spark):
+    import os
+    import pytest
+    from tickflow.session import drop_scratch, scratch_path
+    path = scratch_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    drop_scratch(spark, path)
+    assert not os.path.exists(path.replace("file:", ""))
+    with pytest.raises(ValueError):
+        drop_scratch(spark, "/tmp/elsewhere")
+
+
+def test_windows_by_arrival_time(spark):
+    from tickflow.functions.timecols import arrival_time
+    from tickflow.operators.windows import windowed
+    df = spark.createDataFrame([("a", 1.0, 2.0, 1_700_000_000_123)], "coin_id string, price_usd double, "
+                               "volume_24h double, ingest_ms long")
+    got = windowed(df.withColumn("arrived", arrival_time()), time_col="arrived")
+    assert got.count() == 3
+
+
+def test_compare_needs_two_exchanges_and_latest_no_sort_aggregate(spark):
+    from tickflow.operators.reconcile import compare_windows
+    from tickflow.operators.windows import windowed
+    from tickflow.streaming.queries import latest_windows
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        log = spark.createDataFrame([], "window_start timestamp_ntz, window_end timestamp_ntz, coin_id string, "
+                                    "avg_price decimal(20,8), min_price decimal(20,8), max_price decimal(20,8), "
+                                    "total_volume decimal(20,2), batch_id long")
+        prices = spark.createDataFrame([], "coin_id string, price_usd double, volume_24h double, "
+                                       "timestamp timestamp_ntz")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.optimizer.excludedRules",
+                       "org.apache.spark.sql.catalyst.optimizer.ConvertToLocalRelation,"
+                       "org.apache.spark.sql.catalyst.optimizer.PropagateEmptyRelation")
+        plan = compare_windows(latest_windows(log), windowed(prices))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.optimizer.excludedRules"):
+            spark.conf.unset(c)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("Exchange hashpartitioning") == 2 and "SortAggregate" not in plan
 
 
 def test_market_trend_labels(spark):

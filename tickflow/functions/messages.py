@@ -79,7 +79,8 @@ SIMPLE_PRICE_PAYLOAD = T.MapType(T.StringType(), T.MapType(T.StringType(), T.Dou
 def flatten_simple_price(df: DataFrame, payload: str = "payload", keep: tuple[str, ...] = ()) -> DataFrame:
     """Object-keyed price payload ``{coin: {usd, usd_market_cap?, usd_24h_vol?}}``
     to one row per coin.  A missing market cap or volume key defaults to 0, an
-    explicit null stays NULL; an entry without ``usd`` is dropped."""
+    explicit null stays NULL; entries without ``usd`` and payloads that do not
+    parse are given by :func:`simple_price_rejects`."""
     m = F.col("_v")
     def opt(k):
         return F.when(F.map_contains_key(m, k), m[k]).otherwise(F.lit(0.0))
@@ -98,6 +99,26 @@ MARKETS_PAYLOAD = T.ArrayType(T.StructType([
 ]))
 
 
+def simple_price_rejects(df: DataFrame, payload: str = "payload", keep: tuple[str, ...] = ()) -> DataFrame:
+    """What :func:`flatten_simple_price` gives no row for: ``coin_id`` of an
+    entry without ``usd``, or NULL with the ``raw`` text of a payload that
+    does not parse (or is NULL)."""
+    parsed = F.from_json(F.col(payload), SIMPLE_PRICE_PAYLOAD)
+    d = df.select(*keep, F.col(payload).alias("raw"), F.inline(F.array(F.struct(parsed.alias("m")))))
+    entries = d.select(*keep, "raw", "m", F.explode_outer("m").alias("coin_id", "_v"))
+    lost = F.col("m").isNull() | ~F.coalesce(F.map_contains_key("_v", "usd"), F.lit(True))
+    return entries.filter(lost).select(
+        *keep, "coin_id", F.when(F.col("m").isNull(), F.col("raw")).alias("raw"))
+
+
+def markets_rejects(df: DataFrame, payload: str = "payload", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Payloads that :func:`flatten_markets` gives no row for because they do
+    not parse (or are NULL)."""
+    parsed = F.from_json(F.col(payload), MARKETS_PAYLOAD)
+    d = df.select(*keep, F.col(payload).alias("raw"), F.inline(F.array(F.struct(parsed.alias("m")))))
+    return d.filter(F.col("m").isNull()).select(*keep, "raw")
+
+
 def flatten_markets(df: DataFrame, payload: str = "payload", keep: tuple[str, ...] = ()) -> DataFrame:
     """Array-of-objects market payload to one market row per element."""
     m = df.select(*keep, F.explode(F.from_json(F.col(payload), MARKETS_PAYLOAD)).alias("_m"))

@@ -10,10 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickflow.functions.arith import round_double
-from tickflow.session import shared_root
-
-# Largest per-(key, bucket) table that is broadcast back; beyond it, a shuffle join.
-BUCKET_TABLE_BROADCAST_MAX = 200_000
+from tickflow.session import scratch_path
 
 
 def trending(avg_changes: DataFrame, k: int = 3) -> DataFrame:
@@ -23,8 +20,10 @@ def trending(avg_changes: DataFrame, k: int = 3) -> DataFrame:
 
 def volume_rank(windows: DataFrame) -> DataFrame:
     """Rank of each coin by total volume inside its window (1 = largest).
-    A window holds one row per coin, so each window partition stays small."""
-    w = Window.partitionBy("window_start", "window_end").orderBy(F.desc("total_volume"))
+    Volumes are compared in their stored type, so that ties do not depend on
+    the order in which a double was summed.  A window holds one row per coin,
+    so each window partition stays small."""
+    w = Window.partitionBy("window_start", "window_end").orderBy(F.expr("try_cast(total_volume AS DECIMAL(20, 2))").desc())
     return windows.select("window_start", "window_end", "coin_id", "total_volume",
                           F.rank().over(w).alias("volume_rank"))
 
@@ -39,18 +38,19 @@ def previous_value(df: DataFrame, key: str, order_col: str, value_col: str, prev
     d = df.withColumn("_b", b)
     inner = Window.partitionBy(key, "_b").orderBy(order_col)
     d = d.withColumn("_prev", F.lag(value_col).over(inner)) \
-         .withColumn("_first", F.lag(order_col).over(inner).isNull())
-    # both branches below read ``d``; materialise it once in the shared
-    # checkpoint folder, or each branch would rescan and re-aggregate the input
-    shared_root(d.sparkSession)
-    d = d.checkpoint(eager=True)
-    last = d.groupBy(key, "_b").agg(F.max_by(value_col, order_col).alias("_last"))
+         .withColumn("_n", F.row_number().over(inner))
+    # both branches below read ``d``: it is written once to the shared scratch
+    # folder, or each branch would rescan and re-aggregate the input
+    path = scratch_path(d.sparkSession, "previous")
+    d.write.parquet(path)
+    d = d.sparkSession.read.schema(d.schema).parquet(path)
+    last = d.groupBy(key, "_b").agg(F.max_by(value_col, "_n").alias("_last"))
     across = Window.partitionBy(key).orderBy("_b")
     last = last.select(key, "_b", F.lag("_last").over(across).alias("_carry"))
-    small = last.limit(BUCKET_TABLE_BROADCAST_MAX + 1).count() <= BUCKET_TABLE_BROADCAST_MAX
-    out = d.join(F.broadcast(last) if small else last, [key, "_b"], "left")
-    return out.withColumn(prev_col, F.when(F.col("_first"), F.col("_carry")).otherwise(F.col("_prev"))) \
-              .drop("_b", "_prev", "_first", "_carry")
+    last = last.select(F.col(key).alias("_key"), F.col("_b").alias("_bucket"), "_carry")
+    out = d.join(last, F.col(key).eqNullSafe(F.col("_key")) & F.col("_b").eqNullSafe(F.col("_bucket")), "left")
+    return out.withColumn(prev_col, F.when(F.col("_n") == 1, F.col("_carry")).otherwise(F.col("_prev"))) \
+              .drop("_b", "_prev", "_n", "_carry", "_key", "_bucket")
 
 
 def market_trend(windows: DataFrame, scale: int = 6) -> DataFrame:

@@ -44,6 +44,14 @@ def report(metrics: DataFrame) -> DataFrame:
                         for c in ("avg_cpu_usage", "avg_memory_usage")])
 
 
+def nested_rejects(docs: DataFrame, doc_col: str = "document", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Documents that :func:`import_nested` gives no record for because they
+    do not parse (or are NULL)."""
+    d = docs.select(*keep, F.col(doc_col).alias("raw"),
+                    F.inline(F.array(F.struct(F.from_json(F.col(doc_col), NESTED_METRICS).alias("m")))))
+    return d.filter(F.col("m").isNull()).select(*keep, "raw")
+
+
 SERIES_ORDER = ["seq", "latency", "throughput", "cpu_percent", "memory_percent"]
 
 

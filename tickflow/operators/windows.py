@@ -52,9 +52,19 @@ def flatten_window(df: DataFrame, window_col: str = "window") -> DataFrame:
                      F.col(f"{window_col}.end").alias("window_end"), *rest)
 
 
-def windowed(df: DataFrame, **kw) -> DataFrame:
-    """The stored form: window_start, window_end, coin_id, avg/min/max_price, total_volume."""
-    return flatten_window(window_aggregates(df, **kw))
+def windowed(df: DataFrame, time_col: str = "timestamp", key: str = "coin_id",
+             price: str = "price_usd", volume: str = "volume_24h",
+             duration: str = WINDOW_DURATION, slide: str = SLIDE_DURATION, extra: list | None = None) -> DataFrame:
+    """The stored form: window_start, window_end, coin_id, avg/min/max_price, total_volume.
+
+    The batch form of :func:`window_aggregates`: grouped by the flat bounds, so
+    that a join on them reuses the grouping's partitioning."""
+    require_columns(df, time_col, key, price, volume)
+    w = df.select(F.window(time_col, duration, slide).alias("w"), F.col(key).alias("coin_id"),
+                  F.col(price).alias("p"), F.col(volume).alias("v"))
+    return (w.groupBy(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "coin_id")
+            .agg(F.avg("p").alias("avg_price"), F.min("p").alias("min_price"),
+                 F.max("p").alias("max_price"), F.sum("v").alias("total_volume"), *(extra or [])))
 
 
 def null_time_count(df: DataFrame, time_col: str = "timestamp") -> DataFrame:

@@ -41,6 +41,23 @@ MARKET_SINK_DECIMALS = {"price_change_24h": (20, 8), "market_cap_change_24h": (2
 WINDOW_SINK_DECIMALS = {"avg_price": (20, 8), "min_price": (20, 8), "max_price": (20, 8),
                         "total_volume": (20, 2)}
 
+
+
+def _stored(first, decimals, last):
+    return T.StructType([T.StructField(n, t) for n, t in first]
+                        + [T.StructField(c, T.DecimalType(*d)) for c, d in decimals.items()]
+                        + [T.StructField(n, t) for n, t in last])
+
+
+# What the three sinks write, with their partition columns.
+_ROW_END = [("timestamp", T.TimestampNTZType()), (CORRUPT_COL, T.StringType()), ("is_reject", T.BooleanType()),
+            ("ingest_ms", T.LongType()), ("batch_id", T.LongType()), ("event_date", T.DateType())]
+RAW_PRICES_TABLE = _stored([("key", T.BinaryType()), ("coin_id", T.StringType())], PRICE_SINK_DECIMALS, _ROW_END)
+MARKET_TABLE = _stored([("key", T.BinaryType()), ("coin_id", T.StringType())], MARKET_SINK_DECIMALS, _ROW_END)
+WINDOWS_TABLE = _stored([("window_start", T.TimestampNTZType()), ("window_end", T.TimestampNTZType()),
+                         ("coin_id", T.StringType())], WINDOW_SINK_DECIMALS,
+                        [("is_reject", T.BooleanType()), ("batch_id", T.LongType())])
+
 # One row per run (batch) or micro-batch (streaming).
 METRICS_RECORD = T.StructType([
     T.StructField("mode", T.StringType()),

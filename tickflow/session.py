@@ -39,8 +39,9 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8,
 def shared_root(spark: SparkSession) -> str:
     """The cluster-wide folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when nothing is configured (local tests) is a
-    fresh folder created and registered as the checkpoint dir.
+    Read from the session.  Where nothing is configured, a ``local[...]``
+    session gets a fresh folder of this machine; on any other master that
+    folder would not be seen by the executors, so it is an error.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir()
@@ -48,6 +49,9 @@ def shared_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not root:
+        master = sc.master or ""
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors share (master {master})")
         root = tempfile.mkdtemp(prefix="tickflow-")
     sc.setCheckpointDir(root)
     return sc.getCheckpointDir().rstrip("/")
@@ -56,3 +60,16 @@ def shared_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique location under the shared folder (never reused)."""
     return f"{shared_root(spark)}/tickflow/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_scratch(spark: SparkSession, path: str | None = None) -> None:
+    """Removes a location made by :func:`scratch_path`, or without ``path``
+    all of this application's, once their queries are finished.  Frames that
+    still read them fail afterwards."""
+    base = f"{shared_root(spark)}/tickflow"
+    target = path or base
+    if target != base and not target.startswith(f"{base}/"):
+        raise ValueError(f"not a scratch location of this session: {target}")
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(target)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)

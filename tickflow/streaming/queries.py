@@ -3,6 +3,8 @@ metrics (K3), each a ``foreachBatch`` query with its own checkpoint."""
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -11,7 +13,7 @@ from tickflow.functions import messages as M
 from tickflow.functions.timecols import as_instant, as_wallclock, ingest_ms
 from tickflow.operators.typed_sink import to_sink_types
 from tickflow.operators.windows import WINDOW_KEYS, WINDOW_VALUES, flatten_window, window_aggregates
-from tickflow.schemas import (CORRUPT_COL, MARKET_MESSAGE, MARKET_SINK_DECIMALS, PRICE_MESSAGE,
+from tickflow.schemas import (MARKET_MESSAGE, MARKET_SINK_DECIMALS, PRICE_MESSAGE,
                               PRICE_SINK_DECIMALS, WINDOW_SINK_DECIMALS)
 from tickflow.streaming.sinks import MeteredSink, write_batch_partition
 
@@ -20,6 +22,14 @@ PRICE_TRIGGER = {"processingTime": "90 seconds"}
 MARKET_TRIGGER = {"processingTime": "60 seconds"}
 
 
+def warn_of_heap_state(spark: SparkSession) -> None:
+    """Window state kept on the JVM heap does not suit many open windows."""
+    provider = spark.conf.get("spark.sql.streaming.stateStore.providerClass", "")
+    if "RocksDB" not in provider:
+        warnings.warn("window state is kept on the heap: set spark.sql.streaming.stateStore.providerClass "
+                      "to the RocksDB provider", stacklevel=3)
+
+
 def _start(df: DataFrame, sink, checkpoint: str, name: str, trigger: dict, mode: str) -> StreamingQuery:
     return (df.writeStream.foreachBatch(sink).outputMode(mode)
               .option("checkpointLocation", checkpoint).queryName(name)
@@ -67,13 +77,15 @@ def start_market_metrics(messages: DataFrame, sink_path: str, checkpoint: str, t
 
 
 def window_stream(messages: DataFrame, watermark: str | None = None) -> DataFrame:
-    """Valid price rows of a message stream aggregated by sliding window.
+    """Price rows of a message stream aggregated by sliding window.
+
+    A message with one wrong-typed field counts with its other fields; one
+    that does not decode at all has no time and so falls in no window.
 
     Without ``watermark`` state is never evicted and late rows are always
     accepted; with it, event time becomes an instant and each window is
     final once the watermark passes its end."""
-    d = M.decode(messages, PRICE_MESSAGE, with_corrupt=True)
-    rows = d.filter(F.col(CORRUPT_COL).isNull())
+    rows = M.decode(messages, PRICE_MESSAGE)
     if watermark:
         rows = rows.withColumn("timestamp", as_instant("timestamp")).withWatermark("timestamp", watermark)
     return window_aggregates(rows)
@@ -89,15 +101,18 @@ def stored_windows(df: DataFrame) -> DataFrame:
 
 def start_window_log(messages: DataFrame, sink_path: str, checkpoint: str, trigger: dict | None = None,
                      metrics_path: str | None = None, watermark: str | None = None,
-                     name: str = "price_windows") -> StreamingQuery:
-    """K2: sliding-window aggregate.  Update mode (default) writes every
-    window a micro-batch touched, with all its rows so far, under that
-    batch's id: an update log.  With ``watermark`` the query runs in append
-    mode and writes each window once, when it closes."""
+                     name: str = "price_windows", output_mode: str | None = None) -> StreamingQuery:
+    """K2: sliding-window aggregate.  Update mode writes every window a
+    micro-batch touched, with all its rows so far, under that batch's id: an
+    update log.  Append mode needs a ``watermark`` and writes each window
+    once, when it closes.  The default is append with a watermark and update
+    without; update with a watermark gives live windows with bounded state."""
+    output_mode = output_mode or ("append" if watermark else "update")
+    warn_of_heap_state(messages.sparkSession)
     agg = window_stream(messages, watermark)
     sink = MeteredSink(name, stored_windows, lambda df, b: write_batch_partition(df, b, sink_path),
                        metrics_path, reject_col="is_reject")
-    return _start(agg, sink, checkpoint, name, trigger or PRICE_TRIGGER, "append" if watermark else "update")
+    return _start(agg, sink, checkpoint, name, trigger or PRICE_TRIGGER, output_mode)
 
 
 def _since(log: DataFrame, compacted: DataFrame | None) -> DataFrame:
@@ -111,8 +126,9 @@ def _since(log: DataFrame, compacted: DataFrame | None) -> DataFrame:
 
 
 def _latest_rows(log: DataFrame) -> DataFrame:
-    last = F.max_by(F.struct(*WINDOW_VALUES, "batch_id"), F.col("batch_id")).alias("_l")
-    return log.groupBy(*WINDOW_KEYS).agg(last).select(*WINDOW_KEYS, "_l.*")
+    # one scalar per column keeps both sides hash aggregates; a window has one row per batch_id
+    last = [F.max_by(c, "batch_id").alias(c) for c in WINDOW_VALUES]
+    return log.groupBy(*WINDOW_KEYS).agg(*last, F.max("batch_id").alias("batch_id"))
 
 
 def latest_windows(log: DataFrame, compacted: DataFrame | None = None) -> DataFrame:

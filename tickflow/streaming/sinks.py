@@ -11,8 +11,10 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tickflow.schemas import METRICS_RECORD
 
@@ -27,6 +29,24 @@ def write_batch_partition(df: DataFrame, batch_id: int, path: str, fmt: str = "p
        .save(path))
 
 
+def read_sink(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """What a sink has written under ``path``, in its declared ``schema``; an
+    empty frame where nothing has been written yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+    return spark.createDataFrame([], schema)
+
+
+def publish(messages: DataFrame, fmt: str = "kafka", **options) -> None:
+    """Writes message envelopes (key, value, topic): to a broker with the
+    connector's options, or to any file format that stands in for it."""
+    messages.select("key", "value", "topic").write.format(fmt).mode("append") \
+        .options(**{k: str(v) for k, v in options.items()}).save()
+
+
 def write_jdbc(df: DataFrame, batch_id: int, url: str, table: str, **options) -> None:
     """Append a micro-batch to a JDBC table with its ``batch_id``.  A replayed
     batch appends again (at-least-once) unless the table is keyed on batch_id."""
@@ -65,7 +85,7 @@ class MeteredSink:
             row = ("streaming", int(batch_id), self.query, int(batch_id), float(m["rows"]), seconds,
                    int(m["rejects"]), None, None, None)
             # one literal row built JVM-side (no Python worker per batch)
-            rec = spark.range(1).select(*[F.lit(v).cast(f.dataType).alias(f.name)
+            rec = spark.range(0, 1, 1, 1).select(*[F.lit(v).cast(f.dataType).alias(f.name)
                                           for v, f in zip(row, METRICS_RECORD.fields)])
             (rec.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                 .partitionBy("query", "batch_id").parquet(self.metrics_path))
