@@ -46,7 +46,7 @@ def main() -> None:
     # the reference's own report (mean latency and throughput per processing
     # mode) over the metrics records this run wrote: 2 rows reach the driver
     from tickflow.operators.metrics import report
-    recs = qs["stream_metrics"](spark, sf_dir).unionByName(qs["batch_metrics"](spark, sf_dir))
+    recs = streams.metrics_log(spark, sf_dir).unionByName(streams.batch_log(spark, sf_dir))
     rep = {r["mode"]: {k: round(float(r[k]), 3) for k in ("avg_latency", "avg_throughput")}
            for r in report(recs).collect()}
     sf = os.path.basename(sf_dir).replace("sf", "")

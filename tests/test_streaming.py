@@ -123,7 +123,7 @@ def test_run_all_fails_fast(spark, tmp_root):
     from tickflow.streaming.app import start_all
     from tickflow.streaming.progress import progress_records
     inbox = f"{tmp_root}/inbox"
-    X.price_messages(spark, SF, 0, 250).write.parquet(inbox)
+    X.price_messages(spark, SF).limit(250).write.parquet(inbox)
     src = message_stream(spark, "parquet", inbox)
     once = {"availableNow": True}
     qs = start_all(src, src, f"{tmp_root}/out", f"{tmp_root}/ck", once, once)
@@ -145,7 +145,7 @@ def test_run_all_fails_fast(spark, tmp_root):
 def test_rate_cap_one_file_per_batch(spark, tmp_root):
     inbox = f"{tmp_root}/inbox"
     for k in range(3):
-        X.price_messages(spark, SF, k, 250).coalesce(1).write.mode("append").parquet(inbox)
+        X.price_messages(spark, SF).limit(250).coalesce(1).write.mode("append").parquet(inbox)
     src = message_stream(spark, "parquet", inbox, max_files_per_trigger=1)
     q = P.start_raw_prices(src, f"{tmp_root}/raw", f"{tmp_root}/ck", {"availableNow": True})
     q.awaitTermination()
@@ -179,7 +179,7 @@ def test_metered_sink_retry_of_a_batch_changes_nothing(spark, tmp_root):
 def test_run_all_completes_with_available_now(spark, tmp_root):
     from tickflow.streaming.app import run_all
     inbox = f"{tmp_root}/inbox"
-    X.price_messages(spark, SF, 1, 250).write.parquet(inbox)
+    X.price_messages(spark, SF).limit(250).write.parquet(inbox)
     src = message_stream(spark, "parquet", inbox)
     once = {"availableNow": True}
     qs = run_all(spark, src, src, f"{tmp_root}/out", f"{tmp_root}/ck", once, once)
@@ -205,3 +205,46 @@ def test_compacted_latest_equals_full_latest(spark, replayed, tmp_root):
 def test_kafka_without_connector_says_what_is_missing(spark):
     with pytest.raises(RuntimeError, match="spark-sql-kafka"):
         message_stream(spark, "kafka", **kafka_options("localhost:1", "prices"))
+
+
+def test_partly_bad_message_counts_in_windows(spark, tmp_root):
+    from tickflow.schemas import ENVELOPE, WINDOWS_TABLE
+    from tickflow.streaming import queries as P
+    from tickflow.streaming.sinks import read_sink
+    from tickflow.streaming.sources import message_stream
+    rows = [(b"1", b'{"coin_id":"a","price_usd":"x","market_cap":1,"volume_24h":10,"timestamp":1700000000000}', "t"),
+            (b"2", b'{"coin_id":"a","price_usd":2,"market_cap":1,"volume_24h":5,"timestamp":1700000000000}', "t"),
+            (b"3", b"not json", "t"), (b"4", None, "t")]
+    spark.createDataFrame(rows, ENVELOPE).write.parquet(f"{tmp_root}/in")
+    q = P.start_window_log(message_stream(spark, "parquet", f"{tmp_root}/in"), f"{tmp_root}/w", f"{tmp_root}/c",
+                           {"availableNow": True})
+    P.await_all(spark, [q])
+    got = read_sink(spark, f"{tmp_root}/w", WINDOWS_TABLE).collect()
+    assert len(got) == 3 and all(r.total_volume == 15 and r.avg_price == 2 for r in got)
+
+
+def test_trigger_defaults():
+    from tickflow.streaming import queries as P
+    assert P.PRICE_TRIGGER == {"processingTime": "90 seconds"}
+    assert P.MARKET_TRIGGER == {"processingTime": "60 seconds"}
+
+
+def test_replay_feed_reaches_every_row(spark, tmp_root):
+    from tickflow.plans import fixtures as X
+    e = spark.read.parquet("/root/testdata/sf0.001/events.parquet").limit(200)
+    odd = e.limit(4).withColumn("event_id", F.expr(
+        "element_at(array(NULL, -5L, 1000000000000000L, NULL), cast(event_id % 4 + 1 as int))"))
+    e.unionByName(odd).write.parquet(f"{tmp_root}/events.parquet")
+    feed, chunks = X.replay_feed(spark, tmp_root, "prices")
+    per = {r["chunk"]: r["n"] for r in feed.filter("value <> cast('not json' as binary)").groupBy("chunk")
+           .agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert chunks == 4 and sum(per.values()) == 204 and max(per.values()) == 51
+
+
+def test_stream_queries_on_an_empty_table(spark, tmp_root):
+    from tickflow.plans import streams
+    spark.read.parquet("/root/testdata/sf0.001/events.parquet").limit(0).write.parquet(f"{tmp_root}/events.parquet")
+    for q in (streams.stream_raw_prices, streams.stream_rejects, streams.stream_price_windows_log,
+              streams.stream_price_windows_latest, streams.stream_price_windows_watermark,
+              streams.stream_price_windows_live, streams.compare_stored_log):
+        assert q(spark, tmp_root).count() == 0

@@ -102,6 +102,28 @@ def flatten_markets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat(X.markets_payloads(spark, sf_dir), keep=("l_orderkey",))
 
 
+def flatten_simple_price_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P10: entries without a price, and payloads that do not parse."""
+    from tickflow.functions.messages import simple_price_rejects
+    p = X.broken_payloads(X.simple_price_payloads(spark, sf_dir), "event_id")
+    return simple_price_rejects(p, keep=("event_id",))
+
+
+def flatten_markets_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Market payloads that do not parse."""
+    from tickflow.functions.messages import markets_rejects
+    p = X.broken_payloads(X.markets_payloads(spark, sf_dir), "l_orderkey")
+    return markets_rejects(p, keep=("l_orderkey", "l_linenumber"))
+
+
+def metrics_nested_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics documents that do not parse."""
+    from tickflow.operators.metrics import nested_rejects
+    docs = X.nested_metrics_documents(spark, sf_dir).withColumnRenamed("document", "payload")
+    broken = X.broken_payloads(docs, "doc_id").withColumnRenamed("payload", "document")
+    return nested_rejects(broken, keep=("doc_id",))
+
+
 def sink_typed_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K7: price rows in their stored DECIMAL types (shown as double)."""
     from tickflow.operators.typed_sink import to_sink_types
@@ -125,10 +147,17 @@ def metrics_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(s, ["latency", "throughput", "cpu_percent", "memory_percent"])
 
 
+def metrics_series_null_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1 + W2 where every fifth record has no mode: they are a group like any other."""
+    from tickflow.operators.metrics import series
+    m = X.metrics_records(spark, sf_dir).withColumn("mode", F.when(F.col("seq") % 5 != 0, F.col("mode")))
+    return _rounded(series(m), ["latency", "throughput", "cpu_percent", "memory_percent"])
+
+
 def metrics_nested_import(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested metrics documents to flat records."""
     from tickflow.operators.metrics import import_nested
-    f = import_nested(X.nested_metrics_documents(spark, sf_dir), keep=("doc_id", "page"))
+    f = import_nested(X.nested_metrics_documents(spark, sf_dir), keep=("doc_id",))
     return _rounded(f, ["processing_time", "throughput", "cpu_percent", "memory_percent", "memory_used_gb"])
 
 

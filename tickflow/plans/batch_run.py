@@ -26,7 +26,7 @@ def timed_write(name: str, seq: int, source: DataFrame, result_of, out_path: str
     seconds = time.time() - t0
     row = ("batch", seq, name, None, float(obs.get["rows"]), seconds, 0, None, None, None)
     spark = source.sparkSession
-    return spark.range(1).select(*[F.lit(v).cast(f.dataType).alias(f.name)
+    return spark.range(0, 1, 1, 1).select(*[F.lit(v).cast(f.dataType).alias(f.name)
                                    for v, f in zip(row, METRICS_RECORD.fields)])
 
 

@@ -9,6 +9,7 @@ QUERIES = {
     name: getattr(batch, name) for name in (
         "price_window_agg", "decode_prices", "decode_rejects", "decode_market", "encode_price_messages",
         "market_avg_changes", "tracked_coins", "top_market_cap", "flatten_simple_price", "flatten_markets",
+        "flatten_simple_price_rejects", "flatten_markets_rejects", "metrics_nested_rejects", "metrics_series_null_mode",
         "sink_typed_prices", "metrics_report", "metrics_series", "metrics_nested_import",
         "trending_coins", "volume_rank", "market_trend")
 }
@@ -17,7 +18,8 @@ QUERIES.update({
         "stream_raw_prices", "stream_rejects", "stream_market_metrics", "stream_price_windows_log",
         "stream_price_windows_latest", "stream_price_windows_watermark", "compare_stream_batch_log",
         "compare_stream_batch_latest", "consistency_summary", "stream_metrics", "batch_metrics",
-        "stream_batch_counts", "batch_metric_counts", "stream_price_windows_latest_compacted")
+        "compare_stored_log", "compare_stored_latest", "consistency_stored", "stream_price_windows_live",
+        "stream_metrics_watermark", "stream_price_windows_latest_compacted")
 })
 
 

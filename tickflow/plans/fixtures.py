@@ -14,12 +14,14 @@ from pyspark.sql import functions as F
 
 from tickflow.functions import messages as M
 from tickflow.functions.arith import throughput
+from tickflow.operators.ordinal import ordinal
 from tickflow.schemas import MODES
 from tickflow.sources.tables import driver_table
 
 # Fixed values of the mapping.
 REJECT_EVERY = 7          # every 7th event also yields one malformed message
-REPLAY_CHUNKS = 4         # micro-batches a table is replayed in
+REPLAY_CHUNKS = 4         # micro-batches a table is replayed in, at least
+REPLAY_CHUNK_ROWS = 20_000_000
 MALFORMED = "not json"
 
 
@@ -53,42 +55,55 @@ PRICE_FIELDS = ["coin_id", "price_usd", "market_cap", "volume_24h", "timestamp"]
 MARKET_FIELDS = ["coin_id", "price_change_24h", "market_cap_change_24h", "volume_change_24h", "timestamp"]
 
 
-def _id_range(df: DataFrame, id_col: str, chunk: int | None, chunk_rows: int) -> DataFrame:
-    """Rows of micro-batch ``chunk`` (id div chunk_rows = chunk), written as a
-    range on the id so the parquet scan skips the other row groups."""
-    if chunk is None:
-        return df
-    lo = chunk * chunk_rows
-    return df.filter((F.col(id_col) >= lo) & (F.col(id_col) < lo + chunk_rows))
+def price_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encoded price messages keyed by event_id, plus one malformed copy for
+    every ``REJECT_EVERY``-th event."""
+    return _price_envelopes(prices(spark, sf_dir)).select("key", "value", "topic")
 
 
-def price_messages(spark: SparkSession, sf_dir: str, chunk: int | None = None, chunk_rows: int = 0) -> DataFrame:
-    """Encoded price messages keyed by event_id, plus one malformed copy for
-    every ``REJECT_EVERY``-th event.  With ``chunk`` only the messages of that
-    micro-batch (event_id div chunk_rows = chunk)."""
-    p = _id_range(prices(spark, sf_dir), "event_id", chunk, chunk_rows)
-    good = M.encode(p, PRICE_FIELDS, key=F.col("event_id"), topic="prices", carry=("event_id",))
+def _price_envelopes(p: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    good = M.encode(p, PRICE_FIELDS, key=F.col("event_id"), topic="prices", carry=("event_id", *carry))
     # one scan: each event yields its message and, for every REJECT_EVERY-th
     # event, a malformed copy (array_compact drops the NULL second entry)
     msg = F.struct("key", "value", "topic")
     bad = F.struct(F.col("key"), F.lit(MALFORMED).cast("binary").alias("value"), F.col("topic"))
     both = F.array_compact(F.array(msg, F.when(F.col("event_id") % REJECT_EVERY == 0, bad)))
-    return good.select(F.inline(both))
+    return good.select(*carry, F.inline(both))
+
+
+def market_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encoded market messages keyed by 'orderkey-linenumber'."""
+    return _market_envelopes(market_rows(spark, sf_dir))
 
 
-def market_messages(spark: SparkSession, sf_dir: str, chunk: int | None = None, chunk_rows: int = 0) -> DataFrame:
-    """Encoded market messages keyed by 'orderkey-linenumber'; with ``chunk``
-    only those with l_orderkey div chunk_rows = chunk."""
-    m = _id_range(market_rows(spark, sf_dir), "l_orderkey", chunk, chunk_rows)
+def _market_envelopes(m: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     key = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
-    return M.encode(m, MARKET_FIELDS, key=key, topic="market")
+    return M.encode(m, MARKET_FIELDS, key=key, topic="market", carry=carry)
+
+
+def replay_chunks(rows: int) -> int:
+    """Micro-batches of a replay: REPLAY_CHUNKS, more once one would hold
+    over REPLAY_CHUNK_ROWS rows."""
+    return max(REPLAY_CHUNKS, -(-rows // REPLAY_CHUNK_ROWS))
+
 
+def replay_feed(spark: SparkSession, sf_dir: str, part: str) -> tuple[DataFrame, int]:
+    """(messages with their ``chunk``, number of chunks) of a feed.
 
-def replay_chunk_rows(spark: SparkSession, sf_dir: str, table: str = "events", id_col: str = "event_id") -> int:
-    """Ids per replayed micro-batch: (max id + 1) / REPLAY_CHUNKS, rounded up
-    (one scalar aggregate; ids are dense from 0)."""
-    top = driver_table(spark, sf_dir, table).agg(F.max(id_col)).first()[0]
-    return max(1, -(-(int(top or 0) + 1) // REPLAY_CHUNKS))
+    Rows are numbered in the order of their ids (NULL first) and dealt to
+    equal chunks by that number, so every row reaches a chunk, whatever its
+    id, and no chunk holds more than its share."""
+    if part == "prices":
+        rows, order = prices(spark, sf_dir), ["event_id"]
+    else:
+        rows, order = market_rows(spark, sf_dir), ["l_orderkey", "l_linenumber"]
+    total = rows.count()
+    chunks = replay_chunks(total)
+    share = max(1, -(-total // chunks))
+    rows = ordinal(rows, [], order, "place")
+    rows = rows.withColumn("chunk", F.floor(F.col("place") / share).cast("int")).drop("place")
+    envelopes = _price_envelopes if part == "prices" else _market_envelopes
+    return envelopes(rows, carry=("chunk",)), chunks
 
 
 def metrics_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,58 +142,60 @@ def simple_price_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def markets_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Array-of-objects market payloads of at most 4 objects (the API's
-    per_page bound): lines of one order that sit in the same block of 4
-    adjacent rows of an input split.  The block bounds every group, even an
-    order holding a large share of the table.  The line number rides along as
-    ``market_cap_rank``, the field the API orders by."""
+    """Array-of-objects market payloads, one per lineitem row, of two objects
+    made from its columns: the second swaps the two flags and the two rates."""
     li = driver_table(spark, sf_dir, "lineitem")
-    item = F.struct(
-        F.col("l_linenumber").alias("market_cap_rank"),
-        F.concat("l_returnflag", "l_linestatus").alias("id"),
-        F.col("l_discount").alias("price_change_percentage_24h"),
-        F.col("l_tax").alias("market_cap_change_percentage_24h"),
-        F.col("l_extendedprice").alias("total_volume"))
-    block = F.floor(F.monotonically_increasing_id() / PAGE_SIZE)
-    pages = li.groupBy("l_orderkey", block.alias("page")) \
-              .agg(F.sort_array(F.collect_list(item)).alias("items"))
-    return pages.select("l_orderkey", "page", F.to_json("items").alias("payload"))
 
+    def item(first, second, price, cap):
+        return F.struct(F.concat(first, second).alias("id"), F.col(price).alias("price_change_percentage_24h"),
+                        F.col(cap).alias("market_cap_change_percentage_24h"),
+                        F.col("l_extendedprice").alias("total_volume"))
 
-# Objects per market payload, records per nested metrics document.
-PAGE_SIZE = 4
-DOC_SIZE = 8
-DOC_ORDER = ["l_linenumber", "processing_time", "throughput", "error_count", "cpu_percent",
-             "memory_percent", "memory_used_gb", "mode"]
+    items = F.array(item("l_returnflag", "l_linestatus", "l_discount", "l_tax"),
+                    item("l_linestatus", "l_returnflag", "l_tax", "l_discount"))
+    return li.select("l_orderkey", "l_linenumber", F.to_json(items).alias("payload"))
+
+
+def broken_payloads(payloads: DataFrame, number: str) -> DataFrame:
+    """Payloads in which every BROKEN_EVERY-th by ``number`` is no JSON."""
+    return payloads.withColumn("payload", F.when(F.col(number) % BROKEN_EVERY == 0, F.lit(BROKEN))
+                               .otherwise(F.col("payload")))
+
+
+# The unparsable payload and how often it occurs.
+BROKEN = "oops"
+BROKEN_EVERY = 19
 
 
 def nested_metrics_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested metrics documents (mode -> parallel lists) of at most DOC_SIZE
-    records: the records of one order, numbered by ``ordinal`` (so a huge
-    order is numbered without one task holding it) and cut into pages."""
-    from tickflow.operators.ordinal import ordinal
-    r = (metrics_records(spark, sf_dir)
-         .withColumn("l_linenumber", F.col("seq") % 8)
-         .withColumn("throughput", throughput(F.col("rows"), F.col("processing_time"))))
-    r = ordinal(r, ["batch_id"], DOC_ORDER, name="_idx").withColumn("page", F.floor(F.col("_idx") / DOC_SIZE))
-    rec = F.struct(
-        F.col("_idx"),
-        F.col("processing_time").alias("latency"),
-        F.col("throughput"),
-        F.col("error_count").alias("errors"),
-        F.struct("cpu_percent", "memory_percent", "memory_used_gb").alias("resource_usage"),
-        F.struct(F.when(F.col("mode") == "streaming", F.col("rows")).alias("batch_size"),
-                 F.when(F.col("mode") == "batch", F.col("rows")).alias("total_records"),
-                 "processing_time", "error_count").alias("data_points"))
-    # one aggregation per page: collect_list skips NULLs, so each mode's list
-    # collects only its own records; both modes are always present, as in the
-    # log's default structure (empty lists for a mode without records)
-    per_mode = {m: F.sort_array(F.collect_list(F.when(F.col("mode") == m, rec))).alias(m) for m in MODES}
-    docs = r.groupBy("batch_id", "page").agg(*per_mode.values())
+    """Nested metrics documents (mode -> parallel lists), one per record of
+    the metrics log: the record's mode holds the record and its repeat with
+    twice the rows; the other mode holds the record where its error count is
+    1, and is empty otherwise."""
+    r = metrics_records(spark, sf_dir)
+
+    def entry(times):
+        rows = F.col("rows") * times
+        return F.struct(
+            F.col("processing_time").alias("latency"),
+            throughput(rows, F.col("processing_time")).alias("throughput"),
+            F.col("error_count").alias("errors"),
+            F.struct("cpu_percent", "memory_percent", "memory_used_gb").alias("resource_usage"),
+            F.struct(F.when(F.col("mode") == "streaming", rows).alias("batch_size"),
+                     F.when(F.col("mode") != "streaming", rows).alias("total_records"),
+                     "processing_time", "error_count").alias("data_points"))
 
     def lists(m):
+        own = F.array(entry(1), entry(2))
+        other = F.when(F.col("error_count") == 1, F.array(entry(1))).otherwise(F.slice(own, 1, 0))
+        return F.when(F.col("mode") == m, own).otherwise(other)
+
+    r = r.select("seq", *[lists(m).alias(f"_{m}") for m in MODES])
+
+    def columns(m):
         # field of an array of structs = the array of that field (codegen'd, no lambda)
-        return F.struct(*[F.col(m)[f].alias(f)
+        return F.struct(*[F.col(f"_{m}")[f].alias(f)
                           for f in ("latency", "throughput", "errors", "resource_usage", "data_points")])
-    doc = F.create_map(*[x for m in MODES for x in (F.lit(m), lists(m))])
-    return docs.select(F.col("batch_id").alias("doc_id"), "page", F.to_json(doc).alias("document"))
+
+    doc = F.create_map(*[x for m in MODES for x in (F.lit(m), columns(m))])
+    return r.select(F.col("seq").alias("doc_id"), F.to_json(doc).alias("document"))

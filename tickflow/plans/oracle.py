@@ -98,7 +98,24 @@ FROM events WHERE event_id % 11 <> 0"""
 def flatten_markets() -> str:
     return """SELECT l_orderkey, l_returnflag || l_linestatus AS coin_id, l_discount AS price_change_24h,
        l_tax AS market_cap_change_24h, l_extendedprice AS volume_change_24h
-FROM lineitem"""
+FROM lineitem
+UNION ALL
+SELECT l_orderkey, l_linestatus || l_returnflag, l_tax, l_discount, l_extendedprice FROM lineitem"""
+
+
+def flatten_simple_price_rejects() -> str:
+    return """SELECT event_id, CASE WHEN event_id % 19 <> 0 THEN event_type END AS coin_id,
+       CASE WHEN event_id % 19 = 0 THEN 'oops' END AS raw
+FROM events WHERE event_id % 19 = 0 OR event_id % 11 = 0"""
+
+
+def flatten_markets_rejects() -> str:
+    return "SELECT l_orderkey, l_linenumber, 'oops' AS raw FROM lineitem WHERE l_orderkey % 19 = 0"
+
+
+def metrics_nested_rejects() -> str:
+    return """SELECT l_orderkey * 8 + l_linenumber AS doc_id, 'oops' AS raw
+FROM lineitem WHERE (l_orderkey * 8 + l_linenumber) % 19 = 0"""
 
 
 def sink_typed_prices() -> str:
@@ -119,27 +136,38 @@ SELECT modes.mode, {_r('coalesce(lat, 0.0)', 'avg_latency')}, {_r('coalesce(thr,
 FROM modes LEFT JOIN a ON a.mode = modes.mode"""
 
 
-def metrics_series() -> str:
-    return f"""WITH {METRICS}
+def _series(mode: str) -> str:
+    return f"""WITH {METRICS}, s AS (SELECT * REPLACE ({mode} AS mode) FROM mt)
 SELECT mode, row_number() OVER (PARTITION BY mode
          ORDER BY seq, processing_time, throughput, cpu_percent, memory_percent) - 1 AS idx,
        {_r('processing_time', 'latency')}, {_r('throughput')}, {_r('cpu_percent')}, {_r('memory_percent')}
-FROM mt"""
+FROM s"""
+
+
+def metrics_series() -> str:
+    return _series("mode")
+
+
+def metrics_series_null_mode() -> str:
+    return _series("CASE WHEN seq % 5 <> 0 THEN mode END")
 
 
 def metrics_nested_import() -> str:
-    return f"""WITH {METRICS},
- n AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, processing_time, throughput,
-                                    error_count, cpu_percent, memory_percent, memory_used_gb, mode) - 1 AS idx FROM mt)
-SELECT l_orderkey AS doc_id, idx // 8 AS page, mode,
-       row_number() OVER (PARTITION BY l_orderkey, idx // 8, mode ORDER BY idx) - 1 AS pos,
-       rows, {_r('processing_time')}, {_r('throughput')}, error_count,
-       {_r('cpu_percent')}, {_r('memory_percent')}, {_r('memory_used_gb')}
-FROM n"""
+    other = "CASE WHEN mode = 'streaming' THEN 'batch' ELSE 'streaming' END"
+
+    def entry(mode, pos, times, where=""):
+        return f"""SELECT seq AS doc_id, {mode} AS mode, CAST({pos} AS BIGINT) AS pos, rows * {times} AS rows,
+       {_r('processing_time')},
+       round(CASE WHEN processing_time > 0 THEN rows * {times} / processing_time ELSE 0.0 END, 6) + 0.0 AS throughput,
+       error_count, {_r('cpu_percent')}, {_r('memory_percent')}, {_r('memory_used_gb')}
+FROM m {where}"""
 
+    return (f"WITH {METRICS} " + entry("mode", 0, 1) + " UNION ALL " + entry("mode", 1, 2)
+            + " UNION ALL " + entry(other, 0, 1, "WHERE error_count = 1"))
 
-# micro-batch of a replayed event: event_id div a quarter of the ids (rounded up)
-CHUNK = "(SELECT (max(event_id) + 1 + 3) // 4 FROM events)"
+
+# micro-batch of a replayed event: its place in the order of ids, div a quarter of the rows (rounded up)
+PLACE = "(row_number() OVER (ORDER BY event_id NULLS FIRST) - 1) // (SELECT (count(*) + 3) // 4 FROM events)"
 
 
 def _dec(c, p, s, alias):
@@ -147,9 +175,8 @@ def _dec(c, p, s, alias):
 
 
 STREAM_X = f"""x AS (
-  SELECT p.*, event_id // {CHUNK} AS b,
-         time_bucket(INTERVAL 5 MINUTE, timestamp) - k * INTERVAL 5 MINUTE AS ws
-  FROM p, range(3) r(k) WHERE timestamp IS NOT NULL)"""
+  SELECT p.*, time_bucket(INTERVAL 5 MINUTE, timestamp) - k * INTERVAL 5 MINUTE AS ws
+  FROM (SELECT p.*, {PLACE} AS b FROM p) p, range(3) r(k) WHERE timestamp IS NOT NULL)"""
 
 # the update log: a window is written in every batch that touches it, with all rows so far
 STREAM_LOG = """g AS (SELECT DISTINCT ws, coin_id, b FROM x),
@@ -172,8 +199,8 @@ FROM p"""
 
 
 def stream_rejects() -> str:
-    return f"""SELECT event_id, 'not json' AS raw, event_id // {CHUNK} AS batch_id
-FROM events WHERE event_id % 7 = 0"""
+    return f"""SELECT event_id, 'not json' AS raw, b AS batch_id
+FROM (SELECT event_id, {PLACE} AS b FROM events) WHERE event_id % 7 = 0"""
 
 
 def stream_market_metrics() -> str:
@@ -264,27 +291,66 @@ SELECT event_id, 'prices' AS topic,
 FROM p"""
 
 
-def stream_batch_counts() -> str:
-    return f"""WITH {PRICES}, {STREAM_X},
- raw AS (SELECT 'raw_prices' AS query, event_id // {CHUNK} AS batch_id,
-                count(*) + count(*) FILTER (WHERE event_id % 7 = 0) AS rows,
-                count(*) FILTER (WHERE event_id % 7 = 0) AS error_count
-         FROM events GROUP BY 2),
- win AS (SELECT 'price_windows' AS query, b AS batch_id, count(DISTINCT (ws, coin_id)) AS rows, 0 AS error_count
-         FROM x GROUP BY b),
- mkt AS (SELECT 'market_metrics' AS query, l_orderkey // (SELECT (max(l_orderkey) + 1 + 3) // 4 FROM lineitem) AS batch_id,
-                count(*) AS rows, 0 AS error_count
-         FROM lineitem GROUP BY 2)
-SELECT query, batch_id, rows, CAST(error_count AS BIGINT) AS error_count FROM raw
-UNION ALL SELECT query, batch_id, rows, CAST(error_count AS BIGINT) FROM win
-UNION ALL SELECT query, batch_id, rows, CAST(error_count AS BIGINT) FROM mkt"""
-
-
-def batch_metric_counts() -> str:
-    return """SELECT 'price_analysis' AS query, CAST(0 AS BIGINT) AS seq, count(*) AS rows, CAST(0 AS BIGINT) AS error_count
-FROM events
+# windows over the prices as the raw sink stores them
+STORED_WIN = """y AS (
+  SELECT coin_id, CAST(price_usd AS DECIMAL(30,8)) AS price_usd, CAST(volume_24h AS DECIMAL(30,2)) AS volume_24h,
+         time_bucket(INTERVAL 5 MINUTE, timestamp) - k * INTERVAL 5 MINUTE AS ws
+  FROM p, range(3) r(k) WHERE timestamp IS NOT NULL),
+ sb AS (SELECT ws, coin_id, avg(CAST(price_usd AS DOUBLE)) AS a, CAST(min(price_usd) AS DOUBLE) AS mi,
+               CAST(max(price_usd) AS DOUBLE) AS ma, CAST(sum(volume_24h) AS DOUBLE) AS v FROM y GROUP BY ws, coin_id)"""
+
+
+def _compare_stored(source: str) -> str:
+    diffs = _diffs("st").replace("bt.", "sb.")
+    return f"""WITH {PRICES}, {STREAM_X}, {STREAM_LOG}, {STORED_WIN}
+SELECT st.ws AS window_start, st.ws + INTERVAL 15 MINUTE AS window_end, st.coin_id, {diffs}
+FROM {source} st JOIN sb ON st.ws = sb.ws AND st.coin_id = sb.coin_id"""
+
+
+def compare_stored_log() -> str:
+    return _compare_stored("st")
+
+
+def compare_stored_latest() -> str:
+    return _compare_stored("(SELECT * FROM st QUALIFY row_number() OVER (PARTITION BY ws, coin_id ORDER BY b DESC) = 1)")
+
+
+def consistency_stored() -> str:
+    return consistency_summary().replace(
+        "avg(price_usd) AS bp, avg(volume_24h) AS bv",
+        "avg(CAST(CAST(price_usd AS DECIMAL(30,8)) AS DOUBLE)) AS bp, "
+        "avg(CAST(CAST(volume_24h AS DECIMAL(30,2)) AS DOUBLE)) AS bv")
+
+
+def _timed(sql: str, mode: str) -> str:
+    return f"""SELECT '{mode}' AS mode, query, CAST(seq AS BIGINT) AS seq, rows,
+       CAST(error_count AS BIGINT) AS error_count, true AS timed FROM ({sql})"""
+
+
+def stream_metrics() -> str:
+    mkt = """(SELECT (row_number() OVER (ORDER BY l_orderkey, l_linenumber) - 1)
+               // (SELECT (count(*) + 3) // 4 FROM lineitem) AS b FROM lineitem)"""
+    return _timed(f"""WITH {PRICES}, {STREAM_X}
+SELECT 'raw_prices' AS query, b AS seq, count(*) + count(*) FILTER (WHERE event_id % 7 = 0) AS rows,
+       count(*) FILTER (WHERE event_id % 7 = 0) AS error_count
+FROM (SELECT event_id, {PLACE} AS b FROM events) GROUP BY b
+UNION ALL SELECT 'price_windows', b, count(DISTINCT (ws, coin_id)), 0 FROM x GROUP BY b
+UNION ALL SELECT 'market_metrics', b, count(*), 0 FROM {mkt} GROUP BY b""", "streaming")
+
+
+def stream_metrics_watermark() -> str:
+    return f"""WITH {PRICES}, {STREAM_X}
+SELECT 'streaming' AS mode, 'price_windows_live' AS query, count(DISTINCT (ws, coin_id, b)) AS rows,
+       CAST(0 AS BIGINT) AS error_count FROM x
+UNION ALL
+SELECT 'streaming', 'price_windows_watermark', count(DISTINCT (ws, coin_id)), CAST(0 AS BIGINT)
+FROM x WHERE ws + INTERVAL 15 MINUTE <= (SELECT date_trunc('second', max(ts)) FROM events) - INTERVAL 30 MINUTE"""
+
+
+def batch_metrics() -> str:
+    return _timed("""SELECT 'price_analysis' AS query, 0 AS seq, count(*) AS rows, 0 AS error_count FROM events
 UNION ALL SELECT 'market_analysis', 1, count(*), 0 FROM lineitem
-UNION ALL SELECT 'comparison', 2, count(*), 0 FROM events"""
+UNION ALL SELECT 'comparison', 2, count(*), 0 FROM events""", "batch")
 
 
 def all_sql() -> dict[str, str]:
@@ -294,9 +360,12 @@ def all_sql() -> dict[str, str]:
              "stream_raw_prices", "stream_rejects", "stream_market_metrics", "stream_price_windows_log",
              "stream_price_windows_latest", "stream_price_windows_watermark", "compare_stream_batch_log",
              "compare_stream_batch_latest", "consistency_summary", "trending_coins", "volume_rank", "market_trend",
-             "stream_batch_counts", "batch_metric_counts"]
+             "flatten_simple_price_rejects", "flatten_markets_rejects", "metrics_nested_rejects",
+             "metrics_series_null_mode", "compare_stored_log", "compare_stored_latest", "consistency_stored",
+             "stream_metrics", "stream_metrics_watermark", "batch_metrics"]
     g = globals()
     out = {n: g[n]() for n in names}
     # the compacted latest view must equal the full one
+    out["stream_price_windows_live"] = out["stream_price_windows_latest"]
     out["stream_price_windows_latest_compacted"] = out["stream_price_windows_latest"]
     return out

@@ -16,12 +16,14 @@ from pyspark.sql import functions as F
 
 from tickflow.functions.arith import round_double
 from tickflow.operators import reconcile as R
+from tickflow.operators.metrics import load_metrics
 from tickflow.operators import windows as W
 from tickflow.plans import fixtures as X
-from tickflow.schemas import METRICS_RECORD
+from tickflow.schemas import MARKET_TABLE, RAW_PRICES_TABLE, WINDOWS_TABLE
 from tickflow.session import scratch_path
 from tickflow.streaming import queries as P
 from tickflow.streaming.replay import replay
+from tickflow.streaming.sinks import read_sink
 from tickflow.streaming.sources import message_stream
 
 # Fixed value: watermark delay of the bounded-state variant.
@@ -35,8 +37,9 @@ _GUARD = threading.Lock()
 def run_replay(spark: SparkSession, sf_dir: str, part: str = "prices") -> dict[str, str]:
     """Replays one feed once per (application, sf_dir, part); returns sink paths.
 
-    ``prices`` runs raw prices, the window update log and the watermarked
-    window log over the price messages; ``market`` runs the market stream.
+    ``prices`` runs raw prices, the window update log, the watermarked window
+    log and the live windows (update mode with a watermark) over the price
+    messages; ``market`` runs the market stream.
     The two replays are independent, so a query waits only for its own feed.
     """
     sf_dir = sf_dir.rstrip("/")
@@ -46,35 +49,32 @@ def run_replay(spark: SparkSession, sf_dir: str, part: str = "prices") -> dict[s
     with lock:
         if key in _RUNS:
             return _RUNS[key]
+        if part not in ("prices", "market"):
+            raise ValueError(f"unknown part {part!r}")
         root = scratch_path(spark, f"replay-{part}")
-        names = ("raw", "windows", "windows_wm") if part == "prices" else ("market",)
-        paths = {n: f"{root}/{n}" for n in (*names, "metrics", "inbox", "ckpt")}
+        names = ("raw", "windows", "windows_wm", "windows_live") if part == "prices" else ("market",)
+        paths = {n: f"{root}/{n}" for n in (*names, "metrics", "inbox", "staged", "ckpt")}
         once = {"availableNow": True}
         ck, metrics = paths["ckpt"], paths["metrics"]
-        if part == "prices":
-            rows = X.replay_chunk_rows(spark, sf_dir, "events", "event_id")
-
-            def feed(k):
-                return X.price_messages(spark, sf_dir, k, rows)
-
-            def start():
-                src = message_stream(spark, "parquet", paths["inbox"])
-                return [P.start_raw_prices(src, paths["raw"], f"{ck}/raw", once, metrics),
-                        P.start_window_log(src, paths["windows"], f"{ck}/windows", once, metrics),
-                        P.start_window_log(src, paths["windows_wm"], f"{ck}/windows_wm", once, metrics,
-                                           watermark=WATERMARK, name="price_windows_watermark")]
-        elif part == "market":
-            rows = X.replay_chunk_rows(spark, sf_dir, "lineitem", "l_orderkey")
-
-            def feed(k):
-                return X.market_messages(spark, sf_dir, k, rows)
-
-            def start():
-                src = message_stream(spark, "parquet", paths["inbox"])
+        # one scan of the table stages all chunks; each is then appended from its own folder
+        messages, chunks = X.replay_feed(spark, sf_dir, part)
+        messages.write.partitionBy("chunk").parquet(paths["staged"])
+        staged = spark.read.schema(messages.schema).parquet(paths["staged"])
+
+        def feed(k):
+            return staged.filter(F.col("chunk") == k).drop("chunk")
+
+        def start():
+            src = message_stream(spark, "parquet", paths["inbox"])
+            if part == "market":
                 return [P.start_market_metrics(src, paths["market"], f"{ck}/market", once, metrics)]
-        else:
-            raise ValueError(f"unknown part {part!r}")
-        replay(spark, [(feed, paths["inbox"])], X.REPLAY_CHUNKS, start)
+            return [P.start_raw_prices(src, paths["raw"], f"{ck}/raw", once, metrics),
+                    P.start_window_log(src, paths["windows"], f"{ck}/windows", once, metrics),
+                    P.start_window_log(src, paths["windows_wm"], f"{ck}/windows_wm", once, metrics,
+                                       watermark=WATERMARK, name="price_windows_watermark"),
+                    P.start_window_log(src, paths["windows_live"], f"{ck}/windows_live", once, metrics,
+                                       watermark=WATERMARK, name="price_windows_live", output_mode="update")]
+        replay(spark, [(feed, paths["inbox"])], chunks, start)
         _RUNS[key] = paths
         return paths
 
@@ -103,13 +103,16 @@ def _doubles(df: DataFrame, cols) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("double") for c in cols})
 
 
-def _log(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).withColumn("batch_id", F.col("batch_id").cast("long"))
+SINK_TABLES = {"raw": RAW_PRICES_TABLE, "market": MARKET_TABLE}
+
+
+def _log(spark: SparkSession, paths: dict[str, str], which: str) -> DataFrame:
+    return read_sink(spark, paths[which], SINK_TABLES.get(which, WINDOWS_TABLE))
 
 
 def stream_raw_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Valid price rows the raw stream stored."""
-    raw = _log(spark, run_replay(spark, sf_dir)["raw"]).filter(~F.col("is_reject"))
+    raw = _log(spark, run_replay(spark, sf_dir), "raw").filter(~F.col("is_reject"))
     return _doubles(raw.select(F.col("key").cast("string").cast("long").alias("event_id"), "coin_id",
                                "price_usd", "market_cap", "volume_24h", "timestamp"),
                     ["price_usd", "market_cap", "volume_24h"])
@@ -117,24 +120,24 @@ def stream_raw_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P8 in the stream: messages the raw stream stored as rejects."""
-    raw = _log(spark, run_replay(spark, sf_dir)["raw"]).filter(F.col("is_reject"))
+    raw = _log(spark, run_replay(spark, sf_dir), "raw").filter(F.col("is_reject"))
     return raw.select(F.col("key").cast("string").cast("long").alias("event_id"),
                       F.col("_corrupt_record").alias("raw"), "batch_id")
 
 
 def stream_market_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Market rows the market stream stored."""
-    m = _log(spark, run_replay(spark, sf_dir, "market")["market"]).filter(~F.col("is_reject"))
+    m = _log(spark, run_replay(spark, sf_dir, "market"), "market").filter(~F.col("is_reject"))
     cols = ["price_change_24h", "market_cap_change_24h", "volume_change_24h"]
     return _doubles(m.select(F.col("key").cast("string").alias("message_key"), "coin_id", *cols, "timestamp"), cols)
 
 
 def _windows_log(spark: SparkSession, sf_dir: str, which: str = "windows") -> DataFrame:
-    return _log(spark, run_replay(spark, sf_dir)[which]).drop("is_reject")
+    return _log(spark, run_replay(spark, sf_dir), which).drop("is_reject")
 
 
 def stream_price_windows_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The update log, one row per window per batch that touched it."""
+    """The update log, one row per window per batch that touched it."""
     return _doubles(_windows_log(spark, sf_dir), W.WINDOW_VALUES)
 
 
@@ -171,37 +174,82 @@ def consistency_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
                           ("price_difference_percent", "volume_difference_percent")})
 
 
-def stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One metrics record per micro-batch of every streaming query."""
-    cols = [F.col(f.name).cast(f.dataType) for f in METRICS_RECORD.fields]
+def stored_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The price rows the raw stream stored, in their stored types."""
+    return _log(spark, run_replay(spark, sf_dir), "raw").filter(~F.col("is_reject"))
+
+
+def _compare_stored(stream: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = R.compare_windows(stream, W.windowed(stored_prices(spark, sf_dir)))
+    return c.withColumns({d: round_double(F.col(d).cast("double")) for d in R.DIFF_COLUMNS})
+
+
+def compare_stored_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The update log against windows over the stored prices."""
+    return _compare_stored(_windows_log(spark, sf_dir), spark, sf_dir)
+
+
+def compare_stored_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3 J1 D12 on the latest view."""
+    return _compare_stored(P.latest_windows(_windows_log(spark, sf_dir)), spark, sf_dir)
+
+
+def consistency_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2 over what was stored on both sides."""
+    c = R.consistency(_windows_log(spark, sf_dir), stored_prices(spark, sf_dir))
+    return c.withColumns({d: round_double(F.col(d)) for d in
+                          ("price_difference_percent", "volume_difference_percent")})
+
+
+def stream_price_windows_live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latest value of every window from the live windows, whose state
+    is bounded by a watermark."""
+    return _doubles(P.latest_windows(_windows_log(spark, sf_dir, "windows_live")), W.WINDOW_VALUES)
+
+
+def metrics_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metrics log of both replays, read back."""
     paths = run_replays(spark, sf_dir)
-    prices, market = (spark.read.parquet(paths[part]["metrics"]).select(*cols) for part in ("prices", "market"))
+    prices, market = (load_metrics(spark, paths[part]["metrics"]) for part in ("prices", "market"))
     return prices.unionByName(market)
 
 
-def batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K5 (batch mode): the three batch analyses run and timed once each over
-    the stored tables; one metrics record per analysis (rows = input rows)."""
+def batch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three batch analyses, run and timed once each over the stored
+    tables; one metrics record per analysis (rows = input rows)."""
     from tickflow.plans.batch_run import run_batch
-    paths = run_replay(spark, sf_dir)
     m = run_batch(spark, X.prices(spark, sf_dir), X.market_rows(spark, sf_dir), _windows_log(spark, sf_dir))
-    path = f"{paths['metrics']}_batch"
-    m.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    path = scratch_path(spark, "batch-metrics")
+    m.write.parquet(path)
+    return load_metrics(spark, path)
+
 
+def _settled(metrics: DataFrame) -> DataFrame:
+    """The columns of metrics records that do not depend on the clock."""
+    return metrics.select("mode", "query", "seq", F.col("rows").cast("long").alias("rows"), "error_count",
+                          (F.col("processing_time") >= 0).alias("timed"))
 
-def stream_batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A5 + K5, the counts only: rows and rejected rows that each micro-batch of
-    the raw, window and market queries wrote, as observed during its write."""
-    m = stream_metrics(spark, sf_dir).filter(F.col("query") != "price_windows_watermark")
-    return m.select("query", "batch_id", F.col("rows").cast("long").alias("rows"), "error_count")
+
+def stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One metrics record per micro-batch that has input, of every
+    streaming query: rows and rejected rows as observed during its write."""
+    log = metrics_log(spark, sf_dir)
+    return _settled(log.filter(~F.col("query").isin("price_windows_watermark", "price_windows_live")))
 
 
-def batch_metric_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K5 batch mode, the counts only: input rows each timed analysis read,
-    observed during its single write."""
-    m = batch_metrics(spark, sf_dir)
-    return m.select("query", "seq", F.col("rows").cast("long").alias("rows"), "error_count")
+def stream_metrics_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records and rows of the two watermarked queries, whose
+    micro-batches without input depend on the engine: all batches together."""
+    log = metrics_log(spark, sf_dir)
+    return (log.filter(F.col("query").isin("price_windows_watermark", "price_windows_live"))
+            .groupBy("mode", "query").agg(F.sum("rows").cast("long").alias("rows"),
+                                          F.sum("error_count").alias("error_count")))
+
+
+def batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5 batch mode: one record per timed analysis, input rows as observed
+    during its single write."""
+    return _settled(batch_log(spark, sf_dir))
 
 
 def stream_price_windows_latest_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
