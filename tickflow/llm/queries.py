@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickflow.llm import (forest_search, jaccard_join, packing, pieces, pii, quality_rules, quotations, sharding,
+from tickflow.llm import (forest_search, jaccard_join, oracle, packing, pieces, pii, quality_rules, quotations, sharding,
                           token_counts, toxicity)
 from tickflow.llm.common import table
 
@@ -70,4 +70,4 @@ QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_pseudonyms, op3_quotations, op4_best_fit, op5_forest_search, op6_line_rules, op7_shards,
     op8_token_counts, op9_jaccard, op10_pieces)}
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = oracle.all_sql()
