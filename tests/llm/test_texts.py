@@ -16,13 +16,18 @@ def words(text):
 
 # ---- quality rules
 
+def prose(seed, lines, size=9):
+    """Lines of words that do not repeat."""
+    return "\n".join(" ".join(f"w{seed}x{i}x{k}" for k in range(size)) + "." for i in range(lines))
+
+
 QUALITY = [
-    None, "", "   \n", "one two three", "a b c " * 40, "Home | About | Contact | Blog | Shop\n" + "Plain words here. " * 30,
-    "\n".join(f"Line {i} of the text ends well and is long enough." for i in range(12)),
-    "SHOUTING LINE OF SOME LENGTH!!\n" * 3 + "\n".join(f"Calm line {i} that ends here with a stop." for i in range(10)),
-    "same line twice here.\nsame line twice here.\n" + "\n".join(f"other line number {i} ends so." for i in range(14)),
-    "###%%% ***word&&& $$$x " * 60, "tabs\tand\x0bother\x0cspace\r\n" * 20, "x y z x y z", " ".join(f"w{i % 30}" for i in range(90)),
-    "All rights reserved. Cookie policy.\n" + "Body text goes on and on, and ends. " * 20]
+    None, "", "   \n", "one two three", "a b c " * 40, "Home | About | Contact | Blog | Shop\n" + prose(1, 9),
+    prose(2, 12), "SHOUTING LINE OF SOME LENGTH!!\n" * 3 + prose(3, 10),
+    prose(4, 1) + "\n" + prose(4, 1) + "\n" + prose(5, 14), "###%%% ***word&&& $$$x " * 60,
+    "tabs\tand\x0bother\x0cspace\r\n" * 20, "x y z x y z", " ".join(f"w{i % 30}" for i in range(90)),
+    "All rights reserved. Cookie policy.\n" + prose(6, 8), " ".join(f"w{i}" for i in range(70)) + " w1 w2 w3 w4",
+    " ".join(f"&{i}" for i in range(60))]
 
 
 def test_base_counts_against_plain_python(spark):
