@@ -1,7 +1,7 @@
 """Balanced label propagation: shards of equal row counts that keep equal
 texts together.
 
-Documents of equal text are linked.  A group larger than a quarter of a shard
+Documents of equal text are linked.  A group larger than half of a shard
 is cut into blocks by a hash of its rows, so no group has to fit into one
 shard.  Every row starts in a hashed shard.  In each round a block's rows are
 counted by shard; the rows want to move to the shard that holds most of their
@@ -90,7 +90,7 @@ def balanced_shards(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS,
     base = stored(base.withColumn("rid", F.monotonically_increasing_id()), "shard-rows")
     total = base.count()
     quota = quotas(total, shards)
-    block = max(1, int(quota.min()) // 4)
+    block = max(1, int(quota.min()) // 2)
     start = F.pmod(F.xxhash64("rid"), F.lit(shards)).cast("int")
 
     groups = base.groupBy("g").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
