@@ -49,7 +49,7 @@ SEEN_DIGESTS = 100_000
 # Rows handed back at a time by the shingling tasks.
 PORTION = 500
 # Star rounds, and the leaders a set is compared with in each.
-STAR_ROUNDS, LEADERS = 2, 3
+STAR_ROUNDS, LEADERS = 3, 8
 # Places of the short sketch that travels with the signatures of the last step.
 SHORT_BITS = 512
 SHORT = [f"k{i}" for i in range(SHORT_BITS // 64)]
@@ -111,8 +111,14 @@ class Bands:
         return need + spare, n2, k2, spare
 
 
+def tagged(sig: np.ndarray, instance: int) -> np.ndarray:
+    return (sig & ~np.uint64(1)) | np.uint64(instance & 1)
+
+
 def signatures(s: np.ndarray, bands: Bands) -> np.ndarray:
-    """All signatures of one set, as signed 64-bit values."""
+    """All signatures of one set, as signed 64-bit values; the last bit is the
+    parity of the instance.  Sets of one band meet in both of their instances,
+    and the first of them, whose parity is the band's, is enough."""
     out = []
     own = bands.of(len(s))
     for j in (own, own + 1):
@@ -136,11 +142,11 @@ def signatures(s: np.ndarray, bands: Bands) -> np.ndarray:
                 sig = group + np.uint64(number) * _M2
                 for c in at:
                     sig = mixed(sig * _M1 + value[:, c] + np.uint64(c))
-                out.append(sig[full])
+                out.append(tagged(sig[full], j))
             if weak.sum() > spare:
                 # too many empty choices: also the prefix that similar sets share an element of
                 prefix = len(s) - -(-bands.percent * len(s) // 100) + 1
-                out.append(mixed(s[:prefix] + seed * _M1 + np.uint64(1)))
+                out.append(tagged(mixed(s[:prefix] + seed * _M1 + np.uint64(1)), j))
     return np.unique(np.concatenate(out)).view(np.int64) if out else np.zeros(0, dtype=np.int64)
 
 
@@ -161,8 +167,8 @@ def digest(s: np.ndarray) -> tuple[int, int]:
 
 
 def signed_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """(doc_id, n, d1, d2, sigs, sketch, short) per row; ``sigs`` and the
-    sketches are null for a set this task has already given."""
+    """(doc_id, n, d1, d2, sigs, sketch, short, band) per row; ``sigs`` and
+    what follows are null for a set this task has already given."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -175,18 +181,21 @@ def signed_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
                     s = shingle_set(text, n)
                     d = digest(s)
                     if not len(s) or d in seen:
-                        out.append((len(s), *d, None, None, None))
+                        out.append((len(s), *d, None, None, None, None))
                         continue
                     if len(seen) >= SEEN_DIGESTS:
                         seen.clear()
                     seen.add(d)
-                    out.append((len(s), *d, signatures(s, bands), parity_sketch(s), parities(s, SHORT_BITS)))
-                frame = pd.DataFrame(out, columns=["n", "d1", "d2", "sigs", "sketch", "short"])
+                    out.append((len(s), *d, signatures(s, bands), parity_sketch(s), parities(s, SHORT_BITS),
+                                bands.of(len(s))))
+                frame = pd.DataFrame(out, columns=["n", "d1", "d2", "sigs", "sketch", "short", "band"])
+                frame["band"] = frame["band"].astype("Int32")
                 frame.insert(0, "doc_id", part["doc_id"].reset_index(drop=True))
                 yield frame
 
     return docs.mapInPandas(
-        rows, f"doc_id {kind}, n long, d1 long, d2 long, sigs array<long>, sketch array<long>, short array<long>")
+        rows, f"doc_id {kind}, n long, d1 long, d2 long, sigs array<long>, sketch array<long>, short array<long>, "
+              "band int")
 
 
 def apart(x, y):
@@ -283,7 +292,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80,
               .withColumn("lo", F.min("rid").over(of_sig)).withColumn("hi", F.max("rid").over(of_sig))
               .where("lo <> hi").select("sig", "rid"))
     held = stored(shared.join(member, "rid").select("sig", "rep").distinct(), "held")
-    sets = (first.where("sketch is not null").select(F.col("rid").alias("rep"), "n", "sketch", "short")
+    sets = (first.where("sketch is not null").select(F.col("rid").alias("rep"), "n", "sketch", "short", "band")
             .join(held.select("rep").distinct(), "rep", "left_semi"))
     sets = stored(sets, "sketches")
     involved = rows.where("rid = rep").select("rep", "doc_id", "d1", "d2")
@@ -318,12 +327,14 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80,
         joined = components(links)
 
     # classes of one signature that are still apart: every pair across components
-    brief = sets.select("rep", "n", *[F.col("short")[i].alias(c) for i, c in enumerate(SHORT)])
-    tagged = stored(still_apart(joined).join(brief, "rep"), "apart")
-    x, y = tagged.alias("x"), tagged.alias("y")
+    brief = sets.select("rep", "n", "band", *[F.col("short")[i].alias(c) for i, c in enumerate(SHORT)])
+    rest = stored(still_apart(joined).join(brief, "rep"), "apart")
+    x, y = rest.alias("x"), rest.alias("y")
     differ = sum((F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in SHORT), F.lit(0))
     cross = x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.rep") < F.col("y.rep"))
                    & (F.col("x.comp") != F.col("y.comp"))
+                   & ((F.col("x.band") != F.col("y.band"))
+                      | (F.col("x.sig").bitwiseAND(1) == F.col("x.band").bitwiseAND(1)))
                    & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent)
                    & (differ * (100 + percent) <= (F.col("x.n") + F.col("y.n")) * (100 - percent)))
     more = checked(cross.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct())
