@@ -196,6 +196,22 @@ def test_quotations_are_linked_and_removed(spark):
     assert quotations.link_quotations(m.limit(0)).count() == 0
 
 
+def test_quotation_query_equals_its_sql(spark):
+    from tickflow.llm import oracle
+    rows = [(1, 0, "u", "Hello there\nhow are you"), (1, 1, "a", "On Mon X wrote:\n> Hello   there\n> how are YOU\nfine"),
+            (1, 2, "u", "ok\n>> hello there\n> fine\n>\nbye"), (1, 3, "a", None), (1, 4, "a", "a > b\nfine"),
+            (1, 5, "u", "> a > b\n> nothing known\n"), (2, 0, "u", ""), (2, 1, "a", "> hello there"), (2, 2, "u", "x wrote:\ny")]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
+    expect = con.execute(oracle.op3_quotations())
+    names = [d[0] for d in expect.description]
+    got = quotations.link_quotations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    assert sorted(got.columns) == sorted(names)
+    assert sorted(tuple(r) for r in got.select(*names).fillna("", ["text"]).fillna(-1).collect()) \
+        == sorted(tuple((("" if n == "text" else -1) if x is None else x) for n, x in zip(names, r)) for r in expect.fetchall())
+
+
 def test_long_reply_chain(spark):
     rows = [(1, 0, "u", "m0")] + [(1, k, "u", f"> m{k - 1}\nm{k}") for k in range(1, 30)]
     got = quotations.link_quotations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tickflow.llm import quality_rules as Q
+from tickflow.llm import quotations as K
 
 SPACE = "[\\x20\\x09-\\x0D]+"
 A_Z = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -59,6 +60,42 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM k"""
 
 
+def op3_quotations() -> str:
+    marks = "^[ \\t]*(?:>[ \\t]?)+"
+    announces = K.ANNOUNCES.replace("'", "''")
+
+    def level(x):
+        front = f"regexp_extract({x}, '{marks}', 0)"
+        return f"(length({front}) - length(replace({front}, '>', '')))"
+
+    norm = f"""lower(trim(regexp_replace(regexp_replace(line, '{marks}', ''), '[ \\t\\x0b\\f\\r]+', ' ', 'g')))"""
+    own = f"""list_filter(lines, lambda x, i: {level('x')} = 0 AND NOT (regexp_matches(x, '{announces}')
+              AND i < len(lines) AND {level("coalesce(lines[i + 1], '')")} > 0))"""
+    return f"""WITH RECURSIVE l AS (
+  SELECT conv_id, turn, {level('line')} AS lv, {norm} AS norm
+  FROM (SELECT conv_id, turn, unnest(string_split(text, chr(10))) AS line FROM conversations)),
+ q AS (SELECT conv_id, turn, lv, norm, count(*) AS times FROM l WHERE lv > 0 AND norm <> '' GROUP BY ALL),
+ quoted AS (SELECT conv_id, turn, sum(times) AS n_quoted, max(lv) AS max_level FROM q GROUP BY ALL),
+ src AS (SELECT conv_id, norm, min(turn) AS source FROM l WHERE lv = 0 AND norm <> '' GROUP BY ALL),
+ v AS (SELECT q.conv_id, q.turn, lv, source, sum(times) AS times
+       FROM q JOIN src ON src.conv_id = q.conv_id AND src.norm = q.norm AND source < q.turn GROUP BY ALL),
+ linked AS (SELECT conv_id, turn, source AS reply_to, sum(times) OVER (PARTITION BY conv_id, turn) AS n_linked FROM v
+            QUALIFY row_number() OVER (PARTITION BY conv_id, turn ORDER BY lv, times DESC, source DESC) = 1),
+ r(conv_id, turn, root) AS (
+   SELECT conv_id, turn, reply_to FROM linked
+   UNION ALL SELECT r.conv_id, r.turn, p.reply_to FROM r JOIN linked p ON p.conv_id = r.conv_id AND p.turn = r.root),
+ roots AS (SELECT conv_id, turn, min(root) AS root FROM r GROUP BY ALL),
+ o AS (SELECT conv_id, turn, role,
+              CASE WHEN contains(text, '>') THEN regexp_replace(array_to_string({own}, chr(10)),
+                '^(?:[ \\t\\r]*\\n)+|(?:\\n[ \\t\\r]*)+$', '', 'g') ELSE text END AS text
+       FROM (SELECT *, string_split(text, chr(10)) AS lines FROM conversations))
+SELECT o.conv_id, o.turn, o.role, o.text, CAST(coalesce(n_quoted, 0) AS BIGINT) AS n_quoted,
+       CAST(coalesce(max_level, 0) AS INTEGER) AS max_level, CAST(coalesce(n_linked, 0) AS BIGINT) AS n_linked, reply_to,
+       coalesce(root, o.turn) AS thread_root,
+       row_number() OVER (PARTITION BY o.conv_id ORDER BY coalesce(root, o.turn) NULLS FIRST, o.turn NULLS FIRST) - 1 AS pos
+FROM o LEFT JOIN quoted USING (conv_id, turn) LEFT JOIN linked USING (conv_id, turn) LEFT JOIN roots USING (conv_id, turn)"""
+
+
 def op9_jaccard(n: int = 4, percent: int = 85) -> str:
     return f"""WITH RECURSIVE w AS (
   SELECT doc_id, {_words(f"translate(coalesce(text, ''), {A_Z})")} AS w FROM documents),
@@ -75,4 +112,4 @@ FROM (SELECT doc_id, min(c) AS component_id FROM r GROUP BY doc_id) d LEFT JOIN
 
 
 def all_sql() -> dict[str, str]:
-    return {"op6_line_rules": op6_line_rules(), "op9_jaccard": op9_jaccard()}
+    return {"op3_quotations": op3_quotations(), "op6_line_rules": op6_line_rules(), "op9_jaccard": op9_jaccard()}
