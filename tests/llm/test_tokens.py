@@ -70,6 +70,13 @@ def test_queries_over_odd_texts(spark, texts):
         assert r.decoded_sha256 == hashlib.sha256(lib.decode(ids).encode()).hexdigest()
 
 
+def test_large_ids_beside_nulls_stay_exact(spark):
+    big = 2**62 + 1
+    docs = spark.createDataFrame([(big, "a b"), (None, "c"), (big + 1, None)], "doc_id long, text string")
+    assert {r.doc_id for r in token_counts(docs, BPE).collect()} == {big, big + 1, None}
+    assert {r.doc_id for r in piece_round_trip(docs, PIECES).collect()} == {big, big + 1, None}
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert token_counts(docs, BPE).count() == 0 and piece_round_trip(docs, PIECES).count() == 0

@@ -42,6 +42,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def id_text(docs: DataFrame, id_col: str):
+    """The id column as text, for its way through pandas, which turns whole
+    numbers beside nulls into doubles; ``id_back`` undoes it."""
+    return docs[id_col].cast("string")
+
+
+def id_back(df: DataFrame, name: str, docs: DataFrame, id_col: str) -> DataFrame:
+    """``df`` with its text column ``name`` as the id column of ``docs``, first."""
+    rest = [c for c in df.columns if c != name]
+    return df.select(F.col(name).cast(docs.schema[id_col].dataType).alias(id_col), *rest)
+
+
 def small_side(df: DataFrame, rows: int, max_rows: int = BROADCAST_IDS_MAX) -> DataFrame:
     """``df`` marked for broadcast if ``rows``, its counted size, is within the
     bound; unchanged beyond it (Spark then shuffles both sides)."""

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tickflow.llm.common import small_side, stored
+from tickflow.llm.common import id_back, id_text, small_side, stored
 from tickflow.llm.components import components
 
 # Digests a task remembers, so that a copy seen again emits no signatures.
@@ -169,8 +169,6 @@ def digest(s: np.ndarray) -> tuple[int, int]:
 def signed_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """(doc_id, n, d1, d2, sigs, sketch, short, band) per row; ``sigs`` and
     what follows are null for a set this task has already given."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
-
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bands, seen = Bands(percent), set()
         for batch in batches:
@@ -193,9 +191,10 @@ def signed_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
                 frame.insert(0, "doc_id", part["doc_id"].reset_index(drop=True))
                 yield frame
 
-    return docs.mapInPandas(
-        rows, f"doc_id {kind}, n long, d1 long, d2 long, sigs array<long>, sketch array<long>, short array<long>, "
+    signed = docs.withColumn("doc_id", id_text(docs, "doc_id")).mapInPandas(
+        rows, "doc_id string, n long, d1 long, d2 long, sigs array<long>, sketch array<long>, short array<long>, "
               "band int")
+    return id_back(signed, "doc_id", docs, "doc_id")
 
 
 def apart(x, y):

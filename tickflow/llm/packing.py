@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickflow.llm.common import stored, words
+from tickflow.llm.common import id_back, id_text, stored, words
 
 CAPACITIES = (512, 1024, 2048, 4096)
 BLOCK_PIECES = 20_000
@@ -110,8 +110,6 @@ def best_fit(docs: DataFrame, capacities: tuple[int, ...] = CAPACITIES, block_pi
     capacities = tuple(sorted(capacities))
     cut = stored(pieces(docs, capacities[-1], id_col, text_col), "pieces")
     blocks = max(1, -(-cut.count() // block_pieces))
-    kind = docs.schema[id_col].dataType.simpleString()
-
     def packed(block: pd.DataFrame) -> pd.DataFrame:
         block = block.sort_values(["length", "rid", "piece"], ascending=[False, True, True])
         bin_of, offset, final = pack(block["length"].tolist(), capacities)
@@ -121,8 +119,8 @@ def best_fit(docs: DataFrame, capacities: tuple[int, ...] = CAPACITIES, block_pi
             "bin": [(number << 32) + b for b in bin_of], "bin_offset": offset,
             "bin_capacity": [final[b] for b in bin_of]})
 
-    return (cut.withColumn("block", F.pmod(F.xxhash64("rid", "piece"), F.lit(blocks)))
-            .groupBy("block")
-            .applyInPandas(packed, f"doc_id {kind}, piece long, start long, length long, bin long, "
-                                   "bin_offset long, bin_capacity int")
-            .withColumnRenamed("doc_id", id_col))
+    placed = (cut.withColumn("doc_id", id_text(cut, "doc_id")).withColumn("block", F.pmod(F.xxhash64("rid", "piece"), F.lit(blocks)))
+              .groupBy("block")
+              .applyInPandas(packed, "doc_id string, piece long, start long, length long, bin long, "
+                                     "bin_offset long, bin_capacity int"))
+    return id_back(placed, "doc_id", docs, id_col)

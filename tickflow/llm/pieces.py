@@ -24,6 +24,8 @@ import pandas as pd
 import sentencepiece
 from pyspark.sql import DataFrame
 
+from tickflow.llm.common import id_back, id_text
+
 SPACE = "▁"
 NO_RANK = np.iinfo(np.int64).max
 # Words kept in a worker's memo, the longest word kept, and the characters of
@@ -265,7 +267,6 @@ def piece_round_trip(docs: DataFrame, model_file: str, id_col: str = "doc_id", t
     stays null; repeated rows give repeated results; other columns are not
     read.  ``model_file`` must be readable on every worker.
     """
-    kind = docs.schema[id_col].dataType.simpleString()
     extra = ", ids array<int>, decoded string" if keep_ids else ""
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -288,6 +289,6 @@ def piece_round_trip(docs: DataFrame, model_file: str, id_col: str = "doc_id", t
                 frame.insert(0, "id", ids.reset_index(drop=True))
                 yield frame
 
-    return (docs.select(docs[id_col], docs[text_col].cast("string"))
-            .mapInPandas(rows, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string{extra}")
-            .withColumnRenamed("id", id_col))
+    coded = (docs.select(id_text(docs, id_col), docs[text_col].cast("string"))
+             .mapInPandas(rows, f"id string, n_tokens long, ids_sha256 string, decoded_sha256 string{extra}"))
+    return id_back(coded, "id", docs, id_col)

@@ -21,6 +21,8 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 
+from tickflow.llm.common import id_back, id_text
+
 # Fixed value: the word pattern of byte-level BPE vocabularies of this kind,
 # its white space spelt out (the Unicode White_Space characters).
 _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -133,8 +135,6 @@ def token_counts(docs: DataFrame, vocabulary: str, limit: int = 1024,
     null; repeated rows give repeated results; other columns are not read, so
     their names cannot clash.
     """
-    kind = docs.schema[id_col].dataType.simpleString()
-
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         count = counter(vocabulary).count
         for ids, texts in ((b.iloc[:, 0], b.iloc[:, 1].fillna("")) for b in batches):
@@ -142,6 +142,6 @@ def token_counts(docs: DataFrame, vocabulary: str, limit: int = 1024,
             size = texts.map(lambda t: len(t.encode("utf-8"))).astype("int64")
             yield pd.DataFrame({"id": ids, "n_bytes": size, "n_tokens": n, "over_limit": n > limit})
 
-    return (docs.select(docs[id_col], docs[text_col].cast("string"))
-            .mapInPandas(rows, f"id {kind}, n_bytes long, n_tokens long, over_limit boolean")
-            .withColumnRenamed("id", id_col))
+    counted = (docs.select(id_text(docs, id_col), docs[text_col].cast("string"))
+               .mapInPandas(rows, "id string, n_bytes long, n_tokens long, over_limit boolean"))
+    return id_back(counted, "id", docs, id_col)

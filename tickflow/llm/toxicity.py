@@ -21,9 +21,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickflow.llm.common import id_back, id_text
+
 FOLDS = 4
 PER_CLASS = 3_000
 MAX_FEATURES = 4_096
@@ -222,7 +225,6 @@ def score_chain(docs: DataFrame, model: list[tuple[int, str, int, float]], thres
     never rejected.  With an empty model nothing is rejected.  A null id stays
     null; repeated rows give repeated results; other columns are not read.
     """
-    kind = docs.schema[id_col].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded: categories * MAX_FEATURES
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -235,8 +237,9 @@ def score_chain(docs: DataFrame, model: list[tuple[int, str, int, float]], thres
                                 "rejected": bad})
 
     cols = ", ".join(f"p_{c} double" for c in CATEGORIES)
-    return (docs.select(docs[id_col], docs[text_col].cast("string"))
-            .mapInPandas(rows, f"id {kind}, {cols}, rejected boolean").withColumnRenamed("id", id_col))
+    scored = (docs.select(id_text(docs, id_col), docs[text_col].cast("string"))
+              .mapInPandas(rows, f"id string, {cols}, rejected boolean"))
+    return id_back(scored, "id", docs, id_col)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, threshold: float = THRESHOLD,
@@ -252,10 +255,10 @@ def without_toxic(docs: DataFrame, model: list[tuple[int, str, int, float]], thr
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded: categories * MAX_FEATURES
     place = docs.columns.index(text_col)
 
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chain = Chain(shared.value)
-        for b in batches:
-            bad = [bool(t) and max(chain.score(t)[:2]) >= threshold for t in b.iloc[:, place].fillna("")]
-            yield b[~np.array(bad, dtype=bool)]
+        for b in batches:  # as Arrow batches, so that the other columns pass through unchanged
+            kept = [not t or max(chain.score(t)[:2]) < threshold for t in b.column(place).to_pylist()]
+            yield b.filter(pa.array(kept, type=pa.bool_()))
 
-    return docs.mapInPandas(rows, docs.schema)
+    return docs.mapInArrow(rows, docs.schema)
