@@ -93,7 +93,8 @@ def balanced_shards(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS,
     block = max(1, int(quota.min()) // 2)
     start = F.pmod(F.xxhash64("rid"), F.lit(shards)).cast("int")
 
-    groups = base.groupBy("g").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # written, so that the join below is one that Spark can split where a group is hot
+    groups = stored(base.groupBy("g").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shard-groups")
     blocks = F.ceil(F.col("n") / block)
     linked = (base.select("rid", "g").join(groups, "g")
               .select("rid", "g", F.pmod(F.xxhash64("rid", F.lit(1)), blocks).alias("blk"), start.alias("shard")))
