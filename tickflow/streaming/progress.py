@@ -1,4 +1,5 @@
-"""Per-micro-batch metrics from query progress."""
+"""A look at the latest micro-batches from query progress (T9).  The complete
+log, one record per batch, is what ``sinks.MeteredSink`` appends."""
 
 from __future__ import annotations
 
