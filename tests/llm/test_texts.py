@@ -115,6 +115,20 @@ def test_pseudonyms_keep_format_and_links(spark):
     assert pii.pseudonymise(docs.limit(0)).count() == 0
 
 
+def test_phones_after_a_country_prefix(spark):
+    numbers = ["+1 (017) 555-7713", "+1 (132) 555-5254", "+1 (988) 055-2485", "+1 123-155-0000", "+1 (988) 555-2485"]
+    rows = [(i, f"call {n} or {n}.") for i, n in enumerate(numbers)] + [(9, "(988) 555-2485 but not (017) 555-7713")]
+    got = {r.doc_id: r for r in pii.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    seen = set()
+    for i, n in enumerate(numbers):
+        a, b = re.fullmatch(r"call (.+) or (.+)\.", got[i].text).groups()
+        assert got[i].kinds == ["phone"] * 2 and got[i].n_replaced == 2 and a == b != n
+        assert re.sub(r"\d", "0", a) == re.sub(r"\d", "0", n) and a.startswith("+1")
+        seen.add(re.sub(r"\D", "", a))
+    assert len(seen) == len(numbers)
+    assert got[9].n_found == 1 and got[4].text[8:22] in got[9].text and "(017) 555-7713" in got[9].text
+
+
 def test_feistel_is_a_bijection(spark):
     df = spark.range(1000).select(F.lpad(F.col("id").cast("string"), 3, "0").alias("v"))
     assert df.select(pii.permuted(F.col("v"), "k", "t").alias("p")).distinct().count() == 1000

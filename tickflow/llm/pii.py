@@ -7,8 +7,10 @@ is permuted within its own format:
 * card: 13 to 19 digits that pass the Luhn test; the digits before the last
   are permuted and the check digit is made anew, so the result passes too;
 * account: another lone run of 13 to 19 digits, permuted digit by digit;
-* phone: ten digits of the North American plan; the first digit of area and
-  exchange stays within 2-9;
+* phone: ten digits of the North American plan, where the first digit of area
+  and exchange stays within 2-9; after +1 any ten digits, and there a first
+  digit 0 or 1 stays within 0-1, so a number has one pseudonym with and without
+  its prefix and no two numbers share one;
 * ssn: ddd-dd-dddd whose first digit is 1-8; it stays within 1-8;
 * ip: four numbers of 0-255, permuted as two 16-bit halves;
 * date: a day that exists in the 400 years from 1800, permuted over those
@@ -35,7 +37,9 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # Stand-ins for digits confined to eight values (2-9 or 1-8).
 EIGHT = "αβγδεζηθ"
-CLASSES = (DIGITS, LOWER, UPPER, EIGHT)
+# Stand-ins for the digits 0 and 1 where a phone's area or exchange begins with them.
+TWO = "ικ"
+CLASSES = (DIGITS, LOWER, UPPER, EIGHT, TWO)
 
 # Days of 400 Gregorian years = 189 * 773, so the two Feistel halves cover them exactly.
 FIRST_DAY, DAY_HIGH, DAY_LOW = "1800-01-01", 189, 773
@@ -49,7 +53,8 @@ PATTERNS = {
     "ip": r"(?<![\p{L}\p{N}_.])\d{1,3}+(?:\.\d{1,3}+){3}(?![\p{L}\p{N}_]|\.\d)",
     "date": _EDGE + r"(?:\d{4}[\-/]\d{2}[\-/]\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4})" + _END,
     "ssn": r"(?<![\p{L}\p{N}_\-])[1-8]\d\d-\d\d-\d{4}(?![\p{L}\p{N}_\-])",
-    "phone": r"(?:(?<![\p{L}\p{N}_\-])\+?1[ .\-]?)?(?:\([2-9]\d\d\) ?|(?<![\p{L}\p{N}_])[2-9]\d\d[ .\-])"
+    "phone": r"(?<![\p{L}\p{N}_\-])\+1[ .\-]?(?:\(\d{3}\) ?|\d{3}[ .\-])\d{3}[ .\-]\d{4}(?!\d)|"
+             r"(?:(?<![\p{L}\p{N}_\-])\+?1[ .\-]?)?(?:\([2-9]\d\d\) ?|(?<![\p{L}\p{N}_])[2-9]\d\d[ .\-])"
              r"[2-9]\d\d[ .\-]\d{4}(?!\d)",
     "card": r"(?<![\p{L}\p{N}_\-])\d(?:[ \-]?\d){12,18}(?![\p{L}\p{N}_\-])",
 }
@@ -141,12 +146,13 @@ def _card(value: Column, key: str) -> Column:
 def _phone(value: Column, key: str) -> Column:
     digits = _digits(value)
     ten = F.right(digits, F.lit(10))
-    # the first digit of area and exchange stands among eight values
-    held = F.concat(F.translate(F.substr(ten, F.lit(1), F.lit(1)), "23456789", EIGHT),
+    # the first digit of area and exchange stands among the eight values of the plan, or the other two
+    first, stand_ins = "2345678901", EIGHT + TWO
+    held = F.concat(F.translate(F.substr(ten, F.lit(1), F.lit(1)), first, stand_ins),
                     F.substr(ten, F.lit(2), F.lit(2)),
-                    F.translate(F.substr(ten, F.lit(4), F.lit(1)), "23456789", EIGHT),
+                    F.translate(F.substr(ten, F.lit(4), F.lit(1)), first, stand_ins),
                     F.substr(ten, F.lit(5), F.lit(6)))
-    out = F.translate(permuted(held, key, "phone"), EIGHT, "23456789")
+    out = F.translate(permuted(held, key, "phone"), stand_ins, first)
     return _refill(value, F.concat(F.substr(digits, F.lit(1), F.length(digits) - 10), out))
 
 
