@@ -261,7 +261,8 @@ def masked(df: DataFrame, text_col: str, key: str = DEFAULT_KEY) -> DataFrame:
     """``df`` with ``masked``, ``n_found``, ``n_replaced`` and ``kinds``."""
     text = F.col(text_col)
     none = F.array().cast("array<string>")
-    found = F.when(text.rlike("[0-9@]"), F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))).otherwise(none)
+    # every text is searched: secrets and keys need neither a digit nor an @
+    found = F.coalesce(F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)), none)
     df = df.withColumn("__found", found)
     df = df.withColumn("__pairs", F.transform("__found", lambda v: F.struct(v.alias("v"), kind_of(v).alias("k"))))
     df = df.withColumn("__new", F.transform("__pairs", lambda p: pseudonym(p["v"], p["k"], key)))
