@@ -139,6 +139,29 @@ def test_secrets_in_texts_without_digits(spark):
     assert (got[3].text, got[3].n_found, got[4].text, got[4].n_found, got[4].kinds) == ("nothing here", 0, None, 0, [])
 
 
+def test_all_ssn_areas_and_day_first_dates(spark):
+    ids = ["012-34-5678", "001-00-0000", "099-99-9999", "899-01-0001", "123-45-6789"]
+    days = [f"{d:02d}/{m:02d}/1990" for d in range(13, 29) for m in range(1, 13)]
+    rows = [(f"ssn {x}.",) for x in ids] + [(f"born {x}, {x[6:]}-{x[3:5]}-{x[:2]}, {x[3:5]}/{x[:2]}/{x[6:]}",) for x in days]
+    clean = "000-12-3456, 912-34-5678, 31/02/1990, 32/01/1990, 13/13/1990"
+    got = [r.masked for r in pii.masked(spark.createDataFrame(rows + [(clean,)], "text string"), "text").collect()]
+    assert got[-1] == clean
+    new = [re.fullmatch(r"ssn (\d{3}-\d\d-\d{4})\.", t).group(1) for t in got[:len(ids)]]
+    assert len(set(new)) == len(ids) and not set(new) & set(ids) and all(1 <= int(x[:3]) <= 899 for x in new)
+    written = set()
+    for old, t in zip(days, got[len(ids):-1]):
+        first, y, m, d, third = re.fullmatch(r"born (\S+), (\d{4})-(\d\d)-(\d\d), (\S+)", t).groups()
+        assert first != old and third == f"{m}/{d}/{y}" and first == (f"{d}/{m}/{y}" if d > "12" else third)
+        written.add(first)
+    assert len(written) == len(days)
+
+
+def test_ssn_permutation_is_a_bijection(spark):
+    rest = spark.range(0, pii.SSN_AREAS).select(
+        pii._ssn(F.concat(F.lpad((F.col("id") + 1).cast("string"), 3, "0"), F.lit("-00-0001")), "k").alias("p"))
+    assert rest.distinct().count() == pii.SSN_AREAS and rest.where("p rlike '^(000|9)'").count() == 0
+
+
 def test_feistel_is_a_bijection(spark):
     df = spark.range(1000).select(F.lpad(F.col("id").cast("string"), 3, "0").alias("v"))
     assert df.select(pii.permuted(F.col("v"), "k", "t").alias("p")).distinct().count() == 1000

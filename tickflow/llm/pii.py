@@ -11,10 +11,11 @@ is permuted within its own format:
   and exchange stays within 2-9; after +1 any ten digits, and there a first
   digit 0 or 1 stays within 0-1, so a number has one pseudonym with and without
   its prefix and no two numbers share one;
-* ssn: ddd-dd-dddd whose first digit is 1-8; it stays within 1-8;
+* ssn: ddd-dd-dddd of the areas 001-899; the area stays within them;
 * ip: four numbers of 0-255, permuted as two 16-bit halves;
 * date: a day that exists in the 400 years from 1800, permuted over those
-  146,097 days; one day has one pseudonym in all its spellings;
+  146,097 days; one day has one pseudonym in all its spellings; slashes are
+  month/day/year, or day/month/year where that is no date;
 * email: the letters and digits of the local part, with the domain as tweak;
 * key, secret: access keys and the value of a password or token assignment.
 
@@ -35,7 +36,7 @@ DEFAULT_KEY = "tickflow-example-key"
 DIGITS = "0123456789"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-# Stand-ins for digits confined to eight values (2-9 or 1-8).
+# Stand-ins for digits confined to the eight values 2-9.
 EIGHT = "αβγδεζηθ"
 # Stand-ins for the digits 0 and 1 where a phone's area or exchange begins with them.
 TWO = "ικ"
@@ -43,6 +44,8 @@ CLASSES = (DIGITS, LOWER, UPPER, EIGHT, TWO)
 
 # Days of 400 Gregorian years = 189 * 773, so the two Feistel halves cover them exactly.
 FIRST_DAY, DAY_HIGH, DAY_LOW = "1800-01-01", 189, 773
+# Areas 001-899 of an ssn, and what may follow an area.
+SSN_AREAS, SSN_REST = 899, 1_000_000
 
 _EDGE = r"(?<![\p{L}\p{N}_])"
 _END = r"(?![\p{L}\p{N}_])"
@@ -52,7 +55,7 @@ PATTERNS = {
     "key": _EDGE + r"AKIA[A-Z0-9]{16}" + _END,
     "ip": r"(?<![\p{L}\p{N}_.])\d{1,3}+(?:\.\d{1,3}+){3}(?![\p{L}\p{N}_]|\.\d)",
     "date": _EDGE + r"(?:\d{4}[\-/]\d{2}[\-/]\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4})" + _END,
-    "ssn": r"(?<![\p{L}\p{N}_\-])[1-8]\d\d-\d\d-\d{4}(?![\p{L}\p{N}_\-])",
+    "ssn": r"(?<![\p{L}\p{N}_\-])(?!000)[0-8]\d\d-\d\d-\d{4}(?![\p{L}\p{N}_\-])",
     "phone": r"(?<![\p{L}\p{N}_\-])\+1[ .\-]?(?:\(\d{3}\) ?|\d{3}[ .\-])\d{3}[ .\-]\d{4}(?!\d)|"
              r"(?:(?<![\p{L}\p{N}_\-])\+?1[ .\-]?)?(?:\([2-9]\d\d\) ?|(?<![\p{L}\p{N}_])[2-9]\d\d[ .\-])"
              r"[2-9]\d\d[ .\-]\d{4}(?!\d)",
@@ -158,9 +161,9 @@ def _phone(value: Column, key: str) -> Column:
 
 def _ssn(value: Column, key: str) -> Column:
     digits = _digits(value)
-    held = F.concat(F.translate(F.substr(digits, F.lit(1), F.lit(1)), "12345678", EIGHT),
-                    F.substr(digits, F.lit(2), F.lit(8)))
-    return _refill(value, F.translate(permuted(held, key, "ssn"), EIGHT, "12345678"))
+    area, rest = F.substr(digits, F.lit(1), F.lit(3)).cast("int") - 1, F.substr(digits, F.lit(4), F.lit(6)).cast("int")
+    n = _permuted_number(area, rest, SSN_AREAS, SSN_REST, key, "ssn")
+    return _refill(value, F.lpad((n + SSN_REST).cast("string"), 9, "0"))
 
 
 def _ip(value: Column, key: str) -> Column:
@@ -173,7 +176,10 @@ def _ip(value: Column, key: str) -> Column:
 
 
 def _date(value: Column, key: str) -> Column:
-    """Year first; day.month.year; month/day/year."""
+    """Year first; day.month.year; month/day/year, or day/month/year if that is
+    no date.  A day/month date is written so again where its new day is over 12,
+    and month/day otherwise: read by the same rule it is always the new day, so
+    two days never share a pseudonym."""
     def cut(start, size):
         return F.substr(value, F.lit(start), F.lit(size))
 
@@ -182,7 +188,9 @@ def _date(value: Column, key: str) -> Column:
     iso = F.when(year_first, F.concat_ws("-", cut(1, 4), cut(6, 2), cut(9, 2))) \
         .when(dotted, F.concat_ws("-", cut(7, 4), cut(4, 2), cut(1, 2))) \
         .otherwise(F.concat_ws("-", cut(7, 4), cut(1, 2), cut(4, 2)))
-    day = F.datediff(iso.try_cast("date"), F.lit(FIRST_DAY).cast("date"))
+    slashed = F.contains(value, F.lit("/")) & ~year_first
+    day_first = F.when(slashed & (cut(1, 2) > "12"), F.concat_ws("-", cut(7, 4), cut(4, 2), cut(1, 2)))
+    day = F.datediff(F.coalesce(day_first, iso).try_cast("date"), F.lit(FIRST_DAY).cast("date"))
     span = DAY_HIGH * DAY_LOW
     n = _permuted_number(F.floor(day / DAY_LOW), day % DAY_LOW, DAY_HIGH, DAY_LOW, key, "date")
     new = F.date_add(F.lit(FIRST_DAY).cast("date"), n.cast("int")).cast("string")
@@ -191,7 +199,8 @@ def _date(value: Column, key: str) -> Column:
         y, m, dd = (F.substr(d, F.lit(a), F.lit(b)) for a, b in ((1, 4), (6, 2), (9, 2)))
         mark = F.substr(value, F.lit(5), F.lit(1))
         return F.when(year_first, F.concat(y, mark, m, F.substr(value, F.lit(8), F.lit(1)), dd)) \
-            .when(dotted, F.concat_ws(".", dd, m, y)).otherwise(F.concat_ws("/", m, dd, y))
+            .when(dotted, F.concat_ws(".", dd, m, y)) \
+            .when(day_first.isNotNull() & (dd > "12"), F.concat_ws("/", dd, m, y)).otherwise(F.concat_ws("/", m, dd, y))
 
     return F.when(day.between(0, span - 1), F.transform(F.array(new), written)[0]).otherwise(value)
 
