@@ -29,7 +29,7 @@ def clean_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group under 80 percent similarity of 5-word shingles."""
     package_on_workers(spark)
-    return jaccard_join.one_of_each(docs, n=5, percent=80)
+    return jaccard_join.one_of_each(docs, n=5, percent=80, null_ids_apart=False)
 
 
 def mask_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

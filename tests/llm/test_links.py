@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from tests.llm import brute
 from tickflow.llm.common import package_on_workers
 from tickflow.llm.components import components
@@ -79,6 +80,20 @@ def test_one_of_each_keeps_the_smallest_id(spark, near_rows):
     assert one_of_each(empty, 5, 80).count() == 0
 
 
+def test_one_row_of_each_component(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcd")
+    rows = [(None, a), (7, a + " tail"), (None, a), (5, b), (5, b), (5, b), (8, c), (9, c + " tail"), (9, d),
+            (None, "lone text of its own here"), (None, "lone text of its own here"), (None, None), (None, None), (6, "")]
+    docs = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, place int")
+    stays = [(5, b), (6, ""), (7, a + " tail"), (8, c), (9, d), (None, None), (None, None), (None, "lone text of its own here")]
+
+    def kept(df):
+        return sorted(((r.doc_id, r.text) for r in df.collect()), key=str)
+
+    assert kept(corpus_pipeline.drop_near_copies(spark, docs, "")) == sorted(stays, key=str)
+    assert kept(one_of_each(docs)) == sorted([*stays, (None, a)], key=str)
+
+
 def test_forest_search_against_brute_force(spark):
     rng = np.random.default_rng(3)
     x = rng.normal(size=(600, 8)).round(2)

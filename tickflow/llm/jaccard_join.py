@@ -350,13 +350,22 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80,
 
 
 def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id",
-                text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns as they are, whose id is the smallest
-    of a component.  An id with several texts stays if one of them is; rows
-    with a null id stay."""
-    found = jaccard_components(docs, n, percent, id_col, text_col)
-    gone = stored(found.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("gone_id"))
-                  .agg(F.max((F.col("component_id") == F.col(id_col)).cast("int")).alias("stays"))
-                  .where("stays = 0").select("gone_id"), "near-copies")
-    side = small_side(gone, gone.count())
-    return docs.join(side, docs[id_col] == side["gone_id"], "left_anti")
+                text_col: str = "text", null_ids_apart: bool = True) -> DataFrame:
+    """One row of each component, all columns as they are: the one with the
+    smallest id that is not null, and of several with that id the first one
+    read.  Rows with an empty set are linked with nothing and all stay.
+
+    Rows are counted, not ids: repeated rows, and near copies whose id also has
+    another text, go.  With ``null_ids_apart`` rows without an id are no copies
+    of rows that have one: one of them stays in each component, too.
+    """
+    # written once, so that every step sees the same row numbers
+    rows = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    ids = rows.select("__row", F.col(id_col).alias("__id"))
+    found = jaccard_components(rows, n, percent, "__row", text_col).where("n_shingles > 0").join(ids, "__row")
+    found = stored(found.select("__row", "__id", "component_id"), "row-components")
+    no_id = F.col("__id").isNull()
+    group = ["component_id", no_id] if null_ids_apart else ["component_id"]
+    stays = found.groupBy(*group).agg(F.min(F.struct(no_id.alias("no_id"), "__id", "__row"))["__row"].alias("__row"))
+    gone = stored(found.join(stays, "__row", "left_anti").select("__row"), "near-copies")
+    return rows.join(small_side(gone, gone.count()), "__row", "left_anti").drop("__row")
