@@ -143,3 +143,21 @@ def test_balanced_shards(spark):
             pairs.setdefault(t, set()).add(by_id[i].shard)
     assert sum(len(s) > 1 for s in pairs.values()) <= 2      # cut pairs
     assert balanced_shards(docs.limit(0)).count() == 0
+
+
+def test_full_shards_give_up_rows_of_the_largest_group(spark):
+    rng = random.Random(1)
+    texts = ["hot"] * 4000
+    while len(texts) < 8000:
+        texts += [f"group {len(texts)}"] * rng.randint(2, 100)
+    texts += [f"single {i}" for i in range(12_000 - len(texts))]
+    rng.shuffle(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = balanced_shards(docs).collect()
+    counts, shards = {}, {}
+    for r in got:
+        counts[r.shard] = counts.get(r.shard, 0) + 1
+        if texts[r.doc_id].startswith("group"):
+            shards.setdefault(texts[r.doc_id], set()).add(r.shard)
+    assert len(got) == len(texts) and set(counts.values()) == {500}
+    assert sum(len(s) > 1 for s in shards.values()) <= 5      # cut small groups, of 74

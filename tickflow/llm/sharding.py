@@ -7,8 +7,10 @@ shard.  Every row starts in a hashed shard.  In each round a block's rows are
 counted by shard; the rows want to move to the shard that holds most of their
 block.  Quotas follow from the 24 by 24 table of wanted moves: a shard admits
 as many as it has room for once its own leavers are gone, and blocks are
-admitted by a hash.  Rows without links then fill every shard to its exact
-count, so counts differ by at most one.
+admitted by a hash.  A shard that is over its quota in the end gives up rows of its
+largest groups first, so whole small groups stay.  These rows, group by group,
+and the rows without links then fill every shard to its exact count, so counts
+differ by at most one.
 
 Links are never listed as pairs: a block and its counts stand for all pairs
 of its rows.
@@ -51,7 +53,8 @@ def admitted(load: np.ndarray, quota: np.ndarray, wanted: np.ndarray) -> np.ndar
 
 
 def propagate(rows: DataFrame, quota: np.ndarray, rounds: int) -> DataFrame:
-    """Label propagation over linked rows (rid, g, blk, shard)."""
+    """Label propagation over linked rows (rid, g, n, blk, shard); ``n`` is the
+    size of the group."""
     shards = len(quota)
     for turn in range(rounds):
         counts = rows.groupBy("g", "blk", "shard").agg(F.count(F.lit(1)).alias("n"))
@@ -70,7 +73,7 @@ def propagate(rows: DataFrame, quota: np.ndarray, rounds: int) -> DataFrame:
         limit = F.element_at(F.array(*[F.lit(int(x * UNIT)) for x in share]), F.col("goal") + 1)
         goal = goal.where(F.pmod(F.xxhash64("g", "blk", F.lit(turn + 1_000)), F.lit(UNIT)) < limit)
         rows = stored(rows.join(goal, ["g", "blk"], "left")
-                      .select("rid", "g", "blk", F.coalesce("goal", "shard").alias("shard")), "shard-labels")
+                      .select("rid", "g", "n", "blk", F.coalesce("goal", "shard").alias("shard")), "shard-labels")
     return rows
 
 
@@ -97,24 +100,26 @@ def balanced_shards(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS,
     groups = stored(base.groupBy("g").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shard-groups")
     blocks = F.ceil(F.col("n") / block)
     linked = (base.select("rid", "g").join(groups, "g")
-              .select("rid", "g", F.pmod(F.xxhash64("rid", F.lit(1)), blocks).alias("blk"), start.alias("shard")))
+              .select("rid", "g", "n", F.pmod(F.xxhash64("rid", F.lit(1)), blocks).alias("blk"), start.alias("shard")))
     linked = propagate(stored(linked, "shard-labels"), quota, rounds)
 
-    # linked rows beyond a shard's count join the rows without links, and these fill the shards up
+    # linked rows beyond a shard's count, of the largest groups first, join the rows without links, and these
+    # fill the shards up
     held = {r["shard"]: r["n"] for r in linked.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()}
     over = {s: held.get(s, 0) - int(quota[s]) for s in range(shards) if held.get(s, 0) > quota[s]}
     if over:
         extra = F.element_at(F.array(*[F.lit(max(0, over.get(s, 0))) for s in range(shards)]), F.col("shard") + 1)
-        placed = ordinal(linked.select("rid", "shard"), ["shard"], ["rid"], "place")
+        placed = ordinal(linked.select("rid", "shard", (-F.col("n")).alias("size_down"), "g"),
+                         ["shard"], ["size_down", "g", "rid"], "place")
         linked = placed.where(F.col("place") >= extra)
     kept = stored(linked.select("rid", "shard"), "shard-kept")
-    free = base.select("rid").join(kept, "rid", "left_anti")
+    free = base.select("rid", "g").join(kept, "rid", "left_anti")
     need = np.array([int(quota[s]) - min(held.get(s, 0), int(quota[s])) for s in range(shards)])
     ends = np.cumsum(need)
     shard = F.lit(shards - 1)
     for s in reversed(range(shards)):
         shard = F.when(F.col("place") < int(ends[s]), F.lit(s)).otherwise(shard)
-    filled = ordinal(free, [], ["rid"], "place").select("rid", shard.cast("int").alias("shard"))
+    filled = ordinal(free, [], ["g", "rid"], "place").select("rid", shard.cast("int").alias("shard"))
     whole = base.select("doc_id", "size", "text_crc32", "rid").join(kept.unionByName(filled), "rid")
     return ordinal(whole, ["shard"], ["doc_id", "rid"], "slot").select(
         F.col("doc_id").alias(id_col), "size", "text_crc32", F.lit("rows").alias("law"),
