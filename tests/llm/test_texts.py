@@ -259,6 +259,20 @@ def test_quotation_query_equals_its_sql(spark):
         == sorted(tuple((("" if n == "text" else -1) if x is None else x) for n, x in zip(names, r)) for r in expect.fetchall())
 
 
+def test_quotations_wrapped_anew_and_said_twice(spark):
+    first = "the quick brown fox jumps over\nthe lazy dog and runs into the deep dark wood"
+    rows = [(1, 0, "u", first), (1, 1, "a", "something else entirely is said here\nthanks"),
+            (1, 2, "u", "> the quick brown\n> fox jumps over the lazy\n> dog and runs into\nyes"),        # other line breaks
+            (1, 3, "a", "> lazy dog and runs into the deep\nno"),                                       # cut inside a line
+            (1, 4, "u", "thanks"), (1, 5, "a", "> thanks\nwelcome"),                                    # said twice
+            (1, 6, "u", "thanks\nbye"), (1, 7, "a", "> thanks\n> something else entirely is said here")]  # most hits
+    got = quotations.link_quotations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    by = {r.turn: r for r in got}
+    assert [by[t].reply_to for t in (2, 3, 5, 7)] == [0, 0, 4, 1]
+    assert [(by[t].n_quoted, by[t].n_linked) for t in (2, 3, 5, 7)] == [(3, 3), (1, 1), (1, 1), (2, 2)]
+    assert [by[t].text for t in (2, 3, 5, 7)] == ["yes", "no", "welcome", ""] and by[0].text == first
+
+
 def test_long_reply_chain(spark):
     rows = [(1, 0, "u", "m0")] + [(1, k, "u", f"> m{k - 1}\nm{k}") for k in range(1, 30)]
     got = quotations.link_quotations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
