@@ -223,6 +223,21 @@ def test_packing_holds_every_word_once(spark):
     assert packing.best_fit(docs.limit(0)).count() == 0
 
 
+def test_packing_by_a_given_length(spark):
+    package_on_workers(spark)
+    texts = ["x" * 10_000, "one two", "漢" * 1000, None]
+    docs = spark.createDataFrame([(i, t, n) for i, (t, n) in enumerate(zip(texts, [9000, 2, 700, None]))],
+                                 "doc_id long, text string, n_tokens long")
+    for length, expect in (("n_tokens", [9001, 3, 701, 1]), (F.octet_length("text"), [10_001, 8, 3001, 1]), (None, [2, 3, 2, 1])):
+        total, used, room = {}, {}, {}
+        for r in packing.best_fit(docs, length=length).collect():
+            assert r.start == 4096 * r.piece and r.length <= 4096
+            total[r.doc_id] = total.get(r.doc_id, 0) + r.length
+            used[r.bin] = used.get(r.bin, 0) + r.length
+            room[r.bin] = r.bin_capacity
+        assert [total[i] for i in range(4)] == expect and all(used[b] <= room[b] for b in used)
+
+
 # ---- quotations
 
 def test_quotations_are_linked_and_removed(spark):

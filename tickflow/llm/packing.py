@@ -1,6 +1,7 @@
 """Variable-capacity best-fit packing of documents into training sequences.
 
-A document's length is its number of words plus one separator.  Documents
+A document's length is its number of words, or any other measure given (tokens,
+bytes), plus one separator.  Documents
 longer than the largest permitted capacity are cut into pieces.  Pieces are
 dealt by a hash into blocks of bounded size, and each block is packed on its
 own, longest first:
@@ -24,7 +25,7 @@ from bisect import bisect_left, insort
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickflow.llm.common import id_back, id_text, stored, words
@@ -85,11 +86,15 @@ def pack(lengths: list[int], capacities: tuple[int, ...]) -> tuple[list[int], li
     return bin_of, offset, final
 
 
-def pieces(docs: DataFrame, most: int, id_col: str, text_col: str) -> DataFrame:
-    """(rid, doc_id, piece, start, length) of every document, in words; the
-    last piece of a document also holds its separator."""
-    sized = docs.select(docs[id_col].alias("doc_id"),
-                        (F.size(words(docs[text_col].cast("string"))) + 1).cast("long").alias("total"))
+def pieces(docs: DataFrame, most: int, id_col: str, text_col: str, length: Column | str | None = None) -> DataFrame:
+    """(rid, doc_id, piece, start, length) of every document, in units of
+    ``length`` (words if not given); the last piece of a document also holds
+    its separator."""
+    if length is None:
+        size = F.size(words(docs[text_col].cast("string")))
+    else:
+        size = F.greatest(F.coalesce(docs[length] if isinstance(length, str) else length, F.lit(0)), F.lit(0))
+    sized = docs.select(docs[id_col].alias("doc_id"), (size + 1).cast("long").alias("total"))
     sized = sized.withColumn("rid", F.monotonically_increasing_id())
     count = F.floor((F.col("total") + most - 1) / most)
     return (sized.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), count - 1)))
@@ -98,17 +103,22 @@ def pieces(docs: DataFrame, most: int, id_col: str, text_col: str) -> DataFrame:
 
 
 def best_fit(docs: DataFrame, capacities: tuple[int, ...] = CAPACITIES, block_pieces: int = BLOCK_PIECES,
-             id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+             id_col: str = "doc_id", text_col: str = "text", length: Column | str | None = None) -> DataFrame:
     """One row per piece: id, ``piece`` (from 0), ``start`` and ``length`` in
-    words, ``bin`` (block * 2^32 + number in the block), ``bin_offset`` and
+    the unit packed by, ``bin`` (block * 2^32 + number in the block), ``bin_offset`` and
     ``bin_capacity``.
 
-    A null or empty text has length 1, its separator, and is packed like any
+    ``length`` is a column of ``docs``, or an expression over it, with the
+    length of each document in the unit of the capacities: token counts, or
+    ``F.octet_length("text")``.  Documents are cut in that unit.  Without it
+    the unit is words, which says little of a text without white space.
+
+    A null or empty text (or a null length) has length 1, its separator, and is packed like any
     other; a null id stays null; repeated rows are packed once each; ties in
     length go by row; an empty table gives no rows; other columns are not read.
     """
     capacities = tuple(sorted(capacities))
-    cut = stored(pieces(docs, capacities[-1], id_col, text_col), "pieces")
+    cut = stored(pieces(docs, capacities[-1], id_col, text_col, length), "pieces")
     blocks = max(1, -(-cut.count() // block_pieces))
     def packed(block: pd.DataFrame) -> pd.DataFrame:
         block = block.sort_values(["length", "rid", "piece"], ascending=[False, True, True])
