@@ -349,3 +349,14 @@ def test_later_models_see_unseen_rows_probabilities(judged):
     model = toxicity.fit_models(feats, y, fold)
     chain = model[model.kind == "chain"]
     assert len(chain[chain.category == 1]) == 1 and len(chain[chain.category == 2]) == 2
+
+
+def test_training_sample_is_bounded_by_rows(spark):
+    rows = [(1, "same text")] * 50 + [(1, f"other {i}") for i in range(3)] + [(i, f"text {i}") for i in range(2, 30)] + [(2, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, int(i % 2)) for i in range(1, 2000)] + [(1, 1, 1)], "doc_id long, quality int, toxic int")
+    got = toxicity.training_sample(docs, labels, 10, "doc_id", "text").collect()
+    assert sorted(r.toxic for r in got) == [0] * 10 + [1] * 10      # labels of absent documents take no place
+    assert len({(r.id, r.text) for r in got}) == 20 and all((r.id, r.text) in rows for r in got)
+    whole = toxicity.training_sample(docs, labels, 1000, "doc_id", "text").collect()
+    assert sorted((r.id, r.text) for r in whole) == sorted({r for r in rows if r[1]})

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickflow.llm.common import id_back, id_text
+from tickflow.llm.common import id_back, id_text, stored
 
 FOLDS = 4
 PER_CLASS = 3_000
@@ -138,16 +138,21 @@ def fit_models(feats: list[np.ndarray], labels: np.ndarray, fold: np.ndarray) ->
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, per_class: int, id_col: str, text_col: str) -> DataFrame:
-    """Labelled documents, at most ``per_class`` of either toxicity label: those
-    with the smallest hash of the id, so every run takes the same ones."""
+    """Labelled documents, one row per id and text, at most ``per_class`` of
+    either toxicity label: those with the smallest hash of id and text, so every
+    run takes the same ones.  Only labels of texts that are there are counted."""
     lab = (labels.where(F.col(id_col).isNotNull() & F.col("toxic").isin(0, 1))
            .select(F.col(id_col).alias("id"), F.col("toxic").cast("int").alias("toxic"),
-                   F.coalesce(F.col("quality").cast("int"), F.lit(1)).alias("quality"))
-           .withColumn("h", F.xxhash64("id")))
-    parts = [lab.where(F.col("toxic") == t).orderBy("h", "id", "quality").limit(per_class) for t in (0, 1)]
-    chosen = parts[0].unionByName(parts[1])
+                   F.coalesce(F.col("quality").cast("int"), F.lit(1)).alias("quality")).distinct())
     texts = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text")).where("text is not null")
-    return texts.join(F.broadcast(chosen), "id")  # 2 * per_class rows at most
+    texts = texts.withColumn("t", F.md5("text"))
+    # ids and hashes only; repeats are gone before the join
+    lab = texts.select("id", "t").distinct().join(lab, "id").withColumn("h", F.xxhash64("id", "t"))
+    parts = [lab.where(F.col("toxic") == t).orderBy("h", "id", "t", "quality").limit(per_class) for t in (0, 1)]
+    chosen = stored(parts[0].unionByName(parts[1]), "training-sample")  # 2 * per_class rows at most
+    once = (texts.join(F.broadcast(chosen.select("id", "t").distinct()), ["id", "t"])
+            .groupBy("id", "t").agg(F.min("text").alias("text")))
+    return once.join(F.broadcast(chosen), ["id", "t"]).drop("t")
 
 
 def fit_chain(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS,
