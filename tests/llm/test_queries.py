@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_all_operators_are_registered():
     names = sorted(int(n[2:].split("_")[0]) for n in Q.QUERIES)
-    assert names == list(range(1, 11)) and set(Q.QUERIES) | {"pipeline"} <= set(E.queries())
+    assert names == list(range(1, 14)) and set(Q.QUERIES) | {"pipeline"} <= set(E.queries())
 
 
 @pytest.mark.parametrize("name", sorted(Q.ORACLE))
@@ -20,7 +20,8 @@ def test_query_matches_its_sql(spark, name):
     assert r["status"] == "MATCH" and r["spark_rows"] > 0, r
 
 
-@pytest.mark.parametrize("name", ["op1_toxicity", "op2_pseudonyms", "op7_shards", "op8_token_counts", "op10_pieces"])
+@pytest.mark.parametrize("name", ["op1_toxicity", "op2_pseudonyms", "op7_shards", "op8_token_counts", "op10_pieces",
+                                  "op12_line_dedup", "op13_periodic_runs"])
 def test_one_row_for_each_document(spark, name):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     got = Q.QUERIES[name](spark, SF)

@@ -4,9 +4,10 @@ their DuckDB SQL where SQL can express the result."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tickflow.llm import (forest_search, jaccard_join, oracle, packing, pieces, pii, quality_rules, quotations, sharding,
-                          token_counts, toxicity)
+from tickflow.llm import (forest_search, jaccard_join, line_dedup, oracle, packing, periodic_runs, pieces, pii, quality_rules,
+                          quotations, sharding, token_counts, toxicity, turn_repair)
 from tickflow.llm.common import table
 
 
@@ -66,8 +67,24 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.piece_round_trip(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation, after the damage."""
+    return turn_repair.repair_turns(table(spark, sf_dir, "conversations"), damage=True)
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without lines that an earlier one holds, as a digest."""
+    kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document, some with a planted tail."""
+    return periodic_runs.periodic_runs(table(spark, sf_dir, "documents"), plant=True)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_pseudonyms, op3_quotations, op4_best_fit, op5_forest_search, op6_line_rules, op7_shards,
-    op8_token_counts, op9_jaccard, op10_pieces)}
+    op8_token_counts, op9_jaccard, op10_pieces, op11_turn_repair, op12_line_dedup, op13_periodic_runs)}
 
 ORACLE: dict[str, str] = oracle.all_sql()
