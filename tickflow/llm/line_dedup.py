@@ -153,8 +153,11 @@ def probe(packed: DataFrame, index: DataFrame) -> DataFrame:
     """Per packet the smallest id of each of its lines held by two documents
     or more; NO_ID for others and for lines that the index does not hold."""
     def one(sent: pd.DataFrame, arrays: pd.DataFrame) -> pd.DataFrame:
-        if not len(sent) or not len(arrays):
-            return pd.DataFrame({"batch": [], "shard": [], "least": []})
+        if not len(arrays):  # an index of other documents may lack a shard
+            nothing = [np.full(len(k) // 16, NO_ID, dtype=np.int64).tobytes() for k in sent["keys"]]
+            return pd.DataFrame({"batch": sent["batch"].tolist(), "shard": sent["shard"].tolist(), "least": nothing})
+        if not len(sent):
+            return pd.DataFrame([], columns=["batch", "shard", "least"], dtype=object)
         row = arrays.iloc[0]
         perfect = PerfectHash.unpacked(row["sizes"], row["taken"])
         prints = np.frombuffer(row["prints"], dtype=np.uint32)
