@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickflow.functions import exact
 from tickflow.functions.arith import percent_diff
 from tickflow.operators.windows import WINDOW_KEYS
 
@@ -38,17 +39,21 @@ def consistency(stream_windows: DataFrame, prices: DataFrame) -> DataFrame:
 
     Both global aggregates run in a single job over the union of the two
     inputs (a side tag per row), so there is no join and nothing is collected;
-    each task pre-aggregates.  Means are taken in double.
+    each task pre-aggregates.  Sums are exact, so the result does not depend on
+    the partitioning.
     """
     s = stream_windows.select(F.lit(True).alias("_s"), F.col("avg_price").cast("double").alias("_p"),
                               F.col("total_volume").cast("double").alias("_v"))
     b = prices.select(F.lit(False).alias("_s"), F.col("price_usd").cast("double").alias("_p"),
                       F.col("volume_24h").cast("double").alias("_v"))
-    g = s.unionByName(b).agg(
-        F.avg(F.when(F.col("_s"), F.col("_p"))).alias("sp"), F.avg(F.when(F.col("_s"), F.col("_v"))).alias("sv"),
-        F.avg(F.when(~F.col("_s"), F.col("_p"))).alias("bp"), F.avg(F.when(~F.col("_s"), F.col("_v"))).alias("bv"),
-        F.count(F.when(F.col("_s"), 1)).alias("streaming_records"),
-        F.count(F.when(~F.col("_s"), 1)).alias("batch_records"))
+    both = exact.split(s.unionByName(b), p=F.col("_p"), v=F.col("_v"))
+    g = both.groupBy("_s").agg(F.count(F.lit(1)).alias("n"), *exact.sums("p", "v"))
+    g = g.select("_s", "n", exact.mean("p").alias("p"), exact.mean("v").alias("v"))
+    # two rows at most: turned into one
+    side = {"s": F.col("_s"), "b": ~F.col("_s")}
+    g = g.agg(*[F.max(F.when(at, F.col(c))).alias(f"{k}{c}") for k, at in side.items() for c in "pv"],
+              F.coalesce(F.max(F.when(F.col("_s"), F.col("n"))), F.lit(0)).alias("streaming_records"),
+              F.coalesce(F.max(F.when(~F.col("_s"), F.col("n"))), F.lit(0)).alias("batch_records"))
     return g.select(percent_diff(F.col("sp"), F.col("bp")).alias("price_difference_percent"),
                     percent_diff(F.col("sv"), F.col("bv")).alias("volume_difference_percent"),
                     "streaming_records", "batch_records")

@@ -9,9 +9,13 @@ never lands whole in one task: its rows are spread over all its windows.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickflow.functions import exact
+
 # Window length and slide of the analysis.
 WINDOW_DURATION = "15 minutes"
 SLIDE_DURATION = "5 minutes"
@@ -67,6 +71,40 @@ def windowed(df: DataFrame, time_col: str = "timestamp", key: str = "coin_id",
                  F.max("p").alias("max_price"), F.sum("v").alias("total_volume"), *(extra or [])))
 
 
+_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
+
+
+def _seconds(interval: str) -> int:
+    m = re.fullmatch(r"\s*(\d+)\s+(second|minute|hour|day)s?\s*", interval.lower())
+    if not m:
+        raise ValueError(f"not a number of seconds, minutes, hours or days: {interval!r}")
+    return int(m[1]) * _SECONDS[m[2]]
+
+
+def pane_windowed(df: DataFrame, time_col: str = "timestamp", key: str = "coin_id",
+                  price: str = "price_usd", volume: str = "volume_24h",
+                  duration: str = WINDOW_DURATION, slide: str = SLIDE_DURATION) -> DataFrame:
+    """The stored form, by panes: rows are aggregated once per (slide-long
+    pane, key), and the panes, not the rows, are merged into the windows that
+    hold them.  The sums are exact (``functions.exact``), so the result does
+    not depend on how the rows are partitioned.
+
+    ``duration`` must be a multiple of ``slide``.  A pane that holds most rows
+    is pre-aggregated in every task before the shuffle."""
+    require_columns(df, time_col, key, price, volume)
+    if _seconds(duration) % _seconds(slide):
+        raise ValueError(f"{duration} is not a multiple of {slide}")
+    rows = df.select(F.window(time_col, slide)["start"].alias("pane"), F.col(key).alias("coin_id"),
+                     F.col(price).alias("p"), F.col(volume).alias("v"))
+    spread = [F.min("lo").alias("lo"), F.max("hi").alias("hi"), *exact.sums("p", "v")]
+    rows = exact.split(rows, p=F.col("p"), v=F.col("v")).withColumns({"lo": F.col("p"), "hi": F.col("p")})
+    panes = rows.groupBy("pane", "coin_id").agg(*spread)
+    w = panes.withColumn("w", F.window("pane", duration, slide))
+    merged = w.groupBy(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "coin_id").agg(*spread)
+    return merged.select(*WINDOW_KEYS, exact.mean("p").alias("avg_price"), F.col("lo").alias("min_price"),
+                         F.col("hi").alias("max_price"), exact.total("v").alias("total_volume"))
+
+
 def null_time_count(df: DataFrame, time_col: str = "timestamp") -> DataFrame:
     """Rows a window aggregate drops because their event time is NULL."""
     return df.agg(F.count(F.when(F.col(time_col).isNull(), 1)).alias("null_time_rows"))

@@ -17,8 +17,7 @@ def _rounded(df: DataFrame, cols, scale: int = 6) -> DataFrame:
 
 def price_window_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A1 + P3: sliding 15/5 minute window aggregate per coin over stored prices."""
-    w = W.windowed(X.prices(spark, sf_dir))
-    return _rounded(w, ["avg_price", "total_volume"])
+    return W.pane_windowed(X.prices(spark, sf_dir))
 
 
 def _event_id_from_key() -> F.Column:
@@ -64,8 +63,7 @@ def encode_price_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def market_avg_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A3: mean changes per coin over stored market rows."""
     from tickflow.operators.market import avg_changes
-    a = avg_changes(X.market_rows(spark, sf_dir))
-    return _rounded(a, ["avg_price_change", "avg_market_cap_change", "avg_volume_change"])
+    return avg_changes(X.market_rows(spark, sf_dir))
 
 
 # The coins the fixture tracks (event types standing in for coin ids).
@@ -170,10 +168,10 @@ def trending_coins(spark: SparkSession, sf_dir: str) -> DataFrame:
 def volume_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Coins ranked by total volume inside each window."""
     from tickflow.operators.extensions import volume_rank as vr
-    return vr(W.windowed(X.prices(spark, sf_dir)))
+    return vr(W.pane_windowed(X.prices(spark, sf_dir)))
 
 
 def market_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Change of each coin's window average from its previous window."""
     from tickflow.operators.extensions import market_trend as mt
-    return mt(W.windowed(X.prices(spark, sf_dir)))
+    return mt(W.pane_windowed(X.prices(spark, sf_dir)))

@@ -37,7 +37,7 @@ def run_batch(spark: SparkSession, prices: DataFrame, market: DataFrame, stream_
     def out(n):
         return f"{out_root}/{n}" if out_root else None
     recs = [
-        timed_write("price_analysis", 0, prices, W.windowed, out("price_windows")),
+        timed_write("price_analysis", 0, prices, W.pane_windowed, out("price_windows")),
         timed_write("market_analysis", 1, market, avg_changes, out("market_averages")),
         timed_write("comparison", 2, prices, lambda p: R.compare_windows(stream_windows, W.windowed(p)),
                     out("comparison")),

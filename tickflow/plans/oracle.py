@@ -24,11 +24,26 @@ BATCH_AGG = """bt AS (
   FROM x GROUP BY ws, coin_id)"""
 
 
+# sums of doubles in units of 2^-72, rounded once: through text, since the
+# engine's own cast of a 128-bit number to double rounds its halves apart
+def exact_sum(x: str, over: str = "") -> str:
+    return f"CAST(CAST(sum(CAST(({x}) * pow(2.0, 72) AS HUGEINT)) {over} AS VARCHAR) AS DOUBLE) / pow(2.0, 72)"
+
+
+def exact_avg(x: str) -> str:
+    return f"{exact_sum(x)} / count({x})"
+
+
+BATCH_EXACT = f"""bt AS (
+  SELECT ws, coin_id, {exact_avg('price_usd')} AS a, min(price_usd) AS mi, max(price_usd) AS ma,
+         {exact_sum('volume_24h')} AS v
+  FROM x GROUP BY ws, coin_id)"""
+
+
 def price_window_agg() -> str:
-    return f"""WITH {PRICES}, {WIN}, {BATCH_AGG}
+    return f"""WITH {PRICES}, {WIN}, {BATCH_EXACT}
 SELECT ws AS window_start, ws + INTERVAL 15 MINUTE AS window_end, coin_id,
-       round(a, 6) + 0.0 AS avg_price, mi AS min_price, ma AS max_price,
-       round(v, 6) + 0.0 AS total_volume
+       a AS avg_price, mi AS min_price, ma AS max_price, v AS total_volume
 FROM bt"""
 
 
@@ -70,9 +85,9 @@ FROM lineitem"""
 
 def market_avg_changes() -> str:
     return f"""SELECT l_returnflag || l_linestatus AS coin_id,
-       {_r('avg(l_discount * 100)', 'avg_price_change')},
-       {_r('avg(l_tax * 100)', 'avg_market_cap_change')},
-       {_r('avg(l_extendedprice)', 'avg_volume_change')}
+       {exact_avg('l_discount * 100')} AS avg_price_change,
+       {exact_avg('l_tax * 100')} AS avg_market_cap_change,
+       {exact_avg('l_extendedprice')} AS avg_volume_change
 FROM lineitem GROUP BY 1"""
 
 
@@ -251,11 +266,11 @@ FROM bt"""
 
 def consistency_summary() -> str:
     return f"""WITH {PRICES}, {STREAM_X}, {STREAM_LOG},
- s AS (SELECT avg(CAST(CAST(a AS DECIMAL(20,8)) AS DOUBLE)) AS sp,
-              avg(CAST(CAST(v AS DECIMAL(20,2)) AS DOUBLE)) AS sv, count(*) AS n FROM st),
- b AS (SELECT avg(price_usd) AS bp, avg(volume_24h) AS bv, count(*) AS n FROM p)
-SELECT round(abs((sp - bp) / bp * 100), 6) + 0.0 AS price_difference_percent,
-       round(abs((sv - bv) / bv * 100), 6) + 0.0 AS volume_difference_percent,
+ s AS (SELECT {exact_avg('CAST(CAST(a AS DECIMAL(20,8)) AS DOUBLE)')} AS sp,
+              {exact_avg('CAST(CAST(v AS DECIMAL(20,2)) AS DOUBLE)')} AS sv, count(*) AS n FROM st),
+ b AS (SELECT {exact_avg('price_usd')} AS bp, {exact_avg('volume_24h')} AS bv, count(*) AS n FROM p)
+SELECT abs((sp - bp) / bp * 100) AS price_difference_percent,
+       abs((sv - bv) / bv * 100) AS volume_difference_percent,
        s.n AS streaming_records, b.n AS batch_records
 FROM s, b"""
 
@@ -266,14 +281,14 @@ SELECT * FROM a ORDER BY avg_price_change DESC, coin_id LIMIT 3"""
 
 
 def volume_rank() -> str:
-    return f"""WITH {PRICES}, {WIN}, {BATCH_AGG}
+    return f"""WITH {PRICES}, {WIN}, {BATCH_EXACT}
 SELECT ws AS window_start, ws + INTERVAL 15 MINUTE AS window_end, coin_id, v AS total_volume,
        CAST(rank() OVER (PARTITION BY ws ORDER BY v DESC) AS INTEGER) AS volume_rank
 FROM bt"""
 
 
 def market_trend() -> str:
-    return f"""WITH {PRICES}, {WIN}, {BATCH_AGG},
+    return f"""WITH {PRICES}, {WIN}, {BATCH_EXACT},
  r AS (SELECT coin_id, ws AS window_start, round(a, 6) + 0.0 AS avg_price FROM bt),
  l AS (SELECT *, lag(avg_price) OVER (PARTITION BY coin_id ORDER BY window_start) AS prev_avg_price FROM r)
 SELECT coin_id, window_start, avg_price, prev_avg_price,
@@ -317,9 +332,9 @@ def compare_stored_latest() -> str:
 
 def consistency_stored() -> str:
     return consistency_summary().replace(
-        "avg(price_usd) AS bp, avg(volume_24h) AS bv",
-        "avg(CAST(CAST(price_usd AS DECIMAL(30,8)) AS DOUBLE)) AS bp, "
-        "avg(CAST(CAST(volume_24h AS DECIMAL(30,2)) AS DOUBLE)) AS bv")
+        f"{exact_avg('price_usd')} AS bp, {exact_avg('volume_24h')} AS bv",
+        f"{exact_avg('CAST(CAST(price_usd AS DECIMAL(30,8)) AS DOUBLE)')} AS bp, "
+        f"{exact_avg('CAST(CAST(volume_24h AS DECIMAL(30,2)) AS DOUBLE)')} AS bv")
 
 
 def _timed(sql: str, mode: str) -> str:

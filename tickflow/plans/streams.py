@@ -169,9 +169,7 @@ def compare_stream_batch_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def consistency_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Global consistency of the update log against raw prices."""
-    c = R.consistency(_windows_log(spark, sf_dir), X.prices(spark, sf_dir))
-    return c.withColumns({d: round_double(F.col(d)) for d in
-                          ("price_difference_percent", "volume_difference_percent")})
+    return R.consistency(_windows_log(spark, sf_dir), X.prices(spark, sf_dir))
 
 
 def stored_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -196,9 +194,7 @@ def compare_stored_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def consistency_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J2 over what was stored on both sides."""
-    c = R.consistency(_windows_log(spark, sf_dir), stored_prices(spark, sf_dir))
-    return c.withColumns({d: round_double(F.col(d)) for d in
-                          ("price_difference_percent", "volume_difference_percent")})
+    return R.consistency(_windows_log(spark, sf_dir), stored_prices(spark, sf_dir))
 
 
 def stream_price_windows_live(spark: SparkSession, sf_dir: str) -> DataFrame:
