@@ -78,6 +78,13 @@ def tracked_coins(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "volume_24h", "timestamp")
 
 
+def tracked_coins_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P9, table form: price rows of the coins in a tracked-coin table."""
+    from tickflow.operators.market import tracked
+    t = tracked(X.prices(spark, sf_dir), X.tracked_coin_table(spark, sf_dir))
+    return t.select("event_id", "coin_id", "price_usd", "volume_24h", "timestamp")
+
+
 TOP_N = 3
 
 

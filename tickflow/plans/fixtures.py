@@ -87,6 +87,24 @@ def replay_chunks(rows: int) -> int:
     return max(REPLAY_CHUNKS, -(-rows // REPLAY_CHUNK_ROWS))
 
 
+def tracked_coin_table(spark: SparkSession, sf_dir: str, second_half: bool = False) -> DataFrame:
+    """The tracked-coin table: coins whose highest price is at least the mean
+    of the coins' highest prices; in the second half of a replay, the others."""
+    peaks = prices(spark, sf_dir).groupBy("coin_id").agg(F.max("price_usd").alias("peak"))
+    limit = F.broadcast(peaks.agg(F.avg("peak").alias("limit")))  # one row
+    above = F.col("peak") >= F.col("limit")
+    return peaks.join(limit, ~above if second_half else above).select("coin_id")
+
+
+def late_order(chunks: int) -> list[int]:
+    """Arrival of the chunks of a feed that is late: of each two neighbours
+    after the first chunk the second arrives before the first."""
+    order = list(range(chunks))
+    for k in range(1, chunks - 1, 2):
+        order[k], order[k + 1] = order[k + 1], order[k]
+    return order
+
+
 def replay_feed(spark: SparkSession, sf_dir: str, part: str) -> tuple[DataFrame, int]:
     """(messages with their ``chunk``, number of chunks) of a feed.
 

@@ -362,6 +362,65 @@ SELECT 'streaming', 'price_windows_watermark', count(DISTINCT (ws, coin_id)), CA
 FROM x WHERE ws + INTERVAL 15 MINUTE <= (SELECT date_trunc('second', max(ts)) FROM events) - INTERVAL 30 MINUTE"""
 
 
+def stream_progress() -> str:
+    return f"""WITH {PRICES}, {STREAM_X},
+ e AS (SELECT b, count(*) + count(*) FILTER (WHERE event_id % 7 = 0) AS n
+       FROM (SELECT event_id, {PLACE} AS b FROM events) GROUP BY b),
+ f AS (SELECT ws, coin_id, min(b) AS b FROM x GROUP BY ws, coin_id)
+SELECT 'raw_prices' AS query, CAST(b AS BIGINT) AS batch_id, n AS input_rows, CAST(0 AS BIGINT) AS state_rows,
+       CAST(0 AS BIGINT) AS late_rows, true AS timed FROM e
+UNION ALL SELECT 'price_windows', b, n, (SELECT count(*) FROM f WHERE f.b <= e.b), 0, true FROM e"""
+
+
+# the late feed: chunks 0, 2, 1, 3 of the order of ids; the watermark that counts for a chunk is
+# half an hour behind the latest second of the chunks that arrived before it
+LATE = f"""q AS (
+  SELECT p.*, date_trunc('second', timestamp) AS sec, CASE {PLACE} WHEN 1 THEN 2 WHEN 2 THEN 1 ELSE {PLACE} END AS b FROM p),
+ wm AS (SELECT c.b, (SELECT max(sec) FROM q WHERE q.b < c.b) - INTERVAL 30 MINUTE AS mark
+        FROM (SELECT DISTINCT b FROM q) c),
+ y AS (SELECT q.*, time_bucket(INTERVAL 5 MINUTE, sec) - k * INTERVAL 5 MINUTE AS ws, wm.mark
+       FROM q JOIN wm ON wm.b = q.b, range(3) r(k) WHERE sec IS NOT NULL)"""
+
+
+def stream_late_dropped() -> str:
+    return f"""WITH {PRICES}, {LATE}
+SELECT CAST(e.b AS BIGINT) AS arrival, e.n AS input_rows,
+       (SELECT count(DISTINCT (ws, coin_id)) FROM y WHERE y.b = e.b AND ws + INTERVAL 15 MINUTE <= mark) AS late_rows
+FROM (SELECT b, count(*) + count(*) FILTER (WHERE event_id % 7 = 0) AS n FROM q GROUP BY b) e"""
+
+
+def stream_late_kept() -> str:
+    return f"""WITH {PRICES}, {LATE}, bt AS (
+  SELECT ws, coin_id, avg(price_usd) AS a, min(price_usd) AS mi, max(price_usd) AS ma, sum(volume_24h) AS v
+  FROM y WHERE mark IS NULL OR ws + INTERVAL 15 MINUTE > mark GROUP BY ws, coin_id)
+SELECT ws AS window_start, ws + INTERVAL 15 MINUTE AS window_end, coin_id, {_stored()}
+FROM bt"""
+
+
+TRACKED_TABLE = """pk AS (SELECT coin_id, max(price_usd) AS peak FROM p GROUP BY coin_id),
+ tr AS (SELECT coin_id, peak >= (SELECT avg(peak) FROM pk) AS high FROM pk)"""
+
+
+def tracked_coins_table() -> str:
+    return f"""WITH {PRICES}, {TRACKED_TABLE}
+SELECT event_id, coin_id, price_usd, volume_24h, timestamp
+FROM p WHERE coin_id IN (SELECT coin_id FROM tr WHERE high)"""
+
+
+def stream_tracked() -> str:
+    return f"""WITH {PRICES}, {TRACKED_TABLE}, {LATE}
+SELECT event_id, q.coin_id, {_dec('price_usd', 30, 8, 'price_usd')}, sec AS timestamp, CAST(b AS BIGINT) AS batch_id
+FROM q JOIN tr ON tr.coin_id = q.coin_id AND tr.high = (b < 2)"""
+
+
+def stream_open_windows() -> str:
+    return f"""WITH {PRICES}, {WIN}, {BATCH_AGG}
+SELECT ws AS window_start, ws + INTERVAL 15 MINUTE AS window_end, coin_id, {_r('a', 'avg_price')},
+       mi AS min_price, ma AS max_price, {_r('v', 'total_volume')}
+FROM bt
+WHERE ws + INTERVAL 15 MINUTE > (SELECT date_trunc('second', max(ts)) FROM events) - INTERVAL 30 MINUTE"""
+
+
 def batch_metrics() -> str:
     return _timed("""SELECT 'price_analysis' AS query, 0 AS seq, count(*) AS rows, 0 AS error_count FROM events
 UNION ALL SELECT 'market_analysis', 1, count(*), 0 FROM lineitem
@@ -377,10 +436,14 @@ def all_sql() -> dict[str, str]:
              "compare_stream_batch_latest", "consistency_summary", "trending_coins", "volume_rank", "market_trend",
              "flatten_simple_price_rejects", "flatten_markets_rejects", "metrics_nested_rejects",
              "metrics_series_null_mode", "compare_stored_log", "compare_stored_latest", "consistency_stored",
-             "stream_metrics", "stream_metrics_watermark", "batch_metrics"]
+             "stream_metrics", "stream_metrics_watermark", "batch_metrics", "stream_progress", "stream_late_dropped",
+             "stream_late_kept", "tracked_coins_table", "stream_tracked", "stream_open_windows"]
     g = globals()
     out = {n: g[n]() for n in names}
     # the compacted latest view must equal the full one
+    # neither late arrival nor caps on a micro-batch change what is stored in the end
+    out["stream_late_windows"] = out["stream_price_windows_capped"] = out["stream_price_windows_latest"]
+    out["stream_raw_prices_capped"] = out["stream_raw_prices"]
     out["stream_price_windows_live"] = out["stream_price_windows_latest"]
     out["stream_price_windows_latest_compacted"] = out["stream_price_windows_latest"]
     return out

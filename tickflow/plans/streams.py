@@ -1,17 +1,16 @@
-"""Queries over the streaming replay.
+"""Queries over the streaming replays.
 
-Two independent replays per session and table folder: the price replay
-runs raw prices, the window update log and the watermarked window log over
-the price messages derived from ``events``; the market replay runs the
-market stream over messages derived from ``lineitem``.  The registered
-queries read what those queries wrote.
+Independent replays per session and table folder, each run when a query
+first needs it (``run_replay``): prices and market in order, prices out of
+time order, prices through capped sources.  The registered queries read what
+the streaming queries wrote, their progress log and their state.
 """
 
 from __future__ import annotations
 
 import threading
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickflow.functions.arith import round_double
@@ -20,8 +19,9 @@ from tickflow.operators.metrics import load_metrics
 from tickflow.operators import windows as W
 from tickflow.plans import fixtures as X
 from tickflow.schemas import MARKET_TABLE, RAW_PRICES_TABLE, WINDOWS_TABLE
-from tickflow.session import scratch_path
+from tickflow.session import scratch_path, table_version
 from tickflow.streaming import queries as P
+from tickflow.streaming.progress import ProgressLog, read_progress
 from tickflow.streaming.replay import replay
 from tickflow.streaming.sinks import read_sink
 from tickflow.streaming.sources import message_stream
@@ -34,49 +34,124 @@ _LOCKS: dict = {}
 _GUARD = threading.Lock()
 
 
+def _table_of(part: str) -> str:
+    return "lineitem" if part == "market" else "events"
+
+
 def run_replay(spark: SparkSession, sf_dir: str, part: str = "prices") -> dict[str, str]:
-    """Replays one feed once per (application, sf_dir, part); returns sink paths.
+    """Replays one feed once per (application, state of its table, part);
+    returns the paths of what its queries wrote.
 
     ``prices`` runs raw prices, the window update log, the watermarked window
     log and the live windows (update mode with a watermark) over the price
-    messages; ``market`` runs the market stream.
-    The two replays are independent, so a query waits only for its own feed.
+    messages; ``market`` runs the market stream; ``late`` runs windows without
+    and with a watermark and the tracked coins over price chunks that arrive
+    out of time order; ``capped`` reads all price messages at once through
+    sources that admit a bounded part of them to each micro-batch.
+    The replays are independent, so a query waits only for its own feed.
     """
     sf_dir = sf_dir.rstrip("/")
-    key = (spark.sparkContext.applicationId, sf_dir, part)
+    if part not in REPLAYS:
+        raise ValueError(f"unknown part {part!r}")
+    version = table_version(spark, f"{sf_dir}/{_table_of(part)}.parquet")
+    key = (spark.sparkContext.applicationId, sf_dir, part, version)
     with _GUARD:
         lock = _LOCKS.setdefault(key, threading.Lock())
     with lock:
-        if key in _RUNS:
-            return _RUNS[key]
-        if part not in ("prices", "market"):
-            raise ValueError(f"unknown part {part!r}")
-        root = scratch_path(spark, f"replay-{part}")
-        names = ("raw", "windows", "windows_wm", "windows_live") if part == "prices" else ("market",)
-        paths = {n: f"{root}/{n}" for n in (*names, "metrics", "inbox", "staged", "ckpt")}
-        once = {"availableNow": True}
-        ck, metrics = paths["ckpt"], paths["metrics"]
-        # one scan of the table stages all chunks; each is then appended from its own folder
-        messages, chunks = X.replay_feed(spark, sf_dir, part)
-        messages.write.partitionBy("chunk").parquet(paths["staged"])
-        staged = spark.read.schema(messages.schema).parquet(paths["staged"])
-
-        def feed(k):
-            return staged.filter(F.col("chunk") == k).drop("chunk")
-
-        def start():
-            src = message_stream(spark, "parquet", paths["inbox"])
-            if part == "market":
-                return [P.start_market_metrics(src, paths["market"], f"{ck}/market", once, metrics)]
-            return [P.start_raw_prices(src, paths["raw"], f"{ck}/raw", once, metrics),
-                    P.start_window_log(src, paths["windows"], f"{ck}/windows", once, metrics),
-                    P.start_window_log(src, paths["windows_wm"], f"{ck}/windows_wm", once, metrics,
-                                       watermark=WATERMARK, name="price_windows_watermark"),
-                    P.start_window_log(src, paths["windows_live"], f"{ck}/windows_live", once, metrics,
-                                       watermark=WATERMARK, name="price_windows_live", output_mode="update")]
-        replay(spark, [(feed, paths["inbox"])], chunks, start)
-        _RUNS[key] = paths
-        return paths
+        if key not in _RUNS:
+            root = scratch_path(spark, f"replay-{part}")
+            _RUNS[key] = REPLAYS[part](spark, sf_dir, root)
+        return _RUNS[key]
+
+
+ONCE = {"availableNow": True}
+
+
+def _paths(root: str, *names: str) -> dict[str, str]:
+    return {n: f"{root}/{n}" for n in (*names, "metrics", "progress", "inbox", "staged", "ckpt")}
+
+
+def _staged(spark: SparkSession, sf_dir: str, feed: str, paths: dict[str, str]) -> int:
+    """Writes all messages of a feed by chunk, in one scan; returns the number of chunks."""
+    messages, chunks = X.replay_feed(spark, sf_dir, feed)
+    messages.write.partitionBy("chunk").parquet(paths["staged"])
+    return chunks
+
+
+def _replay_logged(spark: SparkSession, paths: dict[str, str], order: list[int], start) -> None:
+    """Moves staged chunks to the inbox in ``order``, one replay step each, with every
+    query's progress logged."""
+    with ProgressLog(spark, paths["progress"]) as log:
+        replay(spark, [(lambda k: f"{paths['staged']}/chunk={order[k]}", paths["inbox"])], len(order), start, log.wait)
+
+
+def _replay_prices(spark: SparkSession, sf_dir: str, root: str) -> dict[str, str]:
+    paths = _paths(root, "raw", "windows", "windows_wm", "windows_live")
+    ck, metrics = paths["ckpt"], paths["metrics"]
+
+    def start():
+        src = message_stream(spark, "parquet", paths["inbox"])
+        return [P.start_raw_prices(src, paths["raw"], f"{ck}/raw", ONCE, metrics),
+                P.start_window_log(src, paths["windows"], f"{ck}/windows", ONCE, metrics),
+                P.start_window_log(src, paths["windows_wm"], f"{ck}/windows_wm", ONCE, metrics,
+                                   watermark=WATERMARK, name="price_windows_watermark"),
+                P.start_window_log(src, paths["windows_live"], f"{ck}/windows_live", ONCE, metrics,
+                                   watermark=WATERMARK, name="price_windows_live", output_mode="update")]
+    _replay_logged(spark, paths, list(range(_staged(spark, sf_dir, "prices", paths))), start)
+    return paths
+
+
+def _replay_market(spark: SparkSession, sf_dir: str, root: str) -> dict[str, str]:
+    paths = _paths(root, "market")
+
+    def start():
+        src = message_stream(spark, "parquet", paths["inbox"])
+        return [P.start_market_metrics(src, paths["market"], f"{paths['ckpt']}/market", ONCE, paths["metrics"])]
+    _replay_logged(spark, paths, list(range(_staged(spark, sf_dir, "market", paths))), start)
+    return paths
+
+
+def _replay_late(spark: SparkSession, sf_dir: str, root: str) -> dict[str, str]:
+    paths = _paths(root, "windows_late", "windows_late_wm", "tracked", "coins")
+    ck, metrics = paths["ckpt"], paths["metrics"]
+    order = X.late_order(_staged(spark, sf_dir, "prices", paths))
+    done = iter(range(len(order)))
+
+    def start():
+        # the tracked coins change before the second half of the micro-batches
+        half = next(done) >= len(order) // 2
+        X.tracked_coin_table(spark, sf_dir, half).write.mode("overwrite").parquet(paths["coins"])
+        src = message_stream(spark, "parquet", paths["inbox"])
+        return [P.start_window_log(src, paths["windows_late"], f"{ck}/windows_late", ONCE, metrics, name="late_windows"),
+                P.start_window_log(src, paths["windows_late_wm"], f"{ck}/windows_late_wm", ONCE, metrics,
+                                   watermark=WATERMARK, name="late_windows_watermark", output_mode="update"),
+                P.start_tracked_prices(src, lambda: spark.read.parquet(paths["coins"]), paths["tracked"],
+                                       f"{ck}/tracked", ONCE, metrics)]
+    _replay_logged(spark, paths, order, start)
+    return paths
+
+
+# Caps of the admission-controlled streams: files, and bytes, of a micro-batch.
+CAP_FILES, CAP_PARTS = 3, 4
+
+
+def _replay_capped(spark: SparkSession, sf_dir: str, root: str) -> dict[str, str]:
+    paths = _paths(root, "raw", "windows")
+    X.price_messages(spark, sf_dir).repartition(CAP_FILES * CAP_PARTS).write.parquet(paths["inbox"])
+    most = max(1, int(table_version(spark, paths["inbox"]).split("-")[1]) // CAP_PARTS)
+    ck = paths["ckpt"]
+    with ProgressLog(spark, paths["progress"]) as log:
+        files = message_stream(spark, "parquet", paths["inbox"], max_files_per_trigger=CAP_FILES)
+        sized = message_stream(spark, "parquet", paths["inbox"], maxBytesPerTrigger=most)
+        qs = [P.start_raw_prices(files, paths["raw"], f"{ck}/raw", ONCE, paths["metrics"], name="raw_prices_capped"),
+              P.start_window_log(sized, paths["windows"], f"{ck}/windows", ONCE, paths["metrics"],
+                                 name="price_windows_capped")]
+        P.await_all(spark, qs)
+        log.wait(qs)
+    return paths
+
+
+REPLAYS = {"prices": _replay_prices, "market": _replay_market, "late": _replay_late, "capped": _replay_capped}
 
 
 def run_replays(spark: SparkSession, sf_dir: str, parts=("prices", "market")) -> dict[str, dict[str, str]]:
@@ -256,3 +331,65 @@ def stream_price_windows_latest_compacted(spark: SparkSession, sf_dir: str) -> D
     P.compact_latest(log.filter(F.col("batch_id") <= 1), path)
     latest = P.latest_windows(log, spark.read.parquet(path))
     return _doubles(latest, W.WINDOW_VALUES)
+
+
+def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The complete progress log of the price replay's queries that have
+    no watermark: input rows and rows in state of every micro-batch."""
+    log = read_progress(spark, run_replay(spark, sf_dir)["progress"])
+    return (log.filter(F.col("query").isin("raw_prices", "price_windows") & (F.col("input_rows") > 0))
+            .select("query", "batch_id", "input_rows", "state_rows", "late_rows", (F.col("trigger_ms") >= 0).alias("timed")))
+
+
+def stream_late_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latest windows of a feed out of time order, without a watermark:
+    every late row is in."""
+    log = _log(spark, run_replay(spark, sf_dir, "late"), "windows_late").drop("is_reject")
+    return _doubles(P.latest_windows(log), W.WINDOW_VALUES)
+
+
+def stream_late_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per arriving chunk of that feed, its rows and the late windows
+    of them that the watermark dropped, from the state operator's own count."""
+    log = read_progress(spark, run_replay(spark, sf_dir, "late")["progress"])
+    log = log.filter((F.col("query") == "late_windows_watermark") & (F.col("input_rows") > 0))
+    # micro-batches without input depend on the engine: those with input are numbered anew
+    arrival = F.row_number().over(Window.orderBy("batch_id")) - 1
+    return log.select(arrival.cast("long").alias("arrival"), "input_rows", "late_rows")
+
+
+def stream_late_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latest windows of that feed with a watermark: without the rows
+    that came after their window had closed."""
+    log = _log(spark, run_replay(spark, sf_dir, "late"), "windows_late_wm").drop("is_reject")
+    return _doubles(P.latest_windows(log), W.WINDOW_VALUES)
+
+
+def stream_tracked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P9 in the stream: rows of the coins tracked when their micro-batch ran."""
+    schema = RAW_PRICES_TABLE
+    rows = read_sink(spark, run_replay(spark, sf_dir, "late")["tracked"], schema)
+    return _doubles(rows.select(F.col("key").cast("string").cast("long").alias("event_id"), "coin_id", "price_usd",
+                                "timestamp", "batch_id"), ["price_usd"])
+
+
+def stream_open_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows still in the live query's state after its last restart,
+    read from the checkpoint."""
+    w = P.open_windows(spark, f"{run_replay(spark, sf_dir)['ckpt']}/windows_live")
+    return w.withColumns({c: round_double(F.col(c)) for c in ("avg_price", "total_volume")})
+
+
+def stream_raw_prices_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the raw stream stores when a micro-batch may read
+    CAP_FILES files only."""
+    raw = _log(spark, run_replay(spark, sf_dir, "capped"), "raw").filter(~F.col("is_reject"))
+    return _doubles(raw.select(F.col("key").cast("string").cast("long").alias("event_id"), "coin_id",
+                               "price_usd", "market_cap", "volume_24h", "timestamp"),
+                    ["price_usd", "market_cap", "volume_24h"])
+
+
+def stream_price_windows_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latest windows when a micro-batch may read a CAP_PARTS-th of the bytes."""
+    log = _log(spark, run_replay(spark, sf_dir, "capped"), "windows").drop("is_reject")
+    return _doubles(P.latest_windows(log), W.WINDOW_VALUES)

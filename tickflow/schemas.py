@@ -94,3 +94,18 @@ NESTED_MODE = T.StructType([
 NESTED_METRICS = T.MapType(T.StringType(), NESTED_MODE)
 
 MODES = ("streaming", "batch")
+
+# The fields of a streaming query's progress that the progress log is read by
+# (names as the engine writes them).
+PROGRESS_ENTRY = T.StructType([
+    T.StructField("name", T.StringType()),
+    T.StructField("runId", T.StringType()),
+    T.StructField("batchId", T.LongType()),
+    T.StructField("timestamp", T.StringType()),
+    T.StructField("numInputRows", T.LongType()),
+    T.StructField("durationMs", T.StructType([T.StructField("triggerExecution", T.LongType())])),
+    T.StructField("eventTime", T.StructType([T.StructField("watermark", T.StringType())])),
+    T.StructField("stateOperators", T.ArrayType(T.StructType([
+        T.StructField("numRowsTotal", T.LongType()), T.StructField("numRowsUpdated", T.LongType()),
+        T.StructField("numRowsDroppedByWatermark", T.LongType())]))),
+])

@@ -73,3 +73,39 @@ def drop_scratch(spark: SparkSession, path: str | None = None) -> None:
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(target)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def _file_system(spark: SparkSession, path: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def move_files(spark: SparkSession, source: str, target: str) -> None:
+    """Moves the data files of the written folder ``source`` into ``target``
+    (made if missing): renames inside one file system, no data is copied.  A
+    missing ``source`` (a part without rows) moves nothing."""
+    here, fs = _file_system(spark, source)
+    there, _ = _file_system(spark, target)
+    fs.mkdirs(there)
+    if not fs.exists(here):
+        return
+    # partitions of one write hold files of equal names: the folder's name sets them apart
+    folder = here.getName().replace("=", "-")
+    for f in fs.listStatus(here):
+        name = f.getPath().getName()
+        if f.isFile() and not name.startswith(("_", ".")) and not fs.rename(
+                f.getPath(), there.suffix(f"/{folder}-{name}")):
+            raise OSError(f"could not move {f.getPath()} to {target}")
+
+
+def table_version(spark: SparkSession, path: str) -> str:
+    """A text that changes when the files of a table change: number, bytes and
+    latest modification of all of them."""
+    here, fs = _file_system(spark, path)
+    if not fs.exists(here):
+        return "none"
+    files, count, size, latest = fs.listFiles(here, True), 0, 0, 0
+    while files.hasNext():
+        f = files.next()
+        count, size, latest = count + 1, size + f.getLen(), max(latest, f.getModificationTime())
+    return f"{count}-{size}-{latest}"

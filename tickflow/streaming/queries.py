@@ -3,14 +3,19 @@ metrics (K3), each a ``foreachBatch`` query with its own checkpoint."""
 
 from __future__ import annotations
 
+import time
 import warnings
+from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tickflow.functions import messages as M
 from tickflow.functions.timecols import as_instant, as_wallclock, ingest_ms
+from tickflow.operators.market import tracked
 from tickflow.operators.typed_sink import to_sink_types
 from tickflow.operators.windows import WINDOW_KEYS, WINDOW_VALUES, flatten_window, window_aggregates
 from tickflow.schemas import (MARKET_MESSAGE, MARKET_SINK_DECIMALS, PRICE_MESSAGE,
@@ -147,24 +152,113 @@ def compact_latest(log: DataFrame, out_path: str, compacted: DataFrame | None =
     _latest_rows(_since(log, compacted)).write.mode("overwrite").parquet(out_path)
 
 
-def await_all(spark: SparkSession, queries: list[StreamingQuery], timeout_s: float | None = None) -> None:
-    """Wait until every query ends; the first failure stops the rest and is raised."""
-    from pyspark.errors import StreamingQueryException
+def open_windows(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The windows a query of :func:`start_window_log` still holds in its
+    state, read from its checkpoint: flat bounds (UTC wall clock), coin and
+    the values so far.  The query need not run."""
+    s = spark.read.format("statestore").load(checkpoint)
+    # key and buffers have names of the engine's: taken by position, in the order of the aggregates
+    s = _by_position(s, "key", ["window", "coin_id"])
+    s = _by_position(s, "value", ["price_sum", "price_count", *WINDOW_VALUES[1:]])
+    bounds = {b: F.col(f"window.{b}") for b in ("start", "end")}
+    if s.schema["window"].dataType["start"].dataType.typeName() == "timestamp":
+        bounds = {b: as_wallclock(c) for b, c in bounds.items()}
+    return s.select(bounds["start"].alias("window_start"), bounds["end"].alias("window_end"), "coin_id",
+                    F.try_divide("price_sum", "price_count").alias("avg_price"), *WINDOW_VALUES[1:])
+
+
+def _by_position(df: DataFrame, struct: str, names: list[str]) -> DataFrame:
+    """The fields of a struct column as columns of these names."""
+    fields = df.schema[struct].dataType.fields
+    if len(fields) != len(names):
+        raise ValueError(f"{struct} has {len(fields)} fields, not {names}")
+    named = T.StructType([T.StructField(n, f.dataType) for n, f in zip(names, fields)])
+    return df.withColumn(struct, F.col(struct).cast(named)).select("*", f"{struct}.*").drop(struct)
+
+
+def start_tracked_prices(messages: DataFrame, coins: Callable[[], DataFrame], sink_path: str, checkpoint: str,
+                         trigger: dict | None = None, metrics_path: str | None = None,
+                         name: str = "tracked_prices") -> StreamingQuery:
+    """Price rows of the coins tracked at the time of their micro-batch.
+
+    ``coins`` gives the tracked-coin table and is called for every
+    micro-batch, so a table that changes between batches counts from the next
+    one on; ``market.tracked`` decides whether it is small enough to broadcast."""
+    rows = _typed_rows(messages, PRICE_MESSAGE, PRICE_SINK_DECIMALS)
+    sink = MeteredSink(name, lambda df: tracked(df, coins()), lambda df, b: write_batch_partition(df, b, sink_path),
+                       metrics_path, reject_col="is_reject")
+    return _start(rows, sink, checkpoint, name, trigger or PRICE_TRIGGER, "append")
+
+
+# Seconds between two looks at a query.
+POLL_S = 0.2
+
+
+def _ended(q: StreamingQuery, wait_s: float) -> bool:
+    """Whether ``q`` ends within ``wait_s``; its failure is read from it, not raised."""
+    try:
+        return bool(q.awaitTermination(max(wait_s, 0.001)))
+    except StreamingQueryException:
+        return True
+
+
+def await_all(spark: SparkSession, queries: list[StreamingQuery], timeout_s: float | None = None) -> bool:
+    """Wait until every query ends; the first failure stops the rest and is
+    raised.  False when ``timeout_s`` seconds passed first (the queries run on).
+
+    Each query is waited for by itself, so several callers may wait at once."""
+    deadline = None if timeout_s is None else time.monotonic() + timeout_s
     pending = list(queries)
     while pending:
-        try:
-            if timeout_s:
-                spark.streams.awaitAnyTermination(int(timeout_s))
-            else:
-                spark.streams.awaitAnyTermination()
-        except StreamingQueryException:
-            pass  # the failed query is found and reported below
-        spark.streams.resetTerminated()
         for q in list(pending):
-            if not q.isActive:
-                pending.remove(q)
-                err = q.exception()
-                if err is not None:
-                    for other in pending:
-                        other.stop()
-                    raise RuntimeError(f"streaming query {q.name} failed: {err}")
+            left = POLL_S / len(pending) if deadline is None else min(POLL_S / len(pending), deadline - time.monotonic())
+            if not _ended(q, left) and q.isActive:
+                continue
+            pending.remove(q)
+            err = q.exception()
+            if err is not None:
+                for other in pending:
+                    other.stop()
+                raise RuntimeError(f"streaming query {q.name} failed: {err}")
+        if pending and deadline is not None and time.monotonic() >= deadline:
+            return False
+    return True
+
+
+def supervise(starts: list[Callable[[], StreamingQuery]], restarts: int = 3,
+              timeout_s: float | None = None) -> list[StreamingQuery]:
+    """Runs the queries that ``starts`` start and starts a failed one again,
+    from its checkpoint, up to ``restarts`` times each; beyond that the others
+    are stopped and its failure is raised.
+
+    Returns when all have ended, or after ``timeout_s`` seconds, when those
+    still running are stopped after the micro-batch they are in.  The
+    returned list holds each query's last run."""
+    deadline = None if timeout_s is None else time.monotonic() + timeout_s
+    runs = [start() for start in starts]
+    failed, live = [0] * len(runs), set(range(len(runs)))
+    try:
+        while live and (deadline is None or time.monotonic() < deadline):
+            for k in sorted(live):
+                if not _ended(runs[k], POLL_S / len(live)) and runs[k].isActive:
+                    continue
+                err = runs[k].exception()
+                if err is None:
+                    live.discard(k)
+                    continue
+                failed[k] += 1
+                if failed[k] > restarts:
+                    raise RuntimeError(f"streaming query {runs[k].name} failed {failed[k]} times: {err}")
+                runs[k] = starts[k]()
+    finally:
+        for k in live:
+            _stop_between_batches(runs[k])
+    return runs
+
+
+def _stop_between_batches(q: StreamingQuery, wait_s: float = 60) -> None:
+    """Stops ``q`` once it is not inside a micro-batch, or after ``wait_s``."""
+    until = time.monotonic() + wait_s
+    while q.isActive and q.status["isTriggerActive"] and time.monotonic() < until:
+        time.sleep(0.05)
+    q.stop()

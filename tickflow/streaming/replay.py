@@ -14,18 +14,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from tickflow.session import move_files
+
 from tickflow.streaming.queries import await_all
 
 
-def replay(spark: SparkSession, feeds: list[tuple[Callable[[int], DataFrame], str]], n_chunks: int,
+def replay(spark: SparkSession, feeds: list[tuple[Callable[[int], DataFrame | str], str]], n_chunks: int,
            start: Callable[[], list[StreamingQuery]],
            on_batch: Callable[[list[StreamingQuery]], None] | None = None) -> None:
-    """For k in 0..n_chunks-1: append ``chunk(k)`` of every feed to its inbox
-    (one distributed write each), then run ``start()``'s queries (built with
-    ``trigger(availableNow=True)``) to completion."""
+    """For k in 0..n_chunks-1: append ``chunk(k)`` of every feed to its inbox,
+    then run ``start()``'s queries (built with ``trigger(availableNow=True)``)
+    to completion.  A chunk is a frame (one distributed write) or the path of
+    a written folder, whose files are moved into the inbox."""
     for k in range(n_chunks):
         for chunk, inbox in feeds:
-            chunk(k).write.mode("append").parquet(inbox)
+            part = chunk(k)
+            if isinstance(part, str):
+                move_files(spark, part, inbox)
+            else:
+                part.write.mode("append").parquet(inbox)
         qs = start()
         await_all(spark, qs)
         if on_batch:
