@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickflow.functions.arith import round_double
-from tickflow.session import scratch_path
+from tickflow.session import temporary_scratch
 
 
 def trending(avg_changes: DataFrame, k: int = 3) -> DataFrame:
@@ -40,8 +40,9 @@ def previous_value(df: DataFrame, key: str, order_col: str, value_col: str, prev
     d = d.withColumn("_prev", F.lag(value_col).over(inner)) \
          .withColumn("_n", F.row_number().over(inner))
     # both branches below read ``d``: it is written once to the shared scratch
-    # folder, or each branch would rescan and re-aggregate the input
-    path = scratch_path(d.sparkSession, "previous")
+    # folder, or each branch would rescan and re-aggregate the input; the copy
+    # goes when the application ends
+    path = temporary_scratch(d.sparkSession, "previous")
     d.write.parquet(path)
     d = d.sparkSession.read.schema(d.schema).parquet(path)
     last = d.groupBy(key, "_b").agg(F.max_by(value_col, "_n").alias("_last"))

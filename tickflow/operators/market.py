@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickflow.functions import exact
+from tickflow.operators.windows import require_columns
 
 # The coins the publisher tracks by default.
 TRACKED_COINS = ["bitcoin", "ethereum", "binancecoin", "ripple", "cardano", "solana", "polkadot", "dogecoin"]
@@ -22,6 +23,7 @@ def avg_changes(df: DataFrame) -> DataFrame:
     """Per coin: mean price, market-cap and volume change.  Partial aggregation
     runs before the shuffle, so a coin holding most rows costs one partial row
     per task, not a hot reducer.  Sums are exact, whatever the partitioning."""
+    require_columns(df, "coin_id", *CHANGES)
     d = exact.split(df.select("coin_id", *CHANGES), **{c: F.col(c) for c in CHANGES})
     g = d.groupBy("coin_id").agg(*exact.sums(*CHANGES))
     return g.select("coin_id", *[exact.mean(c).alias(name) for c, name in CHANGES.items()])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tickflow.functions.arith import throughput
 from tickflow.operators.ordinal import ordinal
-from tickflow.schemas import METRICS_RECORD, MODES, NESTED_METRICS
+from tickflow.schemas import METRICS_RECORD, MODES, NESTED_MODE
 
 
 def load_metrics(spark: SparkSession, path: str | None, fmt: str = "parquet") -> DataFrame:
@@ -44,12 +44,17 @@ def report(metrics: DataFrame) -> DataFrame:
                         for c in ("avg_cpu_usage", "avg_memory_usage")])
 
 
+def _parsed(docs: DataFrame, doc_col: str, keep: tuple[str, ...]) -> DataFrame:
+    """Each document parsed once, as a VARIANT ``v``: NULL where it is no JSON."""
+    return docs.select(*keep, F.col(doc_col).alias("raw"),
+                       F.inline(F.array(F.struct(F.try_parse_json(F.col(doc_col)).alias("v")))))
+
+
 def nested_rejects(docs: DataFrame, doc_col: str = "document", keep: tuple[str, ...] = ()) -> DataFrame:
     """Documents that :func:`import_nested` gives no record for because they
-    do not parse (or are NULL)."""
-    d = docs.select(*keep, F.col(doc_col).alias("raw"),
-                    F.inline(F.array(F.struct(F.from_json(F.col(doc_col), NESTED_METRICS).alias("m")))))
-    return d.filter(F.col("m").isNull()).select(*keep, "raw")
+    are no JSON object (or are NULL)."""
+    kind = F.coalesce(F.schema_of_variant("v"), F.lit(""))
+    return _parsed(docs, doc_col, keep).filter(~kind.startswith("OBJECT")).select(*keep, "raw")
 
 
 SERIES_ORDER = ["seq", "latency", "throughput", "cpu_percent", "memory_percent"]
@@ -65,14 +70,23 @@ def series(metrics: DataFrame) -> DataFrame:
     return ordinal(s, ["mode"], SERIES_ORDER, name="idx").drop("seq")
 
 
+# The parallel lists of a mode and the types their entries are read as.
+NESTED_LISTS = {f.name: f.dataType.simpleString() for f in NESTED_MODE.fields}
+
+
 def import_nested(docs: DataFrame, doc_col: str = "document", keep: tuple[str, ...] = ()) -> DataFrame:
     """Nested metrics documents (mode -> parallel lists) to flat records, one
-    per list position; works per document, so any number of documents."""
-    m = docs.select(*keep, F.explode(F.from_json(F.col(doc_col), NESTED_METRICS)).alias("mode", "_l"))
-    z = m.select(*keep, "mode", F.posexplode(F.arrays_zip(
-        F.col("_l.latency").alias("latency"), F.col("_l.throughput").alias("throughput"),
-        F.col("_l.errors").alias("errors"), F.col("_l.resource_usage").alias("resource_usage"),
-        F.col("_l.data_points").alias("data_points"))).alias("pos", "_r"))
+    per list position; works per document, so any number of documents.
+
+    A document is parsed once, to a VARIANT that is exploded by mode.  Lists of
+    unequal length give a record for every position of the longest, NULL where a list
+    has ended; a list that is missing or has an entry of another type counts as
+    empty."""
+    spark = docs.sparkSession
+    m = _parsed(docs, doc_col, keep).filter(F.schema_of_variant("v").startswith("OBJECT"))
+    m = m.lateralJoin(spark.tvf.variant_explode(F.col("v").outer()))
+    lists = [F.coalesce(F.try_variant_get("value", f"$.{n}", t), F.array().cast(t)).alias(n) for n, t in NESTED_LISTS.items()]
+    z = m.select(*keep, F.col("key").alias("mode"), F.posexplode(F.arrays_zip(*lists)).alias("pos", "_r"))
     return z.select(
         *keep, "mode", F.col("pos").cast("long").alias("pos"),
         F.coalesce(F.col("_r.data_points.batch_size"), F.col("_r.data_points.total_records")).alias("rows"),

@@ -138,6 +138,21 @@ def sink_typed_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "timestamp", "is_reject")
 
 
+def sink_overflow_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K7: rows with values beyond their DECIMAL type are kept as rejects."""
+    from tickflow.operators.typed_sink import to_sink_types
+    from tickflow.schemas import PRICE_SINK_DECIMALS
+    t = to_sink_types(X.overflowing_prices(spark, sf_dir), PRICE_SINK_DECIMALS)
+    return t.select("event_id", "coin_id", *[F.col(c).cast("double").alias(c) for c in PRICE_SINK_DECIMALS], "is_reject")
+
+
+def price_windows_by_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows by the time rows arrived instead of their event time."""
+    from tickflow.functions.timecols import arrival_time
+    p = X.prices_by_arrival(spark, sf_dir).withColumn("arrived", arrival_time())
+    return W.pane_windowed(p, time_col="arrived")
+
+
 def metrics_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A6 + F7: report per processing mode over the metrics log."""
     from tickflow.operators.metrics import report

@@ -11,7 +11,8 @@ QUERIES = {
         "market_avg_changes", "tracked_coins", "top_market_cap", "flatten_simple_price", "flatten_markets",
         "flatten_simple_price_rejects", "flatten_markets_rejects", "metrics_nested_rejects", "metrics_series_null_mode",
         "sink_typed_prices", "metrics_report", "metrics_series", "metrics_nested_import",
-        "trending_coins", "volume_rank", "market_trend", "tracked_coins_table")
+        "trending_coins", "volume_rank", "market_trend", "tracked_coins_table",
+        "sink_overflow_prices", "price_windows_by_arrival")
 }
 QUERIES.update({
     name: getattr(streams, name) for name in (
@@ -21,7 +22,7 @@ QUERIES.update({
         "compare_stored_log", "compare_stored_latest", "consistency_stored", "stream_price_windows_live",
         "stream_metrics_watermark", "stream_price_windows_latest_compacted", "stream_progress", "stream_late_windows",
         "stream_late_dropped", "stream_late_kept", "stream_tracked", "stream_open_windows", "stream_raw_prices_capped",
-        "stream_price_windows_capped")
+        "stream_price_windows_capped", "compare_bucketed", "batch_report", "batch_consistency", "batch_metrics_failed")
 })
 
 

@@ -16,7 +16,7 @@ from tickflow.functions import messages as M
 from tickflow.functions.arith import throughput
 from tickflow.operators.ordinal import ordinal
 from tickflow.schemas import MODES
-from tickflow.sources.tables import driver_table
+from tickflow.sources.tables import driver_table, spread
 
 # Fixed values of the mapping.
 REJECT_EVERY = 7          # every 7th event also yields one malformed message
@@ -51,6 +51,24 @@ def market_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def prices_by_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prices with the stamp (epoch ms) of their arrival, up to half an hour
+    after their event."""
+    from tickflow.functions.timecols import ts_to_epoch_ms
+    late = F.pmod(F.col("event_id") * 7, F.lit(1800)) * 1000
+    return prices(spark, sf_dir).withColumn("ingest_ms", ts_to_epoch_ms("timestamp") + late)
+
+
+# Every such event has a price that no stored column holds.
+OVERFLOW_EVERY, OVERFLOW_BY = 13, 1e25
+
+
+def overflowing_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prices of which every OVERFLOW_EVERY-th is too large for its column (unless it is 0)."""
+    big = F.when(F.col("event_id") % OVERFLOW_EVERY == 0, F.col("price_usd") * OVERFLOW_BY).otherwise(F.col("price_usd"))
+    return prices(spark, sf_dir).withColumn("price_usd", big)
+
+
 PRICE_FIELDS = ["coin_id", "price_usd", "market_cap", "volume_24h", "timestamp"]
 MARKET_FIELDS = ["coin_id", "price_change_24h", "market_cap_change_24h", "volume_change_24h", "timestamp"]
 
@@ -162,7 +180,8 @@ def simple_price_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 def markets_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Array-of-objects market payloads, one per lineitem row, of two objects
     made from its columns: the second swaps the two flags and the two rates."""
-    li = driver_table(spark, sf_dir, "lineitem")
+    li = spread(driver_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_discount", "l_tax", "l_extendedprice"))
 
     def item(first, second, price, cap):
         return F.struct(F.concat(first, second).alias("id"), F.col(price).alias("price_change_percentage_24h"),
@@ -190,7 +209,7 @@ def nested_metrics_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     the metrics log: the record's mode holds the record and its repeat with
     twice the rows; the other mode holds the record where its error count is
     1, and is empty otherwise."""
-    r = metrics_records(spark, sf_dir)
+    r = spread(metrics_records(spark, sf_dir))
 
     def entry(times):
         rows = F.col("rows") * times

@@ -427,6 +427,35 @@ UNION ALL SELECT 'market_analysis', 1, count(*), 0 FROM lineitem
 UNION ALL SELECT 'comparison', 2, count(*), 0 FROM events""", "batch")
 
 
+def batch_metrics_failed() -> str:
+    return _timed("""SELECT 'price_analysis' AS query, 0 AS seq, count(*) AS rows, 0 AS error_count FROM events
+UNION ALL SELECT 'market_analysis', 1, 0, 1
+UNION ALL SELECT 'comparison', 2, count(*), 0 FROM events""", "batch")
+
+
+def batch_report() -> str:
+    return """SELECT 'batch' AS mode, CAST(0 AS BIGINT) AS total_errors, true AS timed
+UNION ALL SELECT 'streaming', count(*) FILTER (WHERE event_id % 7 = 0), true FROM events"""
+
+
+def sink_overflow_prices() -> str:
+    return f"""WITH {PRICES}
+SELECT event_id, coin_id,
+       CASE WHEN event_id % 13 <> 0 OR price_usd = 0 THEN CAST(CAST(price_usd AS DECIMAL(30,8)) AS DOUBLE) END AS price_usd,
+       CAST(CAST(market_cap AS DECIMAL(30,2)) AS DOUBLE) AS market_cap,
+       CAST(CAST(volume_24h AS DECIMAL(30,2)) AS DOUBLE) AS volume_24h,
+       event_id % 13 = 0 AND price_usd > 0 AS is_reject
+FROM p"""
+
+
+def price_windows_by_arrival() -> str:
+    arrived = "timestamp AS event_time, date_trunc('millisecond', timestamp) + (event_id * 7 % 1800) * INTERVAL 1 SECOND AS timestamp"
+    return f"""WITH o AS (WITH {PRICES} SELECT * FROM p), p AS (SELECT * EXCLUDE (timestamp), {arrived} FROM o), {WIN}, {BATCH_EXACT}
+SELECT ws AS window_start, ws + INTERVAL 15 MINUTE AS window_end, coin_id,
+       a AS avg_price, mi AS min_price, ma AS max_price, v AS total_volume
+FROM bt"""
+
+
 def all_sql() -> dict[str, str]:
     names = ["price_window_agg", "encode_price_messages", "decode_prices", "decode_rejects", "decode_market", "market_avg_changes",
              "tracked_coins", "top_market_cap", "flatten_simple_price", "flatten_markets", "sink_typed_prices",
@@ -437,10 +466,13 @@ def all_sql() -> dict[str, str]:
              "flatten_simple_price_rejects", "flatten_markets_rejects", "metrics_nested_rejects",
              "metrics_series_null_mode", "compare_stored_log", "compare_stored_latest", "consistency_stored",
              "stream_metrics", "stream_metrics_watermark", "batch_metrics", "stream_progress", "stream_late_dropped",
-             "stream_late_kept", "tracked_coins_table", "stream_tracked", "stream_open_windows"]
+             "stream_late_kept", "tracked_coins_table", "stream_tracked", "stream_open_windows",
+             "batch_metrics_failed", "batch_report", "sink_overflow_prices", "price_windows_by_arrival"]
     g = globals()
     out = {n: g[n]() for n in names}
     # the compacted latest view must equal the full one
+    out["compare_bucketed"] = out["compare_stream_batch_latest"]
+    out["batch_consistency"] = out["consistency_summary"]
     # neither late arrival nor caps on a micro-batch change what is stored in the end
     out["stream_late_windows"] = out["stream_price_windows_capped"] = out["stream_price_windows_latest"]
     out["stream_raw_prices_capped"] = out["stream_raw_prices"]

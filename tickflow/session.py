@@ -3,6 +3,7 @@ scratch folder every job writes intermediate tables and checkpoints to."""
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -62,6 +63,36 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/tickflow/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_TEMPORARY: dict[str, tuple[SparkSession, list[str]]] = {}
+
+
+def temporary_scratch(spark: SparkSession, name: str) -> str:
+    """A scratch location whose frames are read lazily by results of this
+    application: :func:`release_scratch` removes it, at the application's end
+    at the latest."""
+    app = spark.sparkContext.applicationId
+    if app not in _TEMPORARY:
+        _TEMPORARY[app] = (spark, [])
+        atexit.register(_release, app)
+    path = scratch_path(spark, name)
+    _TEMPORARY[app][1].append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Removes the temporary locations of this application; frames that still
+    read them fail afterwards."""
+    _release(spark.sparkContext.applicationId)
+
+
+def _release(app: str) -> None:
+    spark, paths = _TEMPORARY.pop(app, (None, []))
+    if spark is None or spark.sparkContext._jsc is None:
+        return  # the application has been stopped: its folder is its owner's to remove
+    for path in paths:
+        drop_scratch(spark, path)
+
+
 def drop_scratch(spark: SparkSession, path: str | None = None) -> None:
     """Removes a location made by :func:`scratch_path`, or without ``path``
     all of this application's, once their queries are finished.  Frames that

@@ -31,3 +31,11 @@ def jdbc_options(url: str, table: str, partition_column: str | None = None,
 def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the parquet tables under ``sf_dir``."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over at least as many partitions as the session has cores, for
+    narrow rows from which much work follows; a table of enough files or
+    splits is left alone, without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
