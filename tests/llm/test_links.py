@@ -5,6 +5,7 @@ import pytest
 
 import corpus_pipeline
 from tests.llm import brute
+from tickflow.llm import jaccard_join
 from tickflow.llm.common import package_on_workers
 from tickflow.llm.components import components
 from tickflow.llm.forest_search import forest_search
@@ -161,3 +162,18 @@ def test_full_shards_give_up_rows_of_the_largest_group(spark):
             shards.setdefault(texts[r.doc_id], set()).add(r.shard)
     assert len(got) == len(texts) and set(counts.values()) == {500}
     assert sum(len(s) > 1 for s in shards.values()) <= 5      # cut small groups, of 74
+
+
+def test_one_of_each_keeps_columns_of_any_name(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    docs = spark.createDataFrame([(5, 1, text, 7, "a"), (6, 2, text, 8, "b"), (7, 3, None, 9, "c")],
+                                 "__row long, doc_id long, text string, sig long, __doc string")
+    got = jaccard_join.one_of_each(docs)
+    assert got.columns == docs.columns
+    assert {tuple(r) for r in got.collect()} == {(5, 1, text, 7, "a"), (7, 3, None, 9, "c")}
+
+
+def test_written_signatures_or_not_give_the_same_components(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    plain = {tuple(r) for r in jaccard_join.jaccard_components(rows, 5, 80).collect()}
+    assert {tuple(r) for r in jaccard_join.jaccard_components(rows, 5, 80, numbered=True).collect()} == plain

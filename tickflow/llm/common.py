@@ -8,7 +8,7 @@ import tickflow
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickflow.session import scratch_path
+from tickflow.session import drop_scratch, scratch_path
 
 # White space of the word contracts: space and the five ASCII controls.
 WORD_SPACE = " \t\n\x0b\x0c\r"
@@ -39,7 +39,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     later steps neither recompute it nor depend on a lost executor."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def dropped(*frames: DataFrame) -> None:
+    """Removes what :func:`stored` wrote for these frames, once nothing reads them any more."""
+    for df in frames:
+        drop_scratch(df.sparkSession, df._stored_at)
 
 
 def id_text(docs: DataFrame, id_col: str):

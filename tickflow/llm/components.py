@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickflow.llm.common import stored
+from tickflow.llm.common import dropped, stored
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -22,6 +22,7 @@ def components(links: DataFrame) -> DataFrame:
     labels = stored(both.groupBy(F.col("a").alias("node"))
                     .agg(F.min("b").alias("least"))
                     .select("node", F.least("node", "least").alias("component")), "labels")
+    written = labels
     while True:
         near = (both.join(labels, F.col("b") == F.col("node"))
                 .groupBy("a").agg(F.min("component").alias("near")))
@@ -30,6 +31,8 @@ def components(links: DataFrame) -> DataFrame:
         up = labels.select(F.col("node").alias("now"), F.col("component").alias("above"))
         jumped = stored(step.join(up, "now").select("node", "was", F.least("now", "above").alias("component")), "labels")
         changed = jumped.where("component <> was").limit(1).count()
-        labels = jumped.select("node", "component")
+        dropped(written)
+        written, labels = jumped, jumped.select("node", "component")
         if not changed:
+            dropped(both)
             return labels

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tickflow.llm.common import id_back, id_text, small_side, stored
+from tickflow.llm.common import dropped, id_back, id_text, small_side, stored
 from tickflow.llm.components import components
 
 # Digests a task remembers, so that a copy seen again emits no signatures.
@@ -111,8 +111,13 @@ class Bands:
         return need + spare, n2, k2, spare
 
 
+# Bits of a signature that are shuffled: two that agree by chance only make a
+# pair that the comparison turns away.
+SIG_BITS = np.uint64((1 << 48) - 2)
+
+
 def tagged(sig: np.ndarray, instance: int) -> np.ndarray:
-    return (sig & ~np.uint64(1)) | np.uint64(instance & 1)
+    return (sig & SIG_BITS) | np.uint64(instance & 1)
 
 
 def signatures(s: np.ndarray, bands: Bands) -> np.ndarray:
@@ -166,9 +171,34 @@ def digest(s: np.ndarray) -> tuple[int, int]:
     return tuple(int(np.uint64(x).astype(np.int64)) for x in (d >> 64, d & 0xFFFFFFFFFFFFFFFF))
 
 
-def signed_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
+def signature_rows(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """(rid, sig) of every row's set, for rows whose numbers are their own
+    (``doc_id``); a set this task has already given has none."""
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bands, seen = Bands(percent), set()
+        for batch in batches:
+            for at in range(0, len(batch), PORTION):
+                part = batch.iloc[at:at + PORTION]
+                ids, sigs = [], []
+                for rid, text in zip(part["doc_id"].tolist(), part["text"]):
+                    s = shingle_set(text, n)
+                    d = digest(s)
+                    if not len(s) or d in seen:
+                        continue
+                    if len(seen) >= SEEN_DIGESTS:
+                        seen.clear()
+                    seen.add(d)
+                    sigs.append(signatures(s, bands))
+                    ids.append(np.full(len(sigs[-1]), rid, dtype=np.int64))
+                if ids:
+                    yield pd.DataFrame({"rid": np.concatenate(ids), "sig": np.concatenate(sigs)})
+    return docs.mapInPandas(rows, "rid long, sig long")
+
+
+def signed_sets(docs: DataFrame, n: int, percent: int, sign: bool = True) -> DataFrame:
     """(doc_id, n, d1, d2, sigs, sketch, short, band) per row; ``sigs`` and
-    what follows are null for a set this task has already given."""
+    what follows are null for a set this task has already given, ``sigs`` for
+    all without ``sign``."""
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bands, seen = Bands(percent), set()
         for batch in batches:
@@ -184,7 +214,7 @@ def signed_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
                     if len(seen) >= SEEN_DIGESTS:
                         seen.clear()
                     seen.add(d)
-                    out.append((len(s), *d, signatures(s, bands), parity_sketch(s), parities(s, SHORT_BITS),
+                    out.append((len(s), *d, signatures(s, bands) if sign else None, parity_sketch(s), parities(s, SHORT_BITS),
                                 bands.of(len(s))))
                 frame = pd.DataFrame(out, columns=["n", "d1", "d2", "sigs", "sketch", "short", "band"])
                 frame["band"] = frame["band"].astype("Int32")
@@ -265,7 +295,7 @@ def texts_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80,
-                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                       id_col: str = "doc_id", text_col: str = "text", numbered: bool = False) -> DataFrame:
     """One row per input row: id, ``n_shingles`` (size of its set) and
     ``component_id``, the smallest id reachable by links of ``percent``
     Jaccard similarity or more over ``n``-word shingles, itself included.
@@ -275,10 +305,17 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80,
     alone: repeated rows and rows of one id with several texts each get the
     component of their text; a null id is passed over when the smallest id is
     taken, and stays null in its own row.  Other columns are not read.
+
+    ``numbered`` says that the ids are whole numbers of which each stands in
+    one row of a written table: they then stand for the rows, and the signatures
+    go to their shuffle as they are made instead of being written first.
     """
     docs = docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text"))
-    first = signed_sets(docs, n, percent).withColumn("rid", F.monotonically_increasing_id())
+    first = signed_sets(docs, n, percent, sign=not numbered)
+    first = first.withColumn("rid", F.col("doc_id").cast("long") if numbered else F.monotonically_increasing_id())
     first = stored(first, "signed")  # fixes rid, and keeps the signatures from being made twice
+    signed = (signature_rows(docs, n, percent) if numbered else
+              first.where("sigs is not null").select("rid", F.explode("sigs").alias("sig")))
 
     classes = stored(first.where("n > 0").groupBy("d1", "d2")
                      .agg(F.min("rid").alias("rep"), F.min("doc_id").alias("class_id")), "classes")
@@ -287,13 +324,14 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80,
 
     # signatures held by two rows or more, then by two classes or more
     of_sig = Window.partitionBy("sig")
-    shared = (first.where("sigs is not null").select("rid", F.explode("sigs").alias("sig"))
+    shared = (signed
               .withColumn("lo", F.min("rid").over(of_sig)).withColumn("hi", F.max("rid").over(of_sig))
               .where("lo <> hi").select("sig", "rid"))
     held = stored(shared.join(member, "rid").select("sig", "rep").distinct(), "held")
     sets = (first.where("sketch is not null").select(F.col("rid").alias("rep"), "n", "sketch", "short", "band")
             .join(held.select("rep").distinct(), "rep", "left_semi"))
     sets = stored(sets, "sketches")
+    dropped(first)
     involved = rows.where("rid = rep").select("rep", "doc_id", "d1", "d2")
 
     def checked(pairs: DataFrame) -> DataFrame:
@@ -301,7 +339,9 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80,
         near = stored(sketched(pairs, sets, percent), "near")
         nodes = near.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
         texts = stored(texts_of(docs, involved.join(nodes, "rep"), n), "texts")
-        return stored(confirmed(near, texts, n, percent), "similar")
+        similar = stored(confirmed(near, texts, n, percent), "similar")
+        dropped(near, texts)
+        return similar
 
     def still_apart(joined: DataFrame | None) -> DataFrame:
         """(sig, rep, comp) of the signatures that hold several components."""
@@ -338,6 +378,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80,
                    & (differ * (100 + percent) <= (F.col("x.n") + F.col("y.n")) * (100 - percent)))
     more = checked(cross.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct())
     final = components(links.unionByName(more))
+    dropped(rest, held, sets)
 
     ids = (rows.where("n > 0").groupBy("rep").agg(F.min("class_id").alias("class_id"))
            .join(final, F.col("rep") == F.col("node"), "left")
@@ -360,12 +401,14 @@ def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "d
     of rows that have one: one of them stays in each component, too.
     """
     # written once, so that every step sees the same row numbers
-    rows = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
-    ids = rows.select("__row", F.col(id_col).alias("__id"))
-    found = jaccard_components(rows, n, percent, "__row", text_col).where("n_shingles > 0").join(ids, "__row")
+    # (the row is one column, so that no name of the caller's clashes with ours)
+    rows = stored(docs.select(F.monotonically_increasing_id().alias("__row"), F.struct(*docs.columns).alias("__doc")), "numbered")
+    ids = rows.select("__row", F.col(f"__doc.`{id_col}`").alias("__id"))
+    texts = rows.select("__row", F.col(f"__doc.`{text_col}`").alias("__text"))
+    found = jaccard_components(texts, n, percent, "__row", "__text", numbered=True).where("n_shingles > 0").join(ids, "__row")
     found = stored(found.select("__row", "__id", "component_id"), "row-components")
     no_id = F.col("__id").isNull()
     group = ["component_id", no_id] if null_ids_apart else ["component_id"]
     stays = found.groupBy(*group).agg(F.min(F.struct(no_id.alias("no_id"), "__id", "__row"))["__row"].alias("__row"))
     gone = stored(found.join(stays, "__row", "left_anti").select("__row"), "near-copies")
-    return rows.join(small_side(gone, gone.count()), "__row", "left_anti").drop("__row")
+    return rows.join(small_side(gone, gone.count()), "__row", "left_anti").select("__doc.*")
