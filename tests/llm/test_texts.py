@@ -360,3 +360,19 @@ def test_training_sample_is_bounded_by_rows(spark):
     assert len({(r.id, r.text) for r in got}) == 20 and all((r.id, r.text) in rows for r in got)
     whole = toxicity.training_sample(docs, labels, 1000, "doc_id", "text").collect()
     assert sorted((r.id, r.text) for r in whole) == sorted({r for r in rows if r[1]})
+
+
+def test_reply_goes_to_the_message_with_most_hits_however_many_repeat_parts(spark):
+    lines = [f"statement number {i} about the matter at hand" for i in range(12)]
+    rows = [(1, 0, "user", "\n".join(lines))]
+    for t in range(1, 12):
+        rows.append((1, t, "user", f"{lines[t - 1]}\nand also\n{lines[t]}"))
+    rows.append((1, 12, "user", "\n".join("> " + x for x in lines) + "\nI agree."))
+    # as many hits twice: the nearer; and a single common line: its nearest holder
+    rows += [(2, t, "user", "\n".join(lines[:3])) for t in range(4)]
+    rows += [(2, 4, "user", "\n".join("> " + x for x in lines[:5]))]
+    rows += [(3, t, "user", "yes") for t in range(30)] + [(3, 30 + t, "user", "> yes") for t in range(5)]
+    got = {(r.conv_id, r.turn): r.reply_to for r in quotations.link_quotations(
+        spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert got[(1, 12)] == 0 and got[(2, 4)] == 3
+    assert all(got[(3, 30 + t)] == 29 for t in range(5))

@@ -32,7 +32,7 @@ def line_fails(x: str) -> str:
       OR ({symbols} > 2 AND {symbols} * 5 > {white})
       OR (upper({x}) = {x} AND lower({x}) <> {x} AND length({x}) > 20)
       OR (NOT contains('{terminal}', {end}) AND len({_words(x)}) < {Q.SHORT_WORDS})
-      OR (length({x}) < 400 AND ({phrases})))"""
+      OR (length({x}) < {Q.FURNITURE_CHARS} AND ({phrases})))"""
 
 
 def op6_line_rules() -> str:

@@ -28,6 +28,8 @@ from tickflow.llm.common import id_back, id_text
 
 SPACE = "▁"
 NO_RANK = np.iinfo(np.int64).max
+# Fixed value: multiplier of the slot of a pair.
+MIX = np.uint64(0x9E3779B97F4A7C15)
 # Words kept in a worker's memo, the longest word kept, and the characters of
 # text encoded in one go.
 MEMO_WORDS = 150_000
@@ -35,6 +37,43 @@ MEMO_CHARS = 48
 BATCH_CHARS = 400_000
 
 
+class PairTable:
+    """Rank and merged symbol by pair: an open-addressing table in flat
+    arrays, at most a quarter full, with an empty slot at its end."""
+
+    def __init__(self, keys: np.ndarray, ranks: np.ndarray, made: np.ndarray):
+        self.bits = max(4, int(np.ceil(np.log2(4 * len(keys) + 1))))
+        size = 1 << self.bits
+        self.keys = np.full(size + 1, -2, dtype=np.int64)
+        self.ranks = np.full(size + 1, NO_RANK, dtype=np.int64)
+        self.made = np.full(size + 1, -1, dtype=np.int64)
+        _, last = np.unique(keys[::-1], return_index=True)  # of equal pairs the last one counts
+        left = len(keys) - 1 - last
+        at = self.slot(keys[left])
+        while len(left):
+            free = self.keys[at] == -2
+            slot, first = np.unique(at[free], return_index=True)
+            taken = left[free][first]
+            self.keys[slot], self.ranks[slot], self.made[slot] = keys[taken], ranks[taken], made[taken]
+            again = self.keys[at] != keys[left]
+            left, at = left[again], (at[again] + 1) & (size - 1)
+
+    def slot(self, key: np.ndarray) -> np.ndarray:
+        return ((key.astype(np.uint64) * MIX) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """NO_RANK and -1 for a key that is not there or is negative."""
+        end = 1 << self.bits
+        at = np.where(key >= 0, self.slot(key), end)
+        wrong = np.flatnonzero((self.keys[at] != key) & (self.keys[at] != -2))
+        while len(wrong):
+            at[wrong] = (at[wrong] + 1) & (end - 1)
+            held = self.keys[at[wrong]]
+            wrong = wrong[(held != key[wrong]) & (held != -2)]
+        hit = self.keys[at] == key
+        return np.where(hit, self.ranks[at], NO_RANK), np.where(hit, self.made[at], -1)
+
+
 class MergeRounds:
     """Encoder and decoder for one model file (only its piece table is read
     through the library; splitting, merging and decoding are done here)."""
@@ -65,22 +104,20 @@ class MergeRounds:
                     made.append(i)
         if spans or not inner <= set(self.ids):
             raise ValueError("pieces that span a word start, or contain a character that is no piece, are not supported")
-        order = np.argsort(np.array(keys, dtype=np.int64), kind="stable")
-        self.keys = np.array(keys, dtype=np.int64)[order]
-        self.ranks = np.array(ranks, dtype=np.int64)[order]
-        self.made = np.array(made, dtype=np.int64)[order]
+        self.table = PairTable(np.array(keys, dtype=np.int64), np.array(ranks, dtype=np.int64), np.array(made, dtype=np.int64))
         # a word: space marks, then other characters that pieces can hold; any other character stands alone
         known = "".join(map(re.escape, sorted(inner - {SPACE})))
         self.find = re.compile(f"{SPACE}*[{known}]+|{SPACE}+|[^{known}{SPACE}]").findall
+        # words met lately and those before them; the pieces themselves, for good
         self.memo: dict[str, tuple[int, str, str]] = {}
+        self.older: dict[str, tuple[int, str, str]] = {}
+        whole = [p for p in self.ids if self.find(p) == [p]]
+        self.always = dict(zip(whole, self.entries(whole)))
 
     def pairs(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and merged symbol of pairs (NO_RANK where there is none; a
         negative symbol has none)."""
-        key = np.where((left >= 0) & (right >= 0), left * self.size + right, -1)
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        hit = self.keys[at] == key
-        return np.where(hit, self.ranks[at], NO_RANK), np.where(hit, self.made[at], -1)
+        return self.table.find(np.where((left >= 0) & (right >= 0), left * self.size + right, -1))
 
     def merge(self, sym: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All merge rounds over flat symbols; ``word`` numbers each symbol's
@@ -204,16 +241,28 @@ class MergeRounds:
 
     def learn(self, texts: list[list[str]]) -> dict[str, tuple[int, str, str]]:
         """(ids, ids as a string, decoded text) of every word of the batch."""
-        memo = self.memo
-        fresh = list({w for words in texts for w in words if w not in memo})
-        if len(memo) + len(fresh) > MEMO_WORDS:
-            memo.clear()
-            fresh = list({w for words in texts for w in words})
-        got = {}
-        for word, ids in zip(fresh, self.encode_words(fresh) if fresh else []):
-            entry = (len(ids), ",".join(map(str, ids)), self.decode_ids(ids))
-            (memo if len(word) <= MEMO_CHARS else got)[word] = entry
-        return memo if not got else {**{w: memo[w] for words in texts for w in words if w in memo}, **got}
+        memo, older, always = self.memo, self.older, self.always
+        got, fresh = {}, []
+        for word in {w for words in texts for w in words}:
+            entry = always.get(word) or memo.get(word)
+            if entry is None:
+                entry = older.get(word)
+                if entry is None:
+                    fresh.append(word)
+                    continue
+                memo[word] = entry
+            got[word] = entry
+        for word, entry in zip(fresh, self.entries(fresh)):
+            got[word] = entry
+            if len(word) <= MEMO_CHARS:
+                memo[word] = entry
+        if len(memo) > MEMO_WORDS // 2:  # words not met again since the last time are forgotten
+            self.older, self.memo = memo, {}
+        return got
+
+    def entries(self, words: list[str]) -> list[tuple[int, str, str]]:
+        """(ids, ids as a string, decoded text) of each word."""
+        return [(len(ids), ",".join(map(str, ids)), self.decode_ids(ids)) for ids in (self.encode_words(words) if words else [])]
 
     def encode(self, text: str) -> list[int]:
         return [i for ids in self.encode_words(self.split(text)) for i in ids] if text else []

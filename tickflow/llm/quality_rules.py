@@ -6,7 +6,9 @@ Every ``\\n``-split line with a word is held against three rules:
   letter is upper case, or it neither ends in terminal punctuation nor has
   at least ``SHORT_WORDS`` words;
 * navigation: it is cut into many fields by ``|`` or other menu marks;
-* boilerplate: it holds one of the stock phrases, or equals an earlier line.
+* boilerplate: it holds one of the stock phrases and has under
+  ``FURNITURE_CHARS`` characters (a longer line is a paragraph that mentions
+  one), or it equals an earlier line.
 
 Failing lines are removed.  A document is rejected when it fails the base
 rule, or when the removed lines held more than ``MAX_LOSS_PERCENT`` of its word
@@ -26,6 +28,7 @@ SHORT_WORDS = 6
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MAX_LOSS_PERCENT = 40
+FURNITURE_CHARS = 400
 # Stock phrases of site furniture, lower case.
 BOILERPLATE = (
     "all rights reserved", "terms of use", "terms of service", "privacy policy", "cookie policy",
@@ -47,43 +50,54 @@ def spaced_words(line: Column) -> Column:
     return F.size(words(line))
 
 
-def punctuation_fails(line: Column) -> Column:
+def line_facts(line: Column) -> Column:
+    """What the rules look at of a line, each made once."""
+    return F.struct(line.alias("line"), F.lower(line).alias("small"), F.length(line).alias("n"),
+                    (F.length(line) - F.length(solid(line)) + 1).alias("white"), symbols(line).alias("symbols"))
+
+
+def punctuation_fails(f: Column) -> Column:
+    line = f["line"]
     end = F.right(F.rtrim(F.translate(line, "\t\x0b\x0c\r", " " * 4)), F.lit(1))
     open_end = F.instr(F.lit(TERMINAL), end) == 0
-    shouted = (F.upper(line) == line) & (F.lower(line) != line)
-    return ((symbols(line) * 5 > F.length(line) - F.length(solid(line)) + 1) & (symbols(line) > 2)) \
-        | (shouted & (F.length(line) > 20)) | (open_end & (spaced_words(line) < SHORT_WORDS))
+    shouted = (f["n"] > 20) & (f["small"] != line) & (F.upper(line) == line)
+    return ((f["symbols"] > 2) & (f["symbols"] * 5 > f["white"])) | shouted | (open_end & (spaced_words(line) < SHORT_WORDS))
 
 
-def navigation_fails(line: Column) -> Column:
-    marks = F.length(line) - F.length(F.translate(line, "|»›•·", ""))
-    return (marks > 2) & (marks * 5 > F.length(line) - F.length(solid(line)) + 1)
+def navigation_fails(f: Column) -> Column:
+    marks = f["n"] - F.length(F.translate(f["line"], "|»›•·", ""))
+    return (marks > 2) & (marks * 5 > f["white"])
 
 
-def boilerplate_fails(line: Column) -> Column:
-    small = F.lower(line)
+def boilerplate_fails(f: Column) -> Column:
     found = F.lit(False)
     for phrase in BOILERPLATE:
-        found = found | F.contains(small, F.lit(phrase))
-    return (F.length(line) < 400) & found
+        found = found | F.contains(f["small"], F.lit(phrase))
+    return (f["n"] < FURNITURE_CHARS) & found
 
 
-def line_fails(line: Column) -> Column:
-    return navigation_fails(line) | punctuation_fails(line) | boilerplate_fails(line)
+def line_fails(f: Column) -> Column:
+    return navigation_fails(f) | punctuation_fails(f) | boilerplate_fails(f)
 
 
 def repeat_words(docs: DataFrame, word_col: str, out: str) -> DataFrame:
     """Adds ``out``: words covered by a 3-word window that occurs twice or
     more in the row's words.  The windows are sorted, so that equal ones are
-    neighbours: n log n in the words of a text."""
-    w = F.col(word_col)
-    window = F.transform(F.sequence(F.lit(0), F.size(w) - 3),
-                         lambda i: F.struct(w[i].alias("a"), w[i + 1].alias("b"), w[i + 2].alias("c"), i.alias("i")))
-    docs = docs.withColumn("__windows", F.when(F.size(w) > 3, F.sort_array(window)))
+    neighbours: n log n in the words of a text.  They are sorted by hash."""
+    w, hashed = F.col(word_col), F.col("__hashed")
+    docs = docs.withColumn("__hashed", F.transform(w, lambda x: F.xxhash64(x)))
+    docs = docs.withColumn("__marks", F.when(F.size(w) > 3, F.transform(
+        F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.xxhash64(hashed[i], hashed[i + 1], hashed[i + 2]))))
+    # only texts in which a window's hash comes twice have windows to sort
+    marks = F.col("__marks")
+    repeated = F.size(F.array_distinct(marks)) < F.size(marks)
+    docs = docs.withColumn("__windows", F.when(repeated, F.sort_array(
+        F.transform(marks, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
     s = F.col("__windows")
 
     def same(x, y):
-        return (x["a"] == y["a"]) & (x["b"] == y["b"]) & (x["c"] == y["c"])
+        # words are compared where the hashes agree
+        return (x["h"] == y["h"]) & (w[x["i"]] == w[y["i"]]) & (w[x["i"] + 1] == w[y["i"] + 1]) & (w[x["i"] + 2] == w[y["i"] + 2])
 
     again = F.filter(s, lambda x, k: ((k > 0) & same(x, F.get(s, k - 1)))
                      | ((k < F.size(s) - 1) & same(x, F.get(s, k + 1))))
@@ -93,7 +107,7 @@ def repeat_words(docs: DataFrame, word_col: str, out: str) -> DataFrame:
                           lambda acc, p: F.struct((acc["n"] + F.least(F.lit(3), p - acc["end"])).alias("n"),
                                                   p.alias("end")),
                           lambda acc: acc["n"])
-    return docs.withColumn(out, F.coalesce(covered, F.lit(0)).cast("long")).drop("__windows", "__again")
+    return docs.withColumn(out, F.coalesce(covered, F.lit(0)).cast("long")).drop("__windows", "__again", "__hashed", "__marks")
 
 
 def line_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -134,7 +148,8 @@ def _judge(df: DataFrame, max_loss_percent: int) -> DataFrame:
     df = df.withColumn("n_words", F.size("__words").cast("long")).drop("__words")
     df = df.withColumn("__lines", F.filter(F.split("text", "\n"), lambda x: solid(x) != ""))
     df = df.withColumn("__distinct", F.array_distinct("__lines"))
-    df = df.withColumn("__passed", F.filter("__distinct", lambda x: ~line_fails(x)))
+    facts = F.filter(F.transform("__distinct", line_facts), lambda f: ~line_fails(f))
+    df = df.withColumn("__passed", F.transform(facts, lambda f: f["line"]))
     lost_none = F.size("__passed") == F.size("__lines")
     df = (df.withColumn("n_lines", F.size("__lines").cast("long"))
           .withColumn("n_dup_lines", (F.size("__lines") - F.size("__distinct")).cast("long"))

@@ -6,9 +6,12 @@ collapsed, lower case) and hashed as runs of five words (a shorter passage
 whole), so other line breaks or a cut inside a line do not matter, and line by
 line, which also finds short lines.  The hashes are joined to those of earlier
 messages' own words in the same conversation.  A message replies to the
-nearest earlier message with most hits at the outermost linked level: every
+nearest earlier message with most hits at the outermost linked level.  Every
 hash votes for its nearest earlier holder, and all hits are counted for the
-eight messages with most votes.
+eight messages with most votes; the most of them is a bound.  A message with
+as many hits holds one of any hashes that are too many to miss, so all holders
+of the message's rarest hashes, just enough of them, are counted too: no
+message that could win is left out.
 
 Reply chains are resolved to their first message by pointer jumping, and the
 messages of a conversation are ordered thread by thread, each thread in the
@@ -45,7 +48,7 @@ def normal(line: Column) -> Column:
     return F.lower(F.trim(F.regexp_replace(F.regexp_replace(line, MARKS, ""), r"[ \t\x0b\f\r]+", " ")))
 
 
-# Words of a run that is hashed, and messages whose hits are all counted.
+# Words of a run that is hashed, and messages whose hits give the bound.
 RUN_WORDS, CANDIDATES = 5, 8
 
 
@@ -95,6 +98,12 @@ def thread_roots(replies: DataFrame) -> DataFrame:
             return now
 
 
+def counted_hits(asked: DataFrame, sources: DataFrame, said: DataFrame) -> DataFrame:
+    """(rid, source, hits): hashes ``asked`` for that the earlier messages of ``sources`` hold."""
+    return (asked.join(sources, "rid").join(said, ["conv", "h", "source"])
+            .groupBy("rid", "source").agg(F.sum("times").alias("hits")))
+
+
 def link_quotations(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
                     role_col: str = "role", text_col: str = "text") -> DataFrame:
     """One row per input row: conversation, turn, role, ``text`` (own words),
@@ -138,8 +147,19 @@ def link_quotations(messages: DataFrame, conv_col: str = "conv_id", turn_col: st
               .withColumn("outer", F.min("level").over(Window.partitionBy("rid")))
               .where((F.col("level") == F.col("outer")) & (F.col("place") <= CANDIDATES))
               .select("rid", "level", F.col("near").alias("source")))
-    hits = (found.join(chosen, ["rid", "level"]).join(said, ["conv", "h", "source"])
-            .groupBy("rid", "source").agg(F.sum("times").alias("hits")))
+    outer = found.join(chosen.select("rid", "level").distinct(), ["rid", "level"])
+    hits = stored(counted_hits(outer, chosen.select("rid", "source"), said), "quote-hits")
+    best = hits.groupBy("rid").agg(F.max("hits").alias("bound"))
+    # the rarest hashes of a message whose bound is not all it asks for, until those left weigh less than the bound
+    holders = said.groupBy("conv", "h").agg(F.count(F.lit(1)).alias("holders"))
+    rare = Window.partitionBy("rid").orderBy("holders", "h")
+    weigh = (outer.join(holders, ["conv", "h"]).join(best, "rid")
+             .withColumn("all", F.sum("times").over(Window.partitionBy("rid")))
+             .withColumn("before", F.coalesce(F.sum("times").over(rare.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+             .where((F.col("bound") < F.col("all")) & (F.col("all") - F.col("before") >= F.col("bound"))))
+    others = (weigh.select("rid", "conv", "h", "turn").join(said, ["conv", "h"]).where("source < turn")
+              .select("rid", "source").distinct().join(hits, ["rid", "source"], "left_anti"))
+    hits = hits.unionByName(counted_hits(outer, others, said))
     replies_to = hits.groupBy("rid").agg(F.max_by("source", F.struct("hits", "source")).alias("reply_to"))
     touched = (asked.join(found.select("rid", "level", "h"), ["rid", "level", "h"])
                .select("rid", F.explode("ats").alias("at")).distinct()
