@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -89,6 +90,14 @@ class MergeRounds:
         self.id_byte = {i: b for b, i in self.byte_id.items()}
         self.unknown = model.unk_id()
         self.control = {i for i in range(size) if model.is_control(i)}
+        self.number = [str(i) for i in range(size)]
+        ordinary = set(plain)
+        # text of a piece; None where it depends on the ids around it
+        self.shown = [self.piece[i].replace(SPACE, " ") if i in ordinary else None for i in range(size)]
+        self.of_char = np.full(sys.maxunicode + 1, -1, dtype=np.int64)
+        for text, i in self.ids.items():
+            if len(text) == 1:
+                self.of_char[ord(text)] = i
         levels = {s: r for r, s in enumerate(sorted({model.get_score(i) for i in plain}, reverse=True))}
         keys, ranks, made, inner, spans = [], [], [], set(), set()
         for i in plain:
@@ -190,8 +199,7 @@ class MergeRounds:
     def encode_words(self, words: list[str]) -> list[list[int]]:
         """Ids of each word, all words merged together."""
         flat = "".join(words)
-        ids = self.ids
-        sym = np.fromiter((ids.get(c, -1) for c in flat), dtype=np.int64, count=len(flat))
+        sym = self.of_char[np.frombuffer(flat.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)]
         size = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
         word = np.repeat(np.arange(len(words)), size)
         outside = [i for i in np.flatnonzero(sym < 0)]
@@ -219,6 +227,9 @@ class MergeRounds:
     def decode_ids(self, ids: list[int]) -> str:
         """Text of ids, with the space put in front by encoding still there.
         Runs of byte ids are read as UTF-8, each wrong byte as U+FFFD."""
+        shown = [self.shown[i] for i in ids]
+        if None not in shown:
+            return "".join(shown)
         out, run = [], bytearray()
         for i in ids:
             b = self.id_byte.get(i)
@@ -262,7 +273,7 @@ class MergeRounds:
 
     def entries(self, words: list[str]) -> list[tuple[int, str, str]]:
         """(ids, ids as a string, decoded text) of each word."""
-        return [(len(ids), ",".join(map(str, ids)), self.decode_ids(ids)) for ids in (self.encode_words(words) if words else [])]
+        return [(len(ids), ",".join([self.number[i] for i in ids]), self.decode_ids(ids)) for ids in (self.encode_words(words) if words else [])]
 
     def encode(self, text: str) -> list[int]:
         return [i for ids in self.encode_words(self.split(text)) for i in ids] if text else []
