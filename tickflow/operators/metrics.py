@@ -83,8 +83,8 @@ def import_nested(docs: DataFrame, doc_col: str = "document", keep: tuple[str, .
     has ended; a list that is missing or has an entry of another type counts as
     empty."""
     spark = docs.sparkSession
-    m = _parsed(docs, doc_col, keep).filter(F.schema_of_variant("v").startswith("OBJECT"))
-    m = m.lateralJoin(spark.tvf.variant_explode(F.col("v").outer()))
+    m = _parsed(docs, doc_col, keep).lateralJoin(spark.tvf.variant_explode(F.col("v").outer()))
+    m = m.filter(F.col("key").isNotNull())  # elements of a list have none
     lists = [F.coalesce(F.try_variant_get("value", f"$.{n}", t), F.array().cast(t)).alias(n) for n, t in NESTED_LISTS.items()]
     z = m.select(*keep, F.col("key").alias("mode"), F.posexplode(F.arrays_zip(*lists)).alias("pos", "_r"))
     return z.select(
