@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm import brute
@@ -177,3 +178,44 @@ def test_written_signatures_or_not_give_the_same_components(spark):
     rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
     plain = {tuple(r) for r in jaccard_join.jaccard_components(rows, 5, 80).collect()}
     assert {tuple(r) for r in jaccard_join.jaccard_components(rows, 5, 80, numbered=True).collect()} == plain
+
+
+def template_pages(pages: int, seed: int = 4) -> list[tuple[int, str]]:
+    """Pages of 250 equal words and 60 of their own (similarity about 0.67), and
+    a near copy of every 20th."""
+    draw = random.Random(seed)
+    frame = [f"t{i}" for i in range(250)]
+    rows = []
+    for i in range(pages):
+        own = [f"o{draw.getrandbits(40)}" for _ in range(60)]
+        rows.append((2 * i, " ".join(frame[:125] + own + frame[125:])))
+        if i % 20 == 0:
+            rows.append((2 * i + 1, " ".join(frame[:125] + own[:-1] + frame[125:])))
+    return rows
+
+
+def test_template_pages_meet_only_their_near_copies(spark):
+    rows = template_pages(400)
+    got = {r.doc_id: r.component_id for r in jaccard_join.jaccard_components(
+        spark.createDataFrame(rows, "doc_id long, text string"), 5, 80).collect()}
+    assert got == {i: i - i % 2 for i, _ in rows}
+
+
+@pytest.mark.parametrize("hot_rows", [1, 3])
+def test_refined_signatures_and_cells_lose_no_link(spark, near_rows, monkeypatch, hot_rows):
+    """Without star rounds and with nearly every signature refined."""
+    monkeypatch.setattr(jaccard_join, "HOT_ROWS", hot_rows)
+    monkeypatch.setattr(jaccard_join, "LEADERS", 0)
+    docs = spark.createDataFrame(near_rows, "doc_id long, text string")
+    got = sorted(map(str, jaccard_join.jaccard_components(docs, 3, 80).collect()))
+    monkeypatch.undo()
+    assert got == sorted(map(str, jaccard_join.jaccard_components(docs, 3, 80).collect()))
+
+
+def test_pairs_apart_are_all_pairs_of_a_group_once(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "HOT_ROWS", 4)
+    rows = [(sig, rep, rep % 7, 100, 1, *[0] * len(jaccard_join.SHORT)) for sig in (1, 2) for rep in range(23 * sig)]
+    shape = "sig long, rep long, comp long, n long, band int, " + ", ".join(f"{c} long" for c in jaccard_join.SHORT)
+    held = spark.createDataFrame(rows, shape)
+    got = [(r.a, r.b) for r in jaccard_join.pairs_apart(*jaccard_join.in_cells(held), 80, F.lit(True)).collect()]
+    assert sorted(got) == [(a, b) for a in range(46) for b in range(a + 1, 46) if a % 7 != b % 7]

@@ -25,6 +25,13 @@ link that matters to a component is lost, and copies or dense groups do not
 multiply into all their pairs.  A parity sketch of each set bounds the
 difference from below and turns most false candidates away, those of the last
 step inside its join; the rest are compared exactly on the texts' shingles.
+
+Pages of one template agree on the cells that the template fills, without
+being similar.  A signature that is still held by more than ``HOT_ROWS``
+classes of different components is therefore refined: its classes order their
+shingles by how often all such classes hold them and meet on the prefix of the
+rarest ones.  Similar sets share a shingle of their prefixes whatever the
+order, so nothing is lost; and what a template brings comes last in it.
 """
 
 from __future__ import annotations
@@ -53,6 +60,11 @@ STAR_ROUNDS, LEADERS = 3, 8
 # Places of the short sketch that travels with the signatures of the last step.
 SHORT_BITS = 512
 SHORT = [f"k{i}" for i in range(SHORT_BITS // 64)]
+# Classes of one signature whose pairs are compared at once; a signature with
+# more is refined by prefixes, and a larger group is cut into cells of that size.
+HOT_ROWS = 128
+# Counters by which the shingles of refined classes are ordered (8 bytes each, broadcast).
+COUNTERS = 1 << 18
 # Largest difference for which three cells a group are used (two beyond it).
 FINE_UP_TO = 40
 
@@ -277,6 +289,70 @@ def confirmed(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataF
     return pairs.join(a, "a").join(b, "b").mapInPandas(rows, "a long, b long")
 
 
+def rare_prefixes(texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """(sig, rep) of the texts (rep, text): the rarest shingles of each set, as
+    many as similar sets share one of.  Rarity is by counters that shingles
+    share by hash; ties, and shingles of one counter, go by the shingle."""
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(COUNTERS, dtype=np.int64)
+        for batch in batches:
+            for text in batch["text"]:
+                total += np.bincount((shingle_set(text, n) % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
+        at = np.nonzero(total)[0]
+        yield pd.DataFrame({"at": at, "times": total[at]})
+
+    counts = texts.mapInPandas(counted, "at long, times long").groupBy("at").agg(F.sum("times").alias("times"))
+    found = counts.toPandas()  # bounded: COUNTERS rows
+    often = np.zeros(COUNTERS, dtype=np.int64)
+    often[found["at"].to_numpy(dtype=np.int64)] = found["times"].to_numpy(dtype=np.int64)
+    shared = texts.sparkSession.sparkContext.broadcast(often)  # bounded: 8 * COUNTERS bytes
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for at in range(0, len(batch), PORTION):
+                part = batch.iloc[at:at + PORTION]
+                sigs = []
+                for text in part["text"]:
+                    s = shingle_set(text, n)
+                    by_rarity = np.lexsort((s, shared.value[(s % np.uint64(COUNTERS)).astype(np.int64)]))
+                    sigs.append(s[by_rarity[:len(s) - -(-percent * len(s) // 100) + 1]].view(np.int64))
+                yield pd.DataFrame({"sig": np.concatenate(sigs),
+                                    "rep": np.repeat(part["rep"].to_numpy(dtype=np.int64), [len(x) for x in sigs])})
+
+    return texts.mapInPandas(rows, "sig long, rep long")
+
+
+def crowded(held: DataFrame) -> DataFrame:
+    """(sig, cells) of the signatures with more than HOT_ROWS rows."""
+    return (held.groupBy("sig").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > HOT_ROWS)
+            .select("sig", F.ceil(F.col("rows") / HOT_ROWS).cast("int").alias("cells")))
+
+
+def pairs_apart(x: DataFrame, y: DataFrame, percent: int, once) -> DataFrame:
+    """Pairs (a, b) of different components that share a ``sig`` (and a pair
+    of cells), of rows (sig, i, j, rep, comp, n, band, short sketch), as far as
+    their sizes and short sketches allow them to be similar and ``once``, over
+    the aliases x and y, holds."""
+    x, y = x.alias("x"), y.alias("y")
+    differ = sum((F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in SHORT), F.lit(0))
+    both = x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.i") == F.col("y.i")) & (F.col("x.j") == F.col("y.j"))
+                  & ((F.col("x.i") < F.col("x.j")) | (F.col("x.rep") < F.col("y.rep")))
+                  & (F.col("x.comp") != F.col("y.comp")) & once
+                  & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent)
+                  & (differ * (100 + percent) <= (F.col("x.n") + F.col("y.n")) * (100 - percent)))
+    return both.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
+
+
+def in_cells(held: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides of :func:`pairs_apart` for groups of any size: a large group
+    is cut into cells, and each pair of its cells (i, j) is a group of its own."""
+    last = F.coalesce("cells", F.lit(1)) - 1
+    own = F.pmod(F.xxhash64("rep"), last + 1).cast("int")
+    dealt = held.join(crowded(held), "sig", "left").withColumn("own", own)
+    return (dealt.withColumn("i", F.col("own")).withColumn("j", F.explode(F.sequence("own", last))),
+            dealt.withColumn("j", F.col("own")).withColumn("i", F.explode(F.sequence(F.lit(0), "own"))))
+
+
 def texts_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     """(rep, text) of the classes ``wanted`` (rep, doc_id, d1, d2): the documents
     with their ids are read again, and kept if their set is the class's."""
@@ -367,16 +443,19 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80,
 
     # classes of one signature that are still apart: every pair across components
     brief = sets.select("rep", "n", "band", *[F.col("short")[i].alias(c) for i, c in enumerate(SHORT)])
-    rest = stored(still_apart(joined).join(brief, "rep"), "apart")
-    x, y = rest.alias("x"), rest.alias("y")
-    differ = sum((F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in SHORT), F.lit(0))
-    cross = x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.rep") < F.col("y.rep"))
-                   & (F.col("x.comp") != F.col("y.comp"))
-                   & ((F.col("x.band") != F.col("y.band"))
-                      | (F.col("x.sig").bitwiseAND(1) == F.col("x.band").bitwiseAND(1)))
-                   & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent)
-                   & (differ * (100 + percent) <= (F.col("x.n") + F.col("y.n")) * (100 - percent)))
-    more = checked(cross.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct())
+    rest = stored(still_apart(joined), "apart")
+    crowds = stored(crowded(rest).select("sig"), "crowds")
+    large = small_side(crowds, crowds.count())
+    few = rest.join(large, "sig", "left_anti").join(brief, "rep").withColumns({"i": F.lit(0), "j": F.lit(0)})
+    # sets of one band share the signatures of both their instances; one is enough
+    cross = pairs_apart(few, few, percent, (F.col("x.band") != F.col("y.band"))
+                        | (F.col("x.sig").bitwiseAND(1) == F.col("x.band").bitwiseAND(1)))
+    many = stored(rest.join(large, "sig", "left_semi").select("rep", "comp").distinct(), "crowd")
+    texts = stored(texts_of(docs, involved.join(many, "rep", "left_semi"), n), "crowd-texts")
+    prefixes = stored(rare_prefixes(texts, n, percent).join(many, "rep").join(brief, "rep"), "prefixes")
+    refined = pairs_apart(*in_cells(prefixes), percent, F.lit(True))
+    more = checked(cross.unionByName(refined).distinct())
+    dropped(crowds, many, texts, prefixes)
     final = components(links.unionByName(more))
     dropped(rest, held, sets)
 
