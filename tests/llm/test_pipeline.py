@@ -47,7 +47,7 @@ def test_stages_against_a_plain_version(spark, tmp_root):
     assert {r[0]: r[1] for r in after_rules} == {r[0]: verdict[r[0]].clean_text for r in after_toxic if verdict[r[0]].kept}
     found = brute.jaccard_components([(r[0], r[1]) for r in after_rules], 5, 80)
     assert {r[0] for r in after_copies} == {d for d, _, c in found if d is None or d == c}
-    masks = {r.doc_id: r.text for r in pii.pseudonymise(frame).collect()}
+    masks = {r.doc_id: r.text for r in pii.pseudonymise(frame, pii.EXAMPLE_KEY).collect()}
     for r in after_pii:
         assert "jo.1" not in r[1] and "555-24" not in r[1] and r[4] == len(r[1])
         assert r[1] == masks[r[0]] or "NAVIGATION" in (masks[r[0]] or "")

@@ -26,11 +26,12 @@ values are untouched; a value that fails its validation stays as it is.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ROUNDS = 8  # even, so both halves end where they began
-DEFAULT_KEY = "tickflow-example-key"
+# The key comes from this session setting.  The example key is public: with it, anyone can undo the pseudonyms.
+KEY_SETTING, EXAMPLE_KEY = "spark.tickflow.pii.key", "tickflow-example-key"
 
 # The alphabets a character can move in.
 DIGITS = "0123456789"
@@ -65,6 +66,11 @@ PATTERN = "|".join(PATTERNS.values())
 KINDS = tuple(PATTERNS)
 
 
+def key_of(spark: SparkSession) -> str:
+    """The session's key; the example key where none is set, as in the checks."""
+    return spark.conf.get(KEY_SETTING, EXAMPLE_KEY)
+
+
 def _noise(key: str, kind: str, turn: Column, half: Column, tweak: Column | None = None) -> Column:
     """Keyed hex digest of a round: 64 characters."""
     parts = [F.lit(f"{key}\x1f{kind}\x1f"), turn.cast("string"), F.lit("\x1f"), half]
@@ -77,9 +83,12 @@ def _hex(digest: Column, start: Column | int, size: int) -> Column:
 
 
 def _shifted(half: Column, noise: Column) -> Column:
-    """Each character of ``half`` moved within its alphabet by the noise."""
+    """Each character of ``half`` moved within its alphabet by the noise, which
+    is hashed on for every 16 characters beyond the first."""
     def move(c, i):
-        shift = _hex(noise, (i % 16) * 4 + 1, 4)
+        block = F.floor(i / 16)
+        fresh = F.when(block == 0, noise).otherwise(F.sha2(F.concat(noise, block.cast("string")), 256))
+        shift = _hex(fresh, (i % 16) * 4 + 1, 4)
         out = c
         for alphabet in CLASSES:
             at = F.instr(F.lit(alphabet), c)
@@ -239,7 +248,7 @@ def pseudonym(value: Column, kind: Column, key: str) -> Column:
     return out
 
 
-def pseudonymise(docs: DataFrame, key: str = DEFAULT_KEY, id_col: str = "doc_id",
+def pseudonymise(docs: DataFrame, key: str, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
     """One row per input row: id, ``n_found`` (values found), ``n_replaced``
     (values that changed), ``kinds`` (their kinds in order of place) and the
@@ -254,7 +263,7 @@ def pseudonymise(docs: DataFrame, key: str = DEFAULT_KEY, id_col: str = "doc_id"
         F.col("id").alias(id_col), "n_found", "n_replaced", "kinds", F.col("masked").alias("text"))
 
 
-def masked_documents(docs: DataFrame, key: str = DEFAULT_KEY, text_col: str = "text",
+def masked_documents(docs: DataFrame, key: str, text_col: str = "text",
                      chars_col: str | None = "n_chars") -> DataFrame:
     """All rows of ``docs`` with their columns; the text has its values
     replaced, and ``chars_col``, where there is one, follows its length."""
@@ -266,7 +275,7 @@ def masked_documents(docs: DataFrame, key: str = DEFAULT_KEY, text_col: str = "t
     return df.select(row.alias("row")).select("row.*")
 
 
-def masked(df: DataFrame, text_col: str, key: str = DEFAULT_KEY) -> DataFrame:
+def masked(df: DataFrame, text_col: str, key: str) -> DataFrame:
     """``df`` with ``masked``, ``n_found``, ``n_replaced`` and ``kinds``."""
     text = F.col(text_col)
     none = F.array().cast("array<string>")

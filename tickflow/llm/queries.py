@@ -24,7 +24,7 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its personal numbers, dates and addresses permuted."""
-    return pii.pseudonymise(table(spark, sf_dir, "documents"))
+    return pii.pseudonymise(table(spark, sf_dir, "documents"), pii.key_of(spark))
 
 
 def op3_quotations(spark: SparkSession, sf_dir: str) -> DataFrame:

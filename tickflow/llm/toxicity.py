@@ -39,7 +39,8 @@ L2 = 0.02
 # A toxic document is "dense" when a distinct word in so many carries a toxic feature.
 DENSE_ONE_IN = 25
 CATEGORIES = ("toxic", "dense_toxic", "low_quality")
-MEMO_WORDS = 300_000
+# Words a worker remembers, none longer than MEMO_LENGTH (longer ones are hashed whole each time).
+MEMO_WORDS, MEMO_LENGTH = 300_000, 100
 THRESHOLD = 0.35
 
 find_words = re.compile(r"[^\W\d_]+").findall
@@ -47,7 +48,6 @@ find_words = re.compile(r"[^\W\d_]+").findall
 
 def word_features(word: str) -> tuple[int, ...]:
     """Hashed features of a lower-case word: the word and its beginnings."""
-    word = word[:100]
     parts = [f"={word}"] + [f"^{word[:n]}" for n in (4, 5, 6) if len(word) >= n]
     return tuple(zlib.crc32(p.encode("utf-8")) % BUCKETS for p in parts)
 
@@ -206,9 +206,11 @@ class Chain:
         for w in set(find_words(text.lower())):
             got = memo.get(w)
             if got is None:
-                if len(memo) >= MEMO_WORDS:
-                    memo.clear()
-                got = memo[w] = tuple(f for f in word_features(w) if f in weight)
+                got = tuple(f for f in word_features(w) if f in weight)
+                if len(w) <= MEMO_LENGTH:
+                    if len(memo) >= MEMO_WORDS:
+                        memo.clear()
+                    memo[w] = got
             if got:
                 hit.update(got)
         total = list(self.bias)
@@ -221,10 +223,16 @@ class Chain:
         return out
 
 
+def rejects(text: str, p, threshold: float) -> bool:
+    """The verdict on a text by its probabilities, unrounded: the query and the
+    filtering stage share it."""
+    return bool(text) and max(p[:2]) >= threshold
+
+
 def score_chain(docs: DataFrame, model: list[tuple[int, str, int, float]], threshold: float = THRESHOLD,
                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: id, one ``p_<category>`` per category, and
-    ``rejected`` (a toxicity category at or above ``threshold``).
+    """One row per input row: id, one ``p_<category>`` per category (shown to 6
+    places), and ``rejected`` (a toxicity category at or above ``threshold``).
 
     A null or empty text has no features: it scores the intercepts alone and is
     never rejected.  With an empty model nothing is rejected.  A null id stays
@@ -236,10 +244,10 @@ def score_chain(docs: DataFrame, model: list[tuple[int, str, int, float]], thres
         chain = Chain(shared.value)
         for b in batches:
             texts = b.iloc[:, 1].fillna("")
-            p = np.array([chain.score(t) for t in texts]).reshape(len(texts), len(CATEGORIES)).round(6)
-            bad = (p[:, :2].max(axis=1) >= threshold) & (texts.str.len() > 0).to_numpy()
-            yield pd.DataFrame({"id": b.iloc[:, 0], **{f"p_{c}": p[:, k] for k, c in enumerate(CATEGORIES)},
-                                "rejected": bad})
+            p = np.array([chain.score(t) for t in texts]).reshape(len(texts), len(CATEGORIES))
+            bad = [rejects(t, row, threshold) for t, row in zip(texts, p)]
+            yield pd.DataFrame({"id": b.iloc[:, 0], **{f"p_{c}": p[:, k].round(6) for k, c in enumerate(CATEGORIES)},
+                                "rejected": np.array(bad, dtype=bool)})
 
     cols = ", ".join(f"p_{c} double" for c in CATEGORIES)
     scored = (docs.select(id_text(docs, id_col), docs[text_col].cast("string"))
@@ -263,7 +271,7 @@ def without_toxic(docs: DataFrame, model: list[tuple[int, str, int, float]], thr
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chain = Chain(shared.value)
         for b in batches:  # as Arrow batches, so that the other columns pass through unchanged
-            kept = [not t or max(chain.score(t)[:2]) < threshold for t in b.column(place).to_pylist()]
+            kept = [not t or not rejects(t, chain.score(t), threshold) for t in b.column(place).to_pylist()]
             yield b.filter(pa.array(kept, type=pa.bool_()))
 
     return docs.mapInArrow(rows, docs.schema)
