@@ -34,7 +34,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mask_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with format-preserving pseudonyms."""
-    return pii.masked_documents(docs)
+    return pii.masked_documents(docs, pii.key_of(spark))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
