@@ -194,7 +194,8 @@ def template_pages(pages: int, seed: int = 4) -> list[tuple[int, str]]:
     return rows
 
 
-def test_template_pages_meet_only_their_near_copies(spark):
+def test_template_pages_meet_only_their_near_copies(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "HOT_ROWS", 128)  # fewer than the pages
     rows = template_pages(400)
     got = {r.doc_id: r.component_id for r in jaccard_join.jaccard_components(
         spark.createDataFrame(rows, "doc_id long, text string"), 5, 80).collect()}

@@ -61,8 +61,9 @@ STAR_ROUNDS, LEADERS = 3, 8
 SHORT_BITS = 512
 SHORT = [f"k{i}" for i in range(SHORT_BITS // 64)]
 # Classes of one signature whose pairs are compared at once; a signature with
-# more is refined by prefixes, and a larger group is cut into cells of that size.
-HOT_ROWS = 128
+# more is refined by prefixes (which reads and shuffles its texts again, so it
+# does not pay for small groups), and a larger group is cut into cells of that size.
+HOT_ROWS = 1_024
 # Counters by which the shingles of refined classes are ordered (8 bytes each, broadcast).
 COUNTERS = 1 << 18
 # Largest difference for which three cells a group are used (two beyond it).
