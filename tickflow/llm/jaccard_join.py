@@ -453,7 +453,11 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80,
                         | (F.col("x.sig").bitwiseAND(1) == F.col("x.band").bitwiseAND(1)))
     many = stored(rest.join(large, "sig", "left_semi").select("rep", "comp").distinct(), "crowd")
     texts = stored(texts_of(docs, involved.join(many, "rep", "left_semi"), n), "crowd-texts")
-    prefixes = stored(rare_prefixes(texts, n, percent).join(many, "rep").join(brief, "rep"), "prefixes")
+    # most of the rarest shingles stand in one component only: they go before the sketches are added
+    met = (rare_prefixes(texts, n, percent).join(many, "rep")
+           .withColumn("lo", F.min("comp").over(of_sig)).withColumn("hi", F.max("comp").over(of_sig))
+           .where("lo <> hi").select("sig", "rep", "comp"))
+    prefixes = stored(met.join(brief, "rep"), "prefixes")
     refined = pairs_apart(*in_cells(prefixes), percent, F.lit(True))
     more = checked(cross.unionByName(refined).distinct())
     dropped(crowds, many, texts, prefixes)
