@@ -17,6 +17,21 @@ def throughput(rows: Column, seconds: Column) -> Column:
     return F.when(seconds > 0, rows.cast("double") / seconds).otherwise(F.lit(0.0))
 
 
+# Below this magnitude, and this far from the middle between two results, scaling cannot change a rounding.
+_PLAIN, _CLEAR = 2.0 ** 44, 0.49
+
+
 def round_double(c: Column, scale: int = 6) -> Column:
-    """Round a double half-up to ``scale`` places; -0.0 becomes 0.0."""
-    return F.round(c.cast("double"), scale) + F.lit(0.0)
+    """Round a double half-up to ``scale`` places; -0.0 becomes 0.0.
+
+    ``F.round`` goes through decimal text.  Where the scaled value is clearly
+    nearer to one whole number than to its neighbour, that number over the power of
+    ten is the same double; only the others take the long way."""
+    x = c.cast("double")
+    by_text = F.round(x, scale)
+    if not 0 <= scale <= 15:
+        return by_text + F.lit(0.0)
+    scaled = x * F.lit(10.0 ** scale)
+    whole = F.rint(scaled)
+    clear = (F.abs(scaled) < _PLAIN) & (F.abs(scaled - whole) < _CLEAR)
+    return F.when(clear, whole / F.lit(10.0 ** scale)).otherwise(by_text) + F.lit(0.0)
