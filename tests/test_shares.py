@@ -105,3 +105,18 @@ def test_rounding_without_text_equals_rounding_by_text(spark):
         assert off.count() == 0
     # the long way is left to values near the middle
     assert "CASE WHEN" in x.select(round_double(F.col("x")))._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_buckets_of_stored_windows_follow_their_rows():
+    assert S.window_buckets(0) == S.window_buckets(8_000_000) == 8
+    assert S.window_buckets(50_000_001) == 51  # 8 before
+
+
+def test_nested_import_casts_only_what_a_record_takes(spark):
+    from tickflow.operators.metrics import import_nested
+    doc = '{"m":{"data_points":[{"batch_size":2,"processing_time":{},"error_count":"x"},7,{"total_records":"3"}]}}'
+    df = spark.createDataFrame([(doc,)], "document string")
+    got = import_nested(df)
+    assert [r.rows for r in got.orderBy("pos").collect()] == [2.0, None, 3.0]
+    casts = [x for x in got._jdf.queryExecution().optimizedPlan().toString().split("try_variant_get") if x.startswith("(value")]
+    assert not any("$.data_points" in x and "error_count" in x for x in casts)  # cast before
